@@ -1,0 +1,129 @@
+"""End-to-end run of a recipe: load -> outliers -> recipe steps -> OOF target
+encoding -> drop -> skew -> per-fold preprocessors -> base models (OOF) ->
+meta model -> submission frame and metric table.
+
+Lineage is cut (reliable checkpoint in ``spark.checkpoint.dir``) once the
+feature table is final, because every fold fit of every model re-reads it.
+"""
+
+from __future__ import annotations
+
+import logging
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foldline.functions.columns import numeric_columns, string_columns
+from foldline.functions.hashing import bucket
+from foldline.operators.encode import target_encode
+from foldline.operators.folds import hash_fold
+from foldline.operators.impute import remove_outliers
+from foldline.operators.metrics import metric_table
+from foldline.operators.models import resolve
+from foldline.operators.preprocess import FoldPreprocessor
+from foldline.operators.skew import SkewCorrector
+from foldline.operators.stacking import evaluate_meta, meta_matrix, oof_predict
+from foldline.plans.housing import Recipe, outlier_rule
+from foldline.plans.recipe import run_steps
+from foldline.session import cut_lineage
+from foldline.sources.standin import housing_standin
+
+log = logging.getLogger(__name__)
+
+
+@dataclass
+class Prepared:
+    train: DataFrame          # id, fold, label, features...
+    score: DataFrame          # id, features...
+    numeric: list
+    categorical: list
+    skewed: list
+
+
+def split_standin(spark: SparkSession, sf_dir: str, id_col: str = "Id"):
+    """Training and scoring tables: a hash hold-out of the stand-in rows."""
+    raw = housing_standin(spark, sf_dir)
+    hold = bucket(F.col(id_col), "holdout", 10) == 0
+    return raw.where(~hold), raw.where(hold).drop("SalePrice")
+
+
+def prepare(train_raw: DataFrame, score_raw: DataFrame, recipe: Recipe,
+            remove_outlier_rows: bool = True) -> Prepared:
+    idc, tgt = recipe.id_col, recipe.target_col
+    if remove_outlier_rows:
+        train_raw = remove_outliers(train_raw, outlier_rule(train_raw))
+    train = train_raw.withColumn("label", F.log1p(F.col(tgt))).drop(tgt)
+    # each table is cleaned with its own statistics, as the reference does
+    x = run_steps(train, recipe.steps)
+    xt = run_steps(score_raw, recipe.steps)
+    x = hash_fold(x, idc, recipe.n_splits, recipe.random_state)
+    x, xt = target_encode(x, xt, recipe.target_encode_cols, "label")
+    drop = [c for c in recipe.drop_features if c != idc]
+    x, xt = x.drop(*drop), xt.drop(*drop)
+    x = cut_lineage(x)
+    skew = SkewCorrector(recipe.skew_threshold, exclude=[idc, "label", "fold"]).fit(x)
+    x, xt = skew.transform(x), skew.transform(xt)
+    x, xt = cut_lineage(x), cut_lineage(xt)
+    numeric = numeric_columns(x.schema, exclude=[idc, "label", "fold"])
+    categorical = string_columns(x.schema, exclude=[idc])
+    return Prepared(x, xt, numeric, categorical, skew.columns)
+
+
+@dataclass
+class RunResult:
+    oof: DataFrame
+    score_preds: DataFrame
+    metrics: DataFrame
+    meta: object
+    submission: DataFrame
+
+
+def run(prepared: Prepared, recipe: Recipe, parallelism: int = 2) -> RunResult:
+    idc, k = recipe.id_col, recipe.n_splits
+    x = prepared.train
+    base = FoldPreprocessor(prepared.numeric, prepared.categorical, "tree", "fold", k)
+    specs = resolve(recipe.active_models)
+    preps = {}
+    tree = base.fit(x) if specs else None
+    for spec in specs:
+        if spec.prep not in preps:
+            preps[spec.prep] = tree if spec.prep == "tree" else \
+                base.with_kind(tree, spec.prep, x)
+    oofs, scores = [], []
+    for spec in specs:
+        o, s = oof_predict(spec, preps[spec.prep], x, prepared.score, idc, "label", "fold", k,
+                           recipe.model_params.get(spec.name), parallelism)
+        oofs.append(cut_lineage(o))
+        scores.append(cut_lineage(s))
+    names = [s.name for s in specs]
+    long = oofs[0]
+    for o in oofs[1:]:
+        long = long.unionByName(o)
+    score_long = scores[0]
+    for s in scores[1:]:
+        score_long = score_long.unionByName(s)
+    wide = meta_matrix(long, idc, names)
+    score_wide = meta_matrix(score_long, idc, names, keys=())
+    meta = evaluate_meta(wide, names, "label", score_wide, idc)
+    mt = metric_table(long, "label", "pred", "model", "fold")
+    meta_rows = wide.select(F.lit(f"meta_{meta.meta_name}").alias("model"),
+                            F.lit(None).cast("int").alias("fold"),
+                            F.lit(meta.mae).alias("mae"), F.lit(meta.mape).alias("mape")).limit(1)
+    meta_long = meta_rows.select("model", "fold", F.inline(F.array(
+        F.struct(F.lit("mae").alias("metric"), F.col("mae").alias("value")),
+        F.struct(F.lit("mape").alias("metric"), F.col("mape").alias("value")))))
+    submission = meta.final_pred.select(F.col(idc).alias("Id"), F.col("pred").alias("SalePrice"))
+    return RunResult(long, score_long, mt.unionByName(meta_long), meta, submission)
+
+
+FLAGSHIP_MODELS = ["Linear_Ridge", "Linear_Lasso", "XGBoost"]
+
+
+def flagship_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The housing recipe end to end; returns the metric table."""
+    recipe = Recipe(active_models=FLAGSHIP_MODELS,
+                    model_params={"XGBoost": {"maxIter": 10}})
+    train_raw, score_raw = split_standin(spark, sf_dir, recipe.id_col)
+    prepared = prepare(train_raw, score_raw, recipe)
+    return run(prepared, recipe).metrics
