@@ -35,6 +35,12 @@ def r6(c):
     return F.floor(x * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
+def r2(c):
+    """Money: round half up to cents (same IEEE steps as the SQL side)."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.floor(x * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
+
+
 # ---------------------------------------------------------------- inputs
 def standin(spark, sf_dir) -> DataFrame:
     return housing_standin(spark, sf_dir)
@@ -299,3 +305,206 @@ def q_global_mean(spark, sf_dir):
 def q_group_mean(spark, sf_dir):
     return order_target(spark, sf_dir).groupBy("o_orderstatus").agg(
         r6(F.avg("label")).alias("mean_label"), F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- linear stacking on the order frame
+RIDGE_ALPHA, META_ALPHA = 10.0, 1.0
+BASE_FEATURES = ["x_qty", "x_disc"]
+BLEND_WEIGHTS = [0.9, 0.8, 0.7, 0.6]
+TUNE_ALPHAS = [1e-4, 1e-3, 1e-2, 1e-1, 1.0]
+
+
+def model_frame(spark, sf_dir) -> DataFrame:
+    """Order frame as a regression table: log target, two imputed features,
+    a gappy category, a hash fold and the hold-out flag."""
+    from foldline.sources.tables import order_frame
+    of = order_frame(spark, sf_dir)
+    df = of.select(
+        "o_orderkey", F.log1p("o_totalprice").alias("label"),
+        F.coalesce("qty", F.lit(0.0)).alias("x_qty"),
+        (F.coalesce("disc", F.lit(0.0)) * F.lit(100.0)).alias("x_disc"),
+        F.when(bucket("o_orderkey", "prio_mask", 20) > 0, F.col("o_orderpriority")).alias("prio"),
+        is_scoring("o_orderkey").alias("scoring"))
+    return folds.hash_fold(df, "o_orderkey", K, SEED)
+
+
+def _ridge_oof(train: DataFrame, feats, alpha=RIDGE_ALPHA):
+    from foldline.operators import linear
+    fs = linear.fold_stats(train, feats, "label", "fold")
+    fits = {f: linear.ridge_fit(fs, fs.train(f), alpha) for f in fs.per_fold}
+    return fits, train.withColumn("pred", linear.fold_case("fold", fits, feats))
+
+
+def _stack_inputs(spark, sf_dir):
+    """Training rows with two closed-form base predictions (ridge, OOF target
+    encoding) and the scoring rows with their fold-mean / full-data versions."""
+    from foldline.operators import linear
+    mf = model_frame(spark, sf_dir)
+    train, score = mf.where(~F.col("scoring")), mf.where(F.col("scoring"))
+    fits, scored = _ridge_oof(train, BASE_FEATURES)
+    te = encode.TargetEncoder("prio", "label", out_col="te").fit(train)
+    train_p = te.transform_train(scored.withColumnRenamed("pred", "ridge"))
+    mean_fit = linear.mean_model(list(fits.values()))
+    score_p = te.transform_score(score.withColumn("ridge", mean_fit.predict(BASE_FEATURES)))
+    return train_p, score_p
+
+
+@query
+def q_ridge_oof(spark, sf_dir):
+    train = model_frame(spark, sf_dir).where(~F.col("scoring"))
+    _, out = _ridge_oof(train, BASE_FEATURES)
+    return out.select("o_orderkey", "fold", r6("pred").alias("pred"))
+
+
+def _long_preds(spark, sf_dir):
+    train_p, _ = _stack_inputs(spark, sf_dir)
+    return train_p.select("o_orderkey", "fold", "label", F.inline(F.array(
+        F.struct(F.lit("ridge").alias("model"), F.col("ridge").alias("pred")),
+        F.struct(F.lit("te").alias("model"), F.col("te").alias("pred")))))
+
+
+@query
+def q_metric_table(spark, sf_dir):
+    from foldline.operators.metrics import metric_table
+    mt = metric_table(_long_preds(spark, sf_dir))
+    return mt.select("model", "fold", "metric", r6("value").alias("value"))
+
+
+@query
+def q_mae_by_fold(spark, sf_dir):
+    from foldline.operators.metrics import abs_error
+    train = model_frame(spark, sf_dir).where(~F.col("scoring"))
+    _, out = _ridge_oof(train, BASE_FEATURES)
+    agg = out.rollup("fold").agg(F.avg(abs_error(F.col("label"), F.col("pred"))).alias("mae"))
+    return agg.select("fold", r6("mae").alias("mae"))
+
+
+@query
+def q_mape(spark, sf_dir):
+    from foldline.operators.metrics import pct_error
+    train = model_frame(spark, sf_dir).where(~F.col("scoring"))
+    _, out = _ridge_oof(train, BASE_FEATURES)
+    agg = out.rollup("fold").agg(F.avg(pct_error(F.col("label"), F.col("pred"))).alias("mape"))
+    return agg.select("fold", r6("mape").alias("mape"))
+
+
+@query
+def q_cv_summary(spark, sf_dir):
+    from foldline.operators.metrics import cv_summary, metric_table
+    s = cv_summary(metric_table(_long_preds(spark, sf_dir)))
+    return s.select("model", r6("mae_mean").alias("mae_mean"), r6("mae_std").alias("mae_std"),
+                    "n_folds")
+
+
+@query
+def q_meta_matrix(spark, sf_dir):
+    from foldline.operators.stacking import meta_matrix
+    wide = meta_matrix(_long_preds(spark, sf_dir), "o_orderkey", ["ridge", "te"])
+    return wide.select("o_orderkey", "fold", r6("label").alias("label"), r6("ridge").alias("ridge"),
+                       r6("te").alias("te"))
+
+
+def _meta_fit(train_p):
+    from foldline.operators import linear
+    fs = linear.fold_stats(train_p, ["ridge", "te"], "label", None)
+    return linear.ridge_fit(fs, fs.per_fold[0], META_ALPHA)
+
+
+@query
+def q_meta_ridge(spark, sf_dir):
+    """Meta Ridge(1.0) coefficients on the prediction table (4 decimals, as reported)."""
+    train_p, _ = _stack_inputs(spark, sf_dir)
+    fit = _meta_fit(train_p)
+    terms = [("ridge", float(fit.coef[0])), ("te", float(fit.coef[1])),
+             ("intercept", float(fit.intercept))]
+    coefs = spark.createDataFrame(terms, "term string, coef double")
+    return coefs.select("term", (F.floor(F.col("coef") * 1e4 + 0.5) / 1e4).alias("coef"))
+
+
+@query
+def q_blend_sweep(spark, sf_dir):
+    from foldline.operators.metrics import blend_sweep
+    train_p, _ = _stack_inputs(spark, sf_dir)
+    out = blend_sweep(train_p, "label", "ridge", "te", BLEND_WEIGHTS)
+    return out.select(r6("weight").alias("weight"), r6("mae").alias("mae"))
+
+
+@query
+def q_best_candidate(spark, sf_dir):
+    """Lowest MAE among the base models and the blends; ties go to the
+    earlier candidate in priority order (ridge first)."""
+    from foldline.operators.metrics import abs_error, blend_sweep
+    train_p, _ = _stack_inputs(spark, sf_dir)
+    y = F.col("label")
+    base = train_p.agg(F.avg(abs_error(y, F.col("ridge"))).alias("ridge"),
+                       F.avg(abs_error(y, F.col("te"))).alias("te")).select(F.inline(F.array(
+                           F.struct(F.lit("ridge").alias("candidate"), F.col("ridge").alias("mae"),
+                                    F.lit(0).alias("priority")),
+                           F.struct(F.lit("te").alias("candidate"), F.col("te").alias("mae"),
+                                    F.lit(1).alias("priority")))))
+    order = F.array(*[F.lit(float(w)) for w in BLEND_WEIGHTS])
+    blends = blend_sweep(train_p, "label", "ridge", "te", BLEND_WEIGHTS).select(
+        F.concat(F.lit("blend_"), F.col("weight").cast("string")).alias("candidate"), "mae",
+        (F.array_position(order, F.col("weight")) + 1).cast("int").alias("priority"))
+    allc = base.unionByName(blends)
+    best = allc.agg(F.min_by(F.struct("candidate", "mae"), F.struct("mae", "priority")).alias("b"))
+    return best.select("b.candidate", r6("b.mae").alias("mae"))
+
+
+@query
+def q_fold_mean_pred(spark, sf_dir):
+    _, score_p = _stack_inputs(spark, sf_dir)
+    return score_p.select("o_orderkey", r6("ridge").alias("pred"))
+
+
+@query
+def q_submission_frame(spark, sf_dir):
+    train_p, score_p = _stack_inputs(spark, sf_dir)
+    fit = _meta_fit(train_p)
+    return score_p.select(F.col("o_orderkey").alias("Id"),
+                          r2(F.expm1(fit.predict(["ridge", "te"]))).alias("SalePrice"))
+
+
+@query
+def q_oof_coverage(spark, sf_dir):
+    """Every training id is predicted exactly once, in its own fold."""
+    train = model_frame(spark, sf_dir).where(~F.col("scoring"))
+    _, out = _ridge_oof(train, BASE_FEATURES)
+    return out.groupBy("o_orderkey", "fold").agg(
+        F.count("pred").alias("n_preds"))
+
+
+@query
+def q_tune_grid(spark, sf_dir):
+    """Cross-validated meta search, ridge sub-grid (l1_ratio = 0)."""
+    from foldline.operators.tune import elastic_net_search
+    train_p, _ = _stack_inputs(spark, sf_dir)
+    res = elastic_net_search(train_p, ["ridge", "te"], [(a, 0.0) for a in TUNE_ALPHAS])
+    return res.select("alpha", "l1_ratio", r6("mae").alias("mae"))
+
+
+@query
+def q_tune_best(spark, sf_dir):
+    from foldline.operators.tune import best_trial, elastic_net_search
+    train_p, _ = _stack_inputs(spark, sf_dir)
+    res = elastic_net_search(train_p, ["ridge", "te"], [(a, 0.0) for a in TUNE_ALPHAS])
+    return best_trial(res).select("alpha", "l1_ratio", r6("mae").alias("mae"))
+
+
+@query
+def q_ablation_delta(spark, sf_dir):
+    """CV MAE of the ridge base model with and without the discount feature."""
+    from foldline.operators.metrics import abs_error
+    train = model_frame(spark, sf_dir).where(~F.col("scoring"))
+    _, full = _ridge_oof(train, BASE_FEATURES)
+    _, less = _ridge_oof(train, ["x_qty"])
+    y = F.col("label")
+    m = full.select("o_orderkey", "label", F.col("pred").alias("p_full")).join(
+        less.select("o_orderkey", F.col("pred").alias("p_less")), "o_orderkey")
+    agg = m.agg(F.avg(abs_error(y, F.col("p_full"))).alias("full"),
+                F.avg(abs_error(y, F.col("p_less"))).alias("without_x_disc"))
+    return agg.select(F.inline(F.array(
+        F.struct(F.lit("full").alias("variant"), F.col("full").alias("mae"), F.lit(0.0).alias("delta")),
+        F.struct(F.lit("without_x_disc").alias("variant"), F.col("without_x_disc").alias("mae"),
+                 (F.col("without_x_disc") - F.col("full")).alias("delta"))))).select(
+        "variant", r6("mae").alias("mae"), r6("delta").alias("delta"))

@@ -284,3 +284,122 @@ ORACLE["drop_tolerant"] = (
 ORACLE["head_n"] = (
     f"WITH {H} SELECT \"Id\", \"Neighborhood\", \"GrLivArea\", \"SalePrice\" FROM h "
     "ORDER BY \"Id\" LIMIT 2")
+
+
+# ---------------------------------------------------------------- linear stacking on the order frame
+from foldline.sources.tables import ORDER_FRAME_SQL  # noqa: E402
+
+EPS = 2.220446049250313e-16
+RIDGE_ALPHA, META_ALPHA = 10.0, 1.0
+BLEND_WEIGHTS = [0.9, 0.8, 0.7, 0.6]
+TUNE_ALPHAS = [1e-4, 1e-3, 1e-2, 1e-1, 1.0]
+
+
+def em1(x: str) -> str:
+    return f"(exp({x}) - 1)"
+
+
+def ae(y: str, p: str) -> str:
+    return f"abs({em1(y)} - {em1(p)})"
+
+
+def pe(y: str, p: str) -> str:
+    return f"(abs({em1(y)} - {em1(p)}) / greatest(abs({em1(y)}), {EPS}))"
+
+
+def ridge2_stats(src: str, x1: str, x2: str, y: str = "label") -> str:
+    """Centred sums of a 2-feature design over ``src`` (with ``g`` grouping)."""
+    return (f"count(*) AS n, avg({x1}) AS m1, avg({x2}) AS m2, avg({y}) AS my, "
+            f"var_pop({x1}) * count(*) AS s11, var_pop({x2}) * count(*) AS s22, "
+            f"covar_pop({x1}, {x2}) * count(*) AS s12, covar_pop({x1}, {y}) * count(*) AS s1y, "
+            f"covar_pop({x2}, {y}) * count(*) AS s2y")
+
+
+def ridge2_coefs(alpha: str) -> str:
+    det = f"(((s11 + {alpha}) * (s22 + {alpha})) - s12 * s12)"
+    w1 = f"(((s22 + {alpha}) * s1y - s12 * s2y) / {det})"
+    w2 = f"(((s11 + {alpha}) * s2y - s12 * s1y) / {det})"
+    return f"{w1} AS w1, {w2} AS w2, my - {w1} * m1 - {w2} * m2 AS b"
+
+
+MF = (f"mf AS (SELECT o_orderkey, ln(1 + o_totalprice) AS label, coalesce(qty, 0.0) AS x_qty, "
+      f"coalesce(disc, 0.0) * 100.0 AS x_disc, "
+      f"CASE WHEN {sql_bucket('o_orderkey', 'prio_mask', 20)} > 0 THEN o_orderpriority END AS prio, "
+      f"{sql_bucket('o_orderkey', 'holdout', 10)} = 0 AS scoring, "
+      f"{sql_bucket('o_orderkey', str(SEED), K)} AS fold FROM ({ORDER_FRAME_SQL}) z)")
+TR = "tr AS (SELECT * FROM mf WHERE NOT scoring), fi AS (SELECT unnest(range(5)) AS i)"
+RC = (f"rs AS (SELECT fi.i, {ridge2_stats('t', 't.x_qty', 't.x_disc', 't.label')} "
+      "FROM fi JOIN tr t ON t.fold <> fi.i GROUP BY fi.i), "
+      f"rc AS (SELECT i, {ridge2_coefs(str(RIDGE_ALPHA))} FROM rs)")
+OOF = "oof AS (SELECT t.*, rc.b + rc.w1 * t.x_qty + rc.w2 * t.x_disc AS pred FROM tr t JOIN rc ON rc.i = t.fold)"
+BASE = f"WITH {MF}, {TR}, {RC}, {OOF}"
+TE_OOF = ("coalesce((SELECT avg(b.label) FROM tr b WHERE b.prio = o.prio AND b.fold <> o.fold), "
+          "(SELECT avg(label) FROM tr))")
+TE_FULL = "coalesce((SELECT avg(b.label) FROM tr b WHERE b.prio = s.prio), (SELECT avg(label) FROM tr))"
+ST = (f"st AS (SELECT o.o_orderkey, o.fold, o.label, o.pred AS ridge, {TE_OOF} AS te FROM oof o), "
+      f"sp AS (SELECT s.o_orderkey, (SELECT avg(rc.b + rc.w1 * s.x_qty + rc.w2 * s.x_disc) FROM rc) "
+      f"AS ridge, {TE_FULL} AS te FROM mf s WHERE s.scoring)")
+STACK = f"{BASE}, {ST}"
+META = (f"ms AS (SELECT {ridge2_stats('st', 'ridge', 'te')} FROM st), "
+        f"mc AS (SELECT {ridge2_coefs(str(META_ALPHA))} FROM ms)")
+LONG = ("lp AS (SELECT o_orderkey, fold, label, 'ridge' AS model, ridge AS pred FROM st "
+        "UNION ALL SELECT o_orderkey, fold, label, 'te' AS model, te AS pred FROM st)")
+MT = (f"mt0 AS (SELECT model, fold, avg({ae('label', 'pred')}) AS mae, avg({pe('label', 'pred')}) AS mape "
+      "FROM lp GROUP BY ROLLUP (model, fold)), "
+      "mt AS (SELECT model, fold, 'mae' AS metric, mae AS value FROM mt0 WHERE model IS NOT NULL "
+      "UNION ALL SELECT model, fold, 'mape' AS metric, mape AS value FROM mt0 WHERE model IS NOT NULL)")
+
+ORACLE["ridge_oof"] = f"{BASE} SELECT o_orderkey, fold, {r6('pred')} AS pred FROM oof"
+ORACLE["mae_by_fold"] = f"{BASE} SELECT fold, {r6(f'avg({ae(chr(108) + 'abel', 'pred')})')} AS mae FROM oof GROUP BY ROLLUP (fold)"
+ORACLE["mape"] = f"{BASE} SELECT fold, {r6(f'avg({pe(chr(108) + 'abel', 'pred')})')} AS mape FROM oof GROUP BY ROLLUP (fold)"
+ORACLE["metric_table"] = f"{STACK}, {LONG}, {MT} SELECT model, fold, metric, {r6('value')} AS value FROM mt"
+ORACLE["cv_summary"] = (
+    f"{STACK}, {LONG}, {MT} SELECT model, {r6('avg(value)')} AS mae_mean, "
+    f"{r6('stddev_pop(value)')} AS mae_std, count(*) AS n_folds FROM mt "
+    "WHERE fold IS NOT NULL AND metric = 'mae' GROUP BY model")
+ORACLE["meta_matrix"] = (
+    f"{STACK} SELECT o_orderkey, fold, {r6('label')} AS label, {r6('ridge')} AS ridge, "
+    f"{r6('te')} AS te FROM st")
+ORACLE["meta_ridge"] = (
+    f"{STACK}, {META} SELECT term, floor(coef * 1e4 + 0.5) / 1e4 AS coef FROM ("
+    "SELECT 'ridge' AS term, w1 AS coef FROM mc UNION ALL SELECT 'te', w2 FROM mc "
+    "UNION ALL SELECT 'intercept', b FROM mc)")
+ORACLE["blend_sweep"] = f"{STACK} " + " UNION ALL ".join(
+    f"SELECT {r6(f'{w!r}::DOUBLE')} AS weight, "
+    f"{r6(f'avg({ae(chr(108) + chr(97) + chr(98) + chr(101) + chr(108), f"({w!r}::DOUBLE * ridge + {1.0 - w!r}::DOUBLE * te)")})')} AS mae FROM st"
+    for w in BLEND_WEIGHTS)
+_CANDS = (" UNION ALL ".join(
+    [f"SELECT 'ridge' AS candidate, avg({ae('label', 'ridge')}) AS mae, 0 AS priority FROM st",
+     f"SELECT 'te' AS candidate, avg({ae('label', 'te')}) AS mae, 1 AS priority FROM st"]
+    + [f"SELECT 'blend_{w!r}' AS candidate, avg({ae('label', f'({w!r}::DOUBLE * ridge + {1.0 - w!r}::DOUBLE * te)')}) "
+       f"AS mae, {i + 2} AS priority FROM st" for i, w in enumerate(BLEND_WEIGHTS)]))
+ORACLE["best_candidate"] = (
+    f"{STACK} SELECT candidate, {r6('mae')} AS mae FROM ({_CANDS}) ORDER BY mae, priority LIMIT 1")
+ORACLE["fold_mean_pred"] = f"{STACK} SELECT o_orderkey, {r6('ridge')} AS pred FROM sp"
+ORACLE["submission_frame"] = (
+    f"{STACK}, {META} SELECT sp.o_orderkey AS \"Id\", "
+    f"(floor({em1('mc.b + mc.w1 * sp.ridge + mc.w2 * sp.te')} * 100.0 + 0.5) / 100.0) AS \"SalePrice\" FROM sp, mc")
+ORACLE["oof_coverage"] = f"{BASE} SELECT o_orderkey, fold, CAST(1 AS BIGINT) AS n_preds FROM oof"
+
+_GRID = ("ga AS (SELECT t AS trial, a AS alpha FROM (SELECT unnest(range(" + str(len(TUNE_ALPHAS)) +
+         ")) AS t, unnest([" + ", ".join(f"{a!r}::DOUBLE" for a in TUNE_ALPHAS) + "]) AS a))")
+_TUNE = (f"{STACK}, {_GRID}, "
+         f"gs AS (SELECT ga.trial, ga.alpha, fi.i, {ridge2_stats('st', 's.ridge', 's.te', 's.label')} "
+         "FROM ga, fi JOIN st s ON s.fold <> fi.i GROUP BY ga.trial, ga.alpha, fi.i), "
+         f"gc AS (SELECT trial, alpha, i, {ridge2_coefs('alpha * n')} FROM gs), "
+         f"gm AS (SELECT gc.trial, gc.alpha, avg({ae('s.label', 'gc.b + gc.w1 * s.ridge + gc.w2 * s.te')}) AS mae "
+         "FROM gc JOIN st s ON s.fold = gc.i GROUP BY gc.trial, gc.alpha)")
+ORACLE["tune_grid"] = f"{_TUNE} SELECT alpha, 0.0::DOUBLE AS l1_ratio, {r6('mae')} AS mae FROM gm"
+ORACLE["tune_best"] = (
+    f"{_TUNE} SELECT alpha, 0.0::DOUBLE AS l1_ratio, {r6('mae')} AS mae FROM gm ORDER BY mae, trial LIMIT 1")
+
+_ONE = (f"r1 AS (SELECT fi.i, count(*) AS n, avg(t.x_qty) AS m1, avg(t.label) AS my, "
+        "var_pop(t.x_qty) * count(*) AS s11, covar_pop(t.x_qty, t.label) * count(*) AS s1y "
+        "FROM fi JOIN tr t ON t.fold <> fi.i GROUP BY fi.i), "
+        f"c1 AS (SELECT i, s1y / (s11 + {RIDGE_ALPHA}) AS w, my - s1y / (s11 + {RIDGE_ALPHA}) * m1 AS b FROM r1), "
+        "o1 AS (SELECT t.o_orderkey, t.label, c1.b + c1.w * t.x_qty AS pred FROM tr t JOIN c1 ON c1.i = t.fold)")
+ORACLE["ablation_delta"] = (
+    f"{BASE}, {_ONE}, ab AS (SELECT (SELECT avg({ae('label', 'pred')}) FROM oof) AS full_mae, "
+    f"(SELECT avg({ae('label', 'pred')}) FROM o1) AS less_mae) "
+    f"SELECT 'full' AS variant, {r6('full_mae')} AS mae, 0.0::DOUBLE AS delta FROM ab UNION ALL "
+    f"SELECT 'without_x_disc', {r6('less_mae')}, {r6('less_mae - full_mae')} FROM ab")

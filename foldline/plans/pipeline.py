@@ -107,12 +107,11 @@ def run(prepared: Prepared, recipe: Recipe, parallelism: int = 2) -> RunResult:
     score_wide = meta_matrix(score_long, idc, names, keys=())
     meta = evaluate_meta(wide, names, "label", score_wide, idc)
     mt = metric_table(long, "label", "pred", "model", "fold")
-    meta_rows = wide.select(F.lit(f"meta_{meta.meta_name}").alias("model"),
-                            F.lit(None).cast("int").alias("fold"),
-                            F.lit(meta.mae).alias("mae"), F.lit(meta.mape).alias("mape")).limit(1)
-    meta_long = meta_rows.select("model", "fold", F.inline(F.array(
-        F.struct(F.lit("mae").alias("metric"), F.col("mae").alias("value")),
-        F.struct(F.lit("mape").alias("metric"), F.col("mape").alias("value")))))
+    spark = x.sparkSession
+    meta_long = spark.createDataFrame(
+        [(f"meta_{meta.meta_name}", None, "mae", float(meta.mae)),
+         (f"meta_{meta.meta_name}", None, "mape", float(meta.mape))],
+        "model string, fold int, metric string, value double")
     submission = meta.final_pred.select(F.col(idc).alias("Id"), F.col("pred").alias("SalePrice"))
     return RunResult(long, score_long, mt.unionByName(meta_long), meta, submission)
 
