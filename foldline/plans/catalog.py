@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldline.functions.columns import numeric_columns
+from foldline.functions.columns import map_values, numeric_columns
 from foldline.functions.hashing import bucket
 from foldline.operators import encode, features, folds, impute, quantiles
 from foldline.plans import housing
@@ -508,3 +508,144 @@ def q_ablation_delta(spark, sf_dir):
         F.struct(F.lit("without_x_disc").alias("variant"), F.col("without_x_disc").alias("mae"),
                  (F.col("without_x_disc") - F.col("full")).alias("delta"))))).select(
         "variant", r6("mae").alias("mae"), r6("delta").alias("delta"))
+
+
+# ---------------------------------------------------------------- skew, scaling, per-fold preprocessing
+PREP_NUMERIC = ["LotFrontage", "MasVnrArea", "GarageArea", "TotalBsmtSF", "GarageYrBlt"]
+PREP_CATEGORICAL = ["MSZoning", "KitchenQual", "GarageType", "Electrical"]
+STANDARDIZE_COLUMNS = ["LotFrontage", "GrLivArea", "TotalBsmtSF", "OverallQual"]
+
+
+def skew_input(spark, sf_dir) -> DataFrame:
+    return standin(spark, sf_dir).drop("SalePrice")
+
+
+@query
+def q_skewness_all(spark, sf_dir):
+    from foldline.operators.skew import skew_stats
+    df = skew_input(spark, sf_dir)
+    st = skew_stats(df, numeric_columns(df.schema, exclude=["Id"]))
+    return st.select("column", r6("skewness").alias("skewness"), "non_negative")
+
+
+@query
+def q_skew_select(spark, sf_dir):
+    from foldline.operators.skew import SkewCorrector
+    return SkewCorrector(0.75, exclude=["Id"]).selected(skew_input(spark, sf_dir)).select("column")
+
+
+@query
+def q_skew_apply(spark, sf_dir):
+    from foldline.operators.skew import fix_skewness
+    df = skew_input(spark, sf_dir)
+    out, _ = fix_skewness(df, threshold=0.75, exclude=["Id"])
+    cols = numeric_columns(df.schema, exclude=["Id"])
+    return out.select("Id", *[r6(F.col(c).cast("double")).alias(c) for c in cols])
+
+
+@query
+def q_log_target(spark, sf_dir):
+    return standin(spark, sf_dir).select("Id", r6(F.log1p("SalePrice")).alias("label"))
+
+
+@query
+def q_roundtrip_log(spark, sf_dir):
+    return standin(spark, sf_dir).select(
+        "Id", r2(F.expm1(F.log1p("SalePrice"))).alias("SalePrice"))
+
+
+@query
+def q_standardize(spark, sf_dir):
+    from foldline.operators.scale import Standardizer
+    df = standin(spark, sf_dir)
+    out = Standardizer(STANDARDIZE_COLUMNS).fit(df).transform(df)
+    return out.select("Id", *[r6(c).alias(c) for c in STANDARDIZE_COLUMNS])
+
+
+def folded_standin(spark, sf_dir) -> DataFrame:
+    return folds.hash_fold(standin(spark, sf_dir), "Id", K, SEED)
+
+
+@query
+def q_impute_median_fold(spark, sf_dir):
+    from foldline.operators.impute import stacked_counts
+    df = folded_standin(spark, sf_dir)
+    counts = stacked_counts(df, PREP_NUMERIC, ["fold"], value_type="double")
+    train = quantiles.complement_counts(counts, "fold", K, "fold")
+    med = quantiles.percentile_from_counts(train, ["fold", "name"], "value", 0.5, "median")
+    return med.select("fold", F.col("name").alias("column"), r6("median").alias("median"))
+
+
+@query
+def q_impute_mode_fold(spark, sf_dir):
+    from foldline.operators.impute import stacked_counts
+    df = folded_standin(spark, sf_dir)
+    counts = stacked_counts(df, PREP_CATEGORICAL, ["fold"])
+    train = quantiles.complement_counts(counts, "fold", K, "fold")
+    modes = quantiles.mode_from_counts(train, ["fold", "name"], "value", "mode")
+    return modes.select("fold", F.col("name").alias("column"), "mode")
+
+
+def _held_out(prep, df, cols_fn):
+    """Each row transformed by the preprocessor of its own held-out fold."""
+    out = {}
+    for f in range(K):
+        for name, expr in cols_fn(f).items():
+            out[name] = (F.when(F.col("fold") == F.lit(f), expr) if name not in out
+                         else out[name].when(F.col("fold") == F.lit(f), expr))
+    return df.select("Id", "fold", *[e.alias(n) for n, e in out.items()])
+
+
+@query
+def q_preprocess_tree(spark, sf_dir):
+    """Tree preprocessor: per-fold median impute of numerics and mode impute of
+    categories, applied to each row with the statistics of its held-out fold."""
+    from foldline.operators.preprocess import FoldPreprocessor
+    df = folded_standin(spark, sf_dir)
+    prep = FoldPreprocessor(PREP_NUMERIC, PREP_CATEGORICAL, "tree", "fold", K).fit(df)
+
+    def cols(f):
+        out = {c: prep.numeric_expr(f, c) for c in PREP_NUMERIC}
+        out.update({c: F.coalesce(F.col(c), F.lit(prep.modes.get((f, c)))) for c in PREP_CATEGORICAL})
+        return out
+    res = _held_out(prep, df, cols)
+    return res.select("Id", "fold", *[r6(c).alias(c) for c in PREP_NUMERIC], *PREP_CATEGORICAL)
+
+
+@query
+def q_preprocess_linear(spark, sf_dir):
+    """Linear preprocessor: median impute then standardise with the training
+    fold's mean / population std of the imputed column."""
+    from foldline.operators.preprocess import FoldPreprocessor
+    df = folded_standin(spark, sf_dir)
+    prep = FoldPreprocessor(PREP_NUMERIC, [], "linear", "fold", K).fit(df)
+    res = _held_out(prep, df, lambda f: {c: prep.numeric_expr(f, c) for c in PREP_NUMERIC})
+    return res.select("Id", "fold", *[r6(c).alias(c) for c in PREP_NUMERIC])
+
+
+@query
+def q_one_hot(spark, sf_dir):
+    """One-hot position of each (mode-imputed) category in its training fold's
+    sorted vocabulary; unseen -> NULL (an all-zero row)."""
+    from foldline.operators.preprocess import FoldPreprocessor
+    df = folded_standin(spark, sf_dir)
+    prep = FoldPreprocessor([], PREP_CATEGORICAL, "tree", "fold", K).fit(df)
+
+    def cols(f):
+        out = {}
+        for c in PREP_CATEGORICAL:
+            cats = prep.vocab.categories.get((f, c), [])
+            v = F.coalesce(F.col(c), F.lit(prep.modes.get((f, c))))
+            out[c] = map_values(v, {x: i for i, x in enumerate(cats)}, None).cast("int")
+        return out
+    wide = _held_out(prep, df, cols)
+    return wide.select("Id", "fold", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("hot_index")) for c in PREP_CATEGORICAL])))
+
+
+@query
+def q_category_prep(spark, sf_dir):
+    df = standin(spark, sf_dir)
+    out = impute.category_prep(df, PREP_NUMERIC, PREP_CATEGORICAL + ["MSSubClass"])
+    return out.select("Id", *[r6(c).alias(c) for c in PREP_NUMERIC], *PREP_CATEGORICAL,
+                      "MSSubClass")

@@ -403,3 +403,90 @@ ORACLE["ablation_delta"] = (
     f"(SELECT avg({ae('label', 'pred')}) FROM o1) AS less_mae) "
     f"SELECT 'full' AS variant, {r6('full_mae')} AS mae, 0.0::DOUBLE AS delta FROM ab UNION ALL "
     f"SELECT 'without_x_disc', {r6('less_mae')}, {r6('less_mae - full_mae')} FROM ab")
+
+
+# ---------------------------------------------------------------- skew, scaling, per-fold preprocessing
+PREP_NUMERIC = ["LotFrontage", "MasVnrArea", "GarageArea", "TotalBsmtSF", "GarageYrBlt"]
+PREP_CATEGORICAL = ["MSZoning", "KitchenQual", "GarageType", "Electrical"]
+STANDARDIZE_COLUMNS = ["LotFrontage", "GrLivArea", "TotalBsmtSF", "OverallQual"]
+_SKEW_COLS = [c for c, _ in numeric_layout() if c not in ("Id", "SalePrice")]
+
+
+def _skew_row(c: str) -> str:
+    d = f"(CAST({q(c)} AS DOUBLE) - (SELECT avg({q(c)}) FROM h))"
+    m2, m3 = f"avg({d} * {d})", f"avg({d} * {d} * {d})"
+    return (f"SELECT '{c}' AS \"column\", CASE WHEN {m2} = 0 THEN NULL ELSE {m3} / pow({m2}, 1.5) END "
+            f"AS skewness, coalesce(bool_and({q(c)} >= 0), true) AS non_negative FROM h "
+            f"WHERE {q(c)} IS NOT NULL")
+
+
+SK = f"{H}, sk AS ({' UNION ALL '.join(_skew_row(c) for c in _SKEW_COLS)})"
+ORACLE["skewness_all"] = f"WITH {SK} SELECT \"column\", {r6('skewness')} AS skewness, non_negative FROM sk"
+ORACLE["skew_select"] = (
+    f"WITH {SK} SELECT \"column\" FROM sk WHERE coalesce(abs(skewness) > 0.75, false) AND non_negative")
+ORACLE["skew_apply"] = (
+    f"WITH {SK}, sel AS (SELECT \"column\" FROM sk WHERE coalesce(abs(skewness) > 0.75, false) "
+    "AND non_negative) SELECT \"Id\", "
+    + ", ".join(f"{r6(f'CASE WHEN EXISTS (SELECT 1 FROM sel WHERE sel.column = {chr(39)}{c}{chr(39)}) '
+                      f'THEN ln(1 + CAST({q(c)} AS DOUBLE)) ELSE CAST({q(c)} AS DOUBLE) END')} AS {q(c)}"
+                for c in _SKEW_COLS) + " FROM h")
+ORACLE["log_target"] = f"WITH {H} SELECT \"Id\", {r6('ln(1 + \"SalePrice\")')} AS label FROM h"
+ORACLE["roundtrip_log"] = (
+    f"WITH {H} SELECT \"Id\", floor((exp(ln(1 + \"SalePrice\")) - 1) * 100.0 + 0.5) / 100.0 AS \"SalePrice\" FROM h")
+ORACLE["standardize"] = f"WITH {H} SELECT \"Id\", " + ", ".join(
+    r6(f"({q(c)} - (SELECT avg({q(c)}) FROM h)) / (SELECT CASE WHEN coalesce(stddev_pop({q(c)}), 0) = 0 "
+       f"THEN 1 ELSE stddev_pop({q(c)}) END FROM h)") + f" AS {q(c)}" for c in STANDARDIZE_COLUMNS) + " FROM h"
+
+HF = (f"{H}, hf AS (SELECT *, {sql_bucket(q('Id'), str(SEED), K)} AS fold FROM h), "
+      "fi AS (SELECT unnest(range(5)) AS i)")
+FM = ("fm AS (SELECT fi.i, " + ", ".join(f"median(CAST(hf.{q(c)} AS DOUBLE)) AS {q(c)}" for c in PREP_NUMERIC)
+      + " FROM fi JOIN hf ON hf.fold <> fi.i GROUP BY fi.i)")
+
+
+def _mode_cte(c: str) -> str:
+    return (f"mo_{c} AS (SELECT i, v AS mode FROM (SELECT fi.i, hf.{q(c)} AS v, row_number() OVER "
+            f"(PARTITION BY fi.i ORDER BY count(*) DESC, hf.{q(c)}) AS rn FROM fi JOIN hf ON hf.fold <> fi.i "
+            f"WHERE hf.{q(c)} IS NOT NULL GROUP BY fi.i, hf.{q(c)}) WHERE rn = 1)")
+
+
+MODES = ", ".join(_mode_cte(c) for c in PREP_CATEGORICAL)
+ORACLE["impute_median_fold"] = f"WITH {HF} " + " UNION ALL ".join(
+    f"SELECT fi.i AS fold, '{c}' AS \"column\", {r6(f'median(CAST(hf.{q(c)} AS DOUBLE))')} AS median "
+    f"FROM fi JOIN hf ON hf.fold <> fi.i GROUP BY fi.i" for c in PREP_NUMERIC)
+ORACLE["impute_mode_fold"] = f"WITH {HF}, {MODES} " + " UNION ALL ".join(
+    f"SELECT i AS fold, '{c}' AS \"column\", mode FROM mo_{c}" for c in PREP_CATEGORICAL)
+ORACLE["preprocess_tree"] = (
+    f"WITH {HF}, {FM}, {MODES} SELECT hf.\"Id\", hf.fold, "
+    + ", ".join(f"{r6(f'coalesce(CAST(hf.{q(c)} AS DOUBLE), fm.{q(c)})')} AS {q(c)}" for c in PREP_NUMERIC) + ", "
+    + ", ".join(f"coalesce(hf.{q(c)}, mo_{c}.mode) AS {q(c)}" for c in PREP_CATEGORICAL)
+    + " FROM hf JOIN fm ON fm.i = hf.fold "
+    + " ".join(f"LEFT JOIN mo_{c} ON mo_{c}.i = hf.fold" for c in PREP_CATEGORICAL))
+FZ = ("fz AS (SELECT fi.i, " + ", ".join(
+    f"avg(coalesce(CAST(hf.{q(c)} AS DOUBLE), fm.{q(c)})) AS {q('m_' + c)}, "
+    f"stddev_pop(coalesce(CAST(hf.{q(c)} AS DOUBLE), fm.{q(c)})) AS {q('s_' + c)}" for c in PREP_NUMERIC)
+    + " FROM fi JOIN fm ON fm.i = fi.i JOIN hf ON hf.fold <> fi.i GROUP BY fi.i)")
+ORACLE["preprocess_linear"] = (
+    f"WITH {HF}, {FM}, {FZ} SELECT hf.\"Id\", hf.fold, "
+    + ", ".join(r6(f"(coalesce(CAST(hf.{q(c)} AS DOUBLE), fm.{q(c)}) - fz.{q('m_' + c)}) / "
+                   f"CASE WHEN fz.{q('s_' + c)} = 0 THEN 1 ELSE fz.{q('s_' + c)} END") + f" AS {q(c)}"
+                for c in PREP_NUMERIC)
+    + " FROM hf JOIN fm ON fm.i = hf.fold JOIN fz ON fz.i = hf.fold")
+
+
+def _vocab_cte(c: str) -> str:
+    return (f"vo_{c} AS (SELECT i, v, CAST(row_number() OVER (PARTITION BY i ORDER BY v) - 1 AS INTEGER) "
+            f"AS idx FROM (SELECT DISTINCT fi.i, hf.{q(c)} AS v FROM fi JOIN hf ON hf.fold <> fi.i "
+            f"WHERE hf.{q(c)} IS NOT NULL))")
+
+
+ORACLE["one_hot"] = (
+    f"WITH {HF}, {MODES}, {', '.join(_vocab_cte(c) for c in PREP_CATEGORICAL)} "
+    + " UNION ALL ".join(
+        f"SELECT hf.\"Id\", hf.fold, '{c}' AS \"column\", vo_{c}.idx AS hot_index FROM hf "
+        f"LEFT JOIN mo_{c} ON mo_{c}.i = hf.fold LEFT JOIN vo_{c} ON vo_{c}.i = hf.fold "
+        f"AND vo_{c}.v = coalesce(hf.{q(c)}, mo_{c}.mode)" for c in PREP_CATEGORICAL))
+ORACLE["category_prep"] = (
+    f"WITH {H} SELECT \"Id\", "
+    + ", ".join(f"{r6(f'coalesce({q(c)}, 0)')} AS {q(c)}" for c in PREP_NUMERIC) + ", "
+    + ", ".join(f"coalesce(CAST({q(c)} AS VARCHAR), 'Missing') AS {q(c)}"
+                for c in PREP_CATEGORICAL + ["MSSubClass"]) + " FROM h")
