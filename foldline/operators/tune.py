@@ -63,7 +63,7 @@ def best_trial(results: DataFrame) -> DataFrame:
 
 
 def gbt_search(train: DataFrame, fold_col: str = "fold", grid: dict | None = None,
-               seed: int = 42, parallelism: int = 2):
+               seed: int = 42, parallelism: int = 2, k: int = 5):
     """CrossValidator over GBTRegressor on ``features``/``label`` with ``foldCol``."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.regression import GBTRegressor
@@ -76,7 +76,7 @@ def gbt_search(train: DataFrame, fold_col: str = "fold", grid: dict | None = Non
         pg = pg.addGrid(gbt.getParam(name), values)
     cv = CrossValidator(estimator=gbt, estimatorParamMaps=pg.build(),
                         evaluator=RegressionEvaluator(metricName="mae"),
-                        foldCol=fold_col, parallelism=parallelism, seed=seed)
+                        foldCol=fold_col, numFolds=k, parallelism=parallelism, seed=seed)
     model = cv.fit(train.withColumn(fold_col, F.col(fold_col).cast("int")))
     out = []
     for params, m in zip(cv.getEstimatorParamMaps(), model.avgMetrics):

@@ -649,3 +649,118 @@ def q_category_prep(spark, sf_dir):
     out = impute.category_prep(df, PREP_NUMERIC, PREP_CATEGORICAL + ["MSSubClass"])
     return out.select("Id", *[r6(c).alias(c) for c in PREP_NUMERIC], *PREP_CATEGORICAL,
                       "MSSubClass")
+
+
+# ---------------------------------------------------------------- MLlib base models (rows-only checks)
+MODEL_NUMERIC = ["x_qty", "x_disc", "n_lines", "c_acctbal"]
+MODEL_CATEGORICAL = ["prio", "o_orderstatus", "c_mktsegment"]
+QUICK_PARAMS = {"XGBoost": {"maxIter": 15}, "CatBoost": {"maxIter": 15},
+                "LightGBM": {"maxIter": 15}, "ExtraTrees": {"numTrees": 20, "maxDepth": 8}}
+
+
+def model_tables(spark, sf_dir):
+    """Order-based training / scoring tables for the MLlib base models."""
+    from foldline.sources.tables import order_frame
+    of = order_frame(spark, sf_dir)
+    df = of.select(
+        "o_orderkey", F.log1p("o_totalprice").alias("label"), F.col("qty").alias("x_qty"),
+        (F.col("disc") * F.lit(100.0)).alias("x_disc"), "n_lines", "c_acctbal",
+        F.when(bucket("o_orderkey", "prio_mask", 20) > 0, F.col("o_orderpriority")).alias("prio"),
+        "o_orderstatus", "c_mktsegment", is_scoring("o_orderkey").alias("scoring"))
+    df = folds.hash_fold(df, "o_orderkey", K, SEED)
+    return df.where(~F.col("scoring")).drop("scoring"), \
+        df.where(F.col("scoring")).drop("scoring", "label", "fold")
+
+
+def _base_model_query(name: str):
+    def run(spark, sf_dir):
+        from foldline.operators.models import REGISTRY
+        from foldline.operators.preprocess import FoldPreprocessor
+        from foldline.operators.stacking import oof_predict
+        train, score = model_tables(spark, sf_dir)
+        spec = REGISTRY[name]
+        prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, spec.prep, "fold", K).fit(train)
+        oof, _ = oof_predict(spec, prep, train, score, "o_orderkey", "label", "fold", K,
+                             QUICK_PARAMS.get(name))
+        return oof.select("o_orderkey", "fold", r6("pred").alias("pred"))
+    return run
+
+
+for _q, _m in [("lasso_oof", "Linear_Lasso"), ("gbt_oof", "XGBoost"), ("gbt_mae_oof", "CatBoost"),
+               ("gbt_small_leaf_oof", "LightGBM"), ("forest_oof", "ExtraTrees"),
+               ("linear_ridge_oof", "Linear_Ridge")]:
+    _f = _base_model_query(_m)
+    _f.__name__ = f"q_{_q}"
+    _f.__doc__ = f"OOF predictions of the {_m} base model (MLlib, per-fold preprocessing)."
+    query(_f)
+
+
+@query
+def q_baseline_cv(spark, sf_dir):
+    """Baseline: tree preprocessing + boosted trees on the raw target; fold MAE."""
+    from pyspark.ml.regression import GBTRegressor
+    from foldline.operators.preprocess import FoldPreprocessor
+    train, _ = model_tables(spark, sf_dir)
+    train = train.withColumn("label", F.expm1("label"))
+    prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "tree", "fold", K).fit(train)
+    parts = []
+    for f in range(K):
+        fx = prep.features(train, f, ["o_orderkey", "fold", "label"])
+        model = GBTRegressor(maxIter=15, maxDepth=5, seed=SEED).fit(fx.where(F.col("fold") != f))
+        parts.append(model.transform(fx.where(F.col("fold") == f)))
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    agg = allp.groupBy("fold").agg(F.avg(F.abs(F.col("label") - F.col("prediction"))).alias("mae"))
+    return agg.select("fold", r6("mae").alias("mae"))
+
+
+@query
+def q_meta_select(spark, sf_dir):
+    """Ridge vs ElasticNet meta model on MLlib OOF predictions; lower MAE wins."""
+    from foldline.operators.models import REGISTRY
+    from foldline.operators.preprocess import FoldPreprocessor
+    from foldline.operators.stacking import evaluate_meta, meta_matrix, oof_predict
+    train, score = model_tables(spark, sf_dir)
+    prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "linear", "fold", K).fit(train)
+    names = ["Linear_Ridge", "Linear_Lasso"]
+    oofs = [oof_predict(REGISTRY[n], prep, train, None, "o_orderkey")[0] for n in names]
+    wide = meta_matrix(oofs[0].unionByName(oofs[1]), "o_orderkey", names)
+    res = evaluate_meta(wide, names)
+    return spark.createDataFrame(
+        [(res.meta_name, float(res.mae), float(res.mape), float(res.ridge_mae), float(res.enet_mae))],
+        "meta_name string, mae double, mape double, ridge_mae double, enet_mae double")
+
+
+@query
+def q_tune_enet(spark, sf_dir):
+    """100-trial elastic-net meta search (log-uniform alpha, uniform l1_ratio)."""
+    from foldline.operators.tune import elastic_net_search, sample_candidates
+    train_p, _ = _stack_inputs(spark, sf_dir)
+    res = elastic_net_search(train_p, ["ridge", "te"], sample_candidates(100, SEED))
+    return res.select("trial", "alpha", "l1_ratio", r6("mae").alias("mae"))
+
+
+@query
+def q_tune_gbt(spark, sf_dir):
+    """Cross-validated boosted-tree grid with the fold column as foldCol."""
+    from foldline.operators.preprocess import FoldPreprocessor
+    from foldline.operators.tune import gbt_search
+    train, _ = model_tables(spark, sf_dir)
+    prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "native", "fold", K).fit(train)
+    fx = prep.features(train, 0, ["o_orderkey", "fold", "label"])
+    _, rows = gbt_search(fx, "fold", {"maxDepth": [3, 4], "stepSize": [0.1, 0.3]}, SEED)
+    return spark.createDataFrame([(r["maxDepth"], r["stepSize"], r["cv_mae"]) for r in rows],
+                                 "max_depth int, step_size double, cv_mae double")
+
+
+@query
+def q_read_csv_na(spark, sf_dir):
+    """Stand-in rows written as CSV with NA for missing, read back with a schema."""
+    import uuid
+    from foldline.session import ensure_checkpoint_dir
+    from foldline.sources.csv import read_csv_na, write_csv_na
+    df = standin(spark, sf_dir)
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/csv-{uuid.uuid4().hex}"
+    write_csv_na(df, path)
+    return read_csv_na(spark, path, df.schema)
