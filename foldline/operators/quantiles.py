@@ -61,12 +61,13 @@ def percentile_from_counts(counts: DataFrame, group_cols: Sequence[str], value_c
                            p: float = 0.5, out_col: str = "percentile",
                            num_partitions: int | None = None) -> DataFrame:
     """Exact interpolated percentile per group from ``(group..., value, _w)``."""
-    spark = counts.sparkSession
     g = list(group_cols)
     if not g:  # a constant group key keeps every step a keyed join
         counts, g = counts.withColumn("_all", F.lit(0)), ["_all"]
-    nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (counts.repartitionByRange(nparts, *g, value_col)
+    # Without an explicit count AQE sizes the range partitions; coalescing only
+    # merges neighbouring ranges, so partition ids stay in value order.
+    parts = [num_partitions] if num_partitions else []
+    ranged = (counts.repartitionByRange(*parts, *g, value_col)
               .withColumn("_pid", F.spark_partition_id()))
     # The slice ids must be identical for both consumers below.
     ranged = cut_lineage(ranged)
@@ -149,9 +150,8 @@ def global_positions(df: DataFrame, order_col: str, out_col: str = "_pos",
     its own rows and adds the row count of all earlier partitions (a table
     with one row per partition). No step sees more than one partition.
     """
-    spark = df.sparkSession
-    nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(nparts, order_col)
+    parts = [num_partitions] if num_partitions else []
+    ranged = cut_lineage(df.repartitionByRange(*parts, order_col)
                          .withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(order_col)) - 1)

@@ -16,6 +16,7 @@ from foldline.functions.columns import map_values, numeric_columns
 from foldline.functions.hashing import bucket
 from foldline.operators import encode, features, folds, impute, quantiles
 from foldline.plans import housing
+from foldline.session import cut_lineage
 from foldline.sources.standin import housing_standin
 from foldline.sources.tables import table
 
@@ -346,7 +347,7 @@ def _stack_inputs(spark, sf_dir):
     train_p = te.transform_train(scored.withColumnRenamed("pred", "ridge"))
     mean_fit = linear.mean_model(list(fits.values()))
     score_p = te.transform_score(score.withColumn("ridge", mean_fit.predict(BASE_FEATURES)))
-    return train_p, score_p
+    return cut_lineage(train_p), cut_lineage(score_p)
 
 
 @query
@@ -668,8 +669,9 @@ def model_tables(spark, sf_dir):
         F.when(bucket("o_orderkey", "prio_mask", 20) > 0, F.col("o_orderpriority")).alias("prio"),
         "o_orderstatus", "c_mktsegment", is_scoring("o_orderkey").alias("scoring"))
     df = folds.hash_fold(df, "o_orderkey", K, SEED)
-    return df.where(~F.col("scoring")).drop("scoring"), \
-        df.where(F.col("scoring")).drop("scoring", "label", "fold")
+    # read by every preprocessing statistic and every fold fit: materialise once
+    return cut_lineage(df.where(~F.col("scoring")).drop("scoring")), \
+        cut_lineage(df.where(F.col("scoring")).drop("scoring", "label", "fold"))
 
 
 def _base_model_query(name: str):

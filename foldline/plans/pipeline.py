@@ -53,6 +53,8 @@ def prepare(train_raw: DataFrame, score_raw: DataFrame, recipe: Recipe,
     idc, tgt = recipe.id_col, recipe.target_col
     if remove_outlier_rows:
         train_raw = remove_outliers(train_raw, outlier_rule(train_raw))
+    # the recipe fits several statistics on each table: read the source once
+    train_raw, score_raw = cut_lineage(train_raw), cut_lineage(score_raw)
     train = train_raw.withColumn("label", F.log1p(F.col(tgt))).drop(tgt)
     # each table is cleaned with its own statistics, as the reference does
     x = run_steps(train, recipe.steps)
