@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foldline.functions.columns import equals_flag, map_values
 from foldline.operators.impute import present
+from foldline.operators.joins import lookup_join, measured
 from foldline.operators.quantiles import complement_counts
 
 
@@ -60,14 +61,16 @@ class TargetEncoderModel:
     oof: DataFrame          # column, fold, _te   (mean over the other folds)
     full: DataFrame         # column, _te_full    (mean over all training rows)
     global_mean: float
+    oof_rows: int | None = None
+    full_rows: int | None = None
 
     def transform_train(self, df: DataFrame) -> DataFrame:
-        j = df.join(self.oof, on=[self.column, self.fold_col], how="left")
+        j = lookup_join(df, self.oof, [self.column, self.fold_col], n_rows=self.oof_rows)
         return j.withColumn(self.out_col, F.coalesce(F.col("_te"), F.lit(self.global_mean))) \
             .drop("_te").select(*df.columns, self.out_col)
 
     def transform_score(self, df: DataFrame) -> DataFrame:
-        j = df.join(self.full, on=self.column, how="left")
+        j = lookup_join(df, self.full, [self.column], n_rows=self.full_rows)
         return j.withColumn(self.out_col, F.coalesce(F.col("_te_full"), F.lit(self.global_mean))) \
             .drop("_te_full").select(*df.columns, self.out_col)
 
@@ -78,9 +81,9 @@ class TargetEncoder:
     One aggregation gives ``(category, fold) -> (sum, count)``; the training
     mean for held-out fold ``f`` is ``(total - own fold)`` of those additive
     sums, so every fold is served by the same pass instead of one pass per
-    fold. The statistics table has ``|categories| x k`` rows; the join back
-    to the rows is planned by AQE (broadcast when small, shuffle otherwise;
-    a hot category is split by AQE skew-join handling).
+    fold. The statistics table has ``|categories| x k`` rows; it is joined
+    back with :func:`lookup_join` (broadcast under a measured row bound,
+    shuffle join with AQE skew splitting above it).
     """
 
     def __init__(self, column: str, label: str, fold_col: str = "fold",
@@ -99,7 +102,9 @@ class TargetEncoder:
             c, f, F.when(rest_n > 0, (F.col("_all_sum") - F.col("_fold_sum")) / rest_n).alias("_te"))
         full = tot.select(c, (F.col("_all_sum") / F.col("_all_n")).alias("_te_full"))
         gmean = df.agg(F.avg(y)).first()[0]
-        return TargetEncoderModel(c, self.out_col, f, oof, full, gmean)
+        oof, n_oof = measured(oof)
+        full, n_full = measured(full)
+        return TargetEncoderModel(c, self.out_col, f, oof, full, gmean, n_oof, n_full)
 
 
 def target_encode(train: DataFrame, score: DataFrame | None, columns: Sequence[str],

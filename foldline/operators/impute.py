@@ -1,9 +1,9 @@
 """Imputers and row filters of the cleaning step.
 
 Fitted statistics (modes, medians) come from shuffled aggregates of bounded
-size: one value per column, or one row per group key, joined back (AQE turns
-the join into a broadcast when the runtime size of the group table is under
-the threshold, and keeps a shuffle join otherwise).
+size: one value per column (collected), or one row per group key, joined
+back with :func:`foldline.operators.joins.lookup_join` (broadcast under a
+measured row bound, shuffle join otherwise).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldline.functions.columns import col
 from foldline.operators.quantiles import (global_median, grouped_median, mode_from_counts,
@@ -57,10 +58,15 @@ class FillMode:
 
     def fit(self, df: DataFrame) -> FillModeModel:
         cols = present(df, self.cols)
-        if not cols:
-            return FillModeModel({})
-        modes = mode_from_counts(stacked_counts(df, cols), ["name"], "value").collect()
-        got = {r["name"]: r["mode"] for r in modes}
+        strings = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+        got = {}
+        if strings:  # all string columns in one shuffle
+            modes = mode_from_counts(stacked_counts(df, strings), ["name"], "value").collect()
+            got.update({r["name"]: r["mode"] for r in modes})
+        for c in cols:  # other types keep their own ordering for ties
+            if c not in strings:
+                row = mode_from_counts(value_counts(df, [], c), [], c).first()
+                got[c] = row["mode"] if row else None
         return FillModeModel({c: got.get(c) for c in cols})
 
 
@@ -76,6 +82,7 @@ class GroupMedianModel:
     medians: DataFrame            # key, _gmed
     global_median: float | None
     keep_null_key_values: bool = False
+    n_groups: int | None = None
 
     def group_filled(self, df: DataFrame) -> Column:
         v, k = F.col(self.value_col), F.col(self.key_col)
@@ -86,7 +93,8 @@ class GroupMedianModel:
         return F.when(k.isNotNull(), filled)
 
     def transform(self, df: DataFrame, with_global: bool = True) -> DataFrame:
-        joined = df.join(self.medians, on=self.key_col, how="left")
+        from foldline.operators.joins import lookup_join
+        joined = lookup_join(df, self.medians, [self.key_col], n_rows=self.n_groups)
         out = self.group_filled(joined)
         if with_global and self.global_median is not None:
             out = F.coalesce(out, F.lit(self.global_median))
@@ -103,9 +111,10 @@ class FillGroupMedian:
         self.keep_null_key_values = keep_null_key_values
 
     def fit(self, df: DataFrame) -> GroupMedianModel:
-        med = grouped_median(df, [self.key_col], self.value_col, "_gmed")
+        from foldline.operators.joins import measured
+        med, n = measured(grouped_median(df, [self.key_col], self.value_col, "_gmed"))
         model = GroupMedianModel(self.value_col, self.key_col, med, None,
-                                 self.keep_null_key_values)
+                                 self.keep_null_key_values, n)
         stage1 = model.transform(df, with_global=False)
         model.global_median = global_median(stage1, self.value_col)
         return model
