@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldline.functions.columns import equals_flag, map_values
 from foldline.operators.impute import present
@@ -107,14 +108,81 @@ class TargetEncoder:
         return TargetEncoderModel(c, self.out_col, f, oof, full, gmean, n_oof, n_full)
 
 
+@dataclass
+class MultiTargetEncoderModel:
+    columns: list
+    fold_col: str
+    oof: DataFrame          # name, value, fold, _te
+    full: DataFrame         # name, value, _te_full
+    global_mean: float
+    oof_rows: int
+    full_rows: int
+
+    def _apply(self, df: DataFrame, table: DataFrame, n: int, keys: list, col_name: str) -> DataFrame:
+        for c in self.columns:
+            part = table.where(F.col("name") == F.lit(c)).drop("name") \
+                .withColumnRenamed("value", c).withColumnRenamed(col_name, f"{c}_te")
+            joined = lookup_join(df, part, [c, *keys], n_rows=n)
+            df = joined.withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), F.lit(self.global_mean)))
+        return df
+
+    def transform_train(self, df: DataFrame) -> DataFrame:
+        return self._apply(df, self.oof, self.oof_rows, [self.fold_col], "_te")
+
+    def transform_score(self, df: DataFrame) -> DataFrame:
+        return self._apply(df, self.full, self.full_rows, [], "_te_full")
+
+
+class MultiTargetEncoder:
+    """:class:`TargetEncoder` for several columns from one aggregation pass.
+
+    The columns are stacked into ``(name, value)`` pairs so a single
+    ``groupBy(name, value, fold)`` (partial aggregation first) yields every
+    column's per-fold sums; the rest is the same additive ``total - own
+    fold`` rule. Values are compared as strings.
+    """
+
+    def __init__(self, columns: Sequence[str], label: str, fold_col: str = "fold"):
+        self.columns, self.label, self.fold_col = list(columns), label, fold_col
+
+    def fit(self, df: DataFrame) -> MultiTargetEncoderModel:
+        cols, y, f = present(df, self.columns), self.label, self.fold_col
+        pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
+                          for c in cols])
+        long = df.select(f, y, F.inline(pairs)).where(F.col("value").isNotNull())
+        per = long.groupBy("name", "value", f).agg(F.sum(y).alias("_fold_sum"),
+                                                    F.count(F.lit(1)).alias("_fold_n"))
+        tot = per.groupBy("name", "value").agg(F.sum("_fold_sum").alias("_all_sum"),
+                                               F.sum("_fold_n").alias("_all_n"))
+        rest_n = F.col("_all_n") - F.col("_fold_n")
+        oof = per.join(tot, ["name", "value"]).select(
+            "name", "value", f,
+            F.when(rest_n > 0, (F.col("_all_sum") - F.col("_fold_sum")) / rest_n).alias("_te"))
+        full = tot.select("name", "value", (F.col("_all_sum") / F.col("_all_n")).alias("_te_full"))
+        gmean = df.agg(F.avg(y)).first()[0]
+        oof, n_oof = measured(oof)
+        full, n_full = measured(full)
+        return MultiTargetEncoderModel(cols, f, oof, full, gmean, n_oof, n_full)
+
+
 def target_encode(train: DataFrame, score: DataFrame | None, columns: Sequence[str],
                   label: str, fold_col: str = "fold"):
-    """Apply :class:`TargetEncoder` to each present column; returns (train, score)."""
-    for c in present(train, columns):
-        model = TargetEncoder(c, label, fold_col).fit(train)
+    """OOF target encoding of every present column (one aggregation pass for
+    all of them); the scoring table gets full-training means. Returns
+    ``(train, score)``."""
+    cols = [c for c in present(train, columns)
+            if isinstance(train.schema[c].dataType, T.StringType)]
+    others = [c for c in present(train, columns) if c not in cols]
+    if cols:
+        model = MultiTargetEncoder(cols, label, fold_col).fit(train)
         train = model.transform_train(train)
         if score is not None:
             score = model.transform_score(score)
+    for c in others:  # non-string keys keep their own type
+        m = TargetEncoder(c, label, fold_col).fit(train)
+        train = m.transform_train(train)
+        if score is not None:
+            score = m.transform_score(score)
     return train, score
 
 

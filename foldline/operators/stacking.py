@@ -46,7 +46,7 @@ def label_context(df: DataFrame, label: str, fold_col: str, k: int) -> dict:
 def oof_predict(spec: ModelSpec, prep: FoldPreprocessModel, train: DataFrame,
                 score: DataFrame | None, id_col: str, label: str = "label",
                 fold_col: str = "fold", k: int = 5, params: dict | None = None,
-                parallelism: int = 2):
+                parallelism: int = 4):
     """Returns ``(oof, score_mean)``: long ``(id, fold, label, model, pred)`` for
     the training rows and ``(id, model, pred)`` averaged over fold models."""
     params = dict(params or {})

@@ -81,7 +81,7 @@ class RunResult:
     submission: DataFrame
 
 
-def run(prepared: Prepared, recipe: Recipe, parallelism: int = 2) -> RunResult:
+def run(prepared: Prepared, recipe: Recipe, parallelism: int = 4) -> RunResult:
     idc, k = recipe.id_col, recipe.n_splits
     x = prepared.train
     base = FoldPreprocessor(prepared.numeric, prepared.categorical, "tree", "fold", k)
