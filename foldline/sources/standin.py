@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldline.functions.columns import map_values
-from foldline.functions.hashing import bucket, sql_bucket
+from foldline.functions.hashing import bucket, sql_bucket  # noqa: F401
 from foldline.sources.tables import ORDER_FRAME_SQL, order_frame
 
 # Category domains of the house-sales data dictionary.
@@ -105,9 +105,60 @@ MASKED_CATEGORIES = {
 }
 
 
+# Each row gets a few md5 digests of its id; every 32-bit chunk of a digest is
+# split in mixed radix among several code columns (product of moduli per
+# chunk <= 2**20, so each bucket stays uniform to ~1e-4).
+_CHUNK_LIMIT = 1 << 20
+
+
+def _moduli():
+    out = [(n, spec[1] + (1 if spec[3] else 0)) for n, spec in HASHED_NUMERIC.items()]
+    out += [(n, len(v) + (1 if n in MASKED_CATEGORIES else 0)) for n, v in DOMAINS.items()]
+    return out
+
+
+def _layout():
+    """name -> (digest, chunk, divisor, modulus)."""
+    lay, digest, chunk, prod = {}, 0, 0, 1
+    for name, m in _moduli():
+        if prod * m > _CHUNK_LIMIT:
+            chunk, prod = chunk + 1, 1
+            if chunk == 4:
+                digest, chunk = digest + 1, 0
+        lay[name] = (digest, chunk, prod, m)
+        prod *= m
+    return lay
+
+
+LAYOUT = _layout()
+N_DIGESTS = max(d for d, _, _, _ in LAYOUT.values()) + 1
+
+
+def _bucket_spark(name):
+    d, c, div, m = LAYOUT[name]
+    chunk = (f"CAST(conv(substring(_d{d}, {1 + 8 * c}, 8), 16, 10) AS BIGINT)")
+    return F.expr(f"CAST((({chunk}) div {div}) % {m} AS INT)")
+
+
+def _bucket_sql(name):
+    d, c, div, m = LAYOUT[name]
+    chunk = f"CAST('0x' || substr(_d{d}, {1 + 8 * c}, 8) AS BIGINT)"
+    return f"CAST((({chunk}) // {div}) % {m} AS INTEGER)"
+
+
+def _digests_spark():
+    return [F.md5(F.concat(F.lit(f"standin{d}:"), F.col("Id").cast("string"))).alias(f"_d{d}")
+            for d in range(N_DIGESTS)]
+
+
+def _digests_sql():
+    return ", ".join(f"md5('standin{d}:' || CAST(\"Id\" AS VARCHAR)) AS _d{d}"
+                     for d in range(N_DIGESTS))
+
+
 def _hashed_numeric_spark(name, spec):
     kind, m, scale, masked = spec
-    b = bucket(F.col("Id"), name, m + (1 if masked else 0))
+    b = _bucket_spark(name)
     if kind == "int":
         v = (b * F.lit(scale)).cast("int")
     elif kind == "int1":
@@ -119,7 +170,7 @@ def _hashed_numeric_spark(name, spec):
 
 def _hashed_numeric_sql(name, spec):
     kind, m, scale, masked = spec
-    b = sql_bucket('"Id"', name, m + (1 if masked else 0))
+    b = _bucket_sql(name)
     if kind == "int":
         v = f"CAST({b} * {scale} AS INTEGER)"
     elif kind == "int1":
@@ -130,14 +181,12 @@ def _hashed_numeric_sql(name, spec):
 
 
 def _category_spark(name, values):
-    m = len(values) + (1 if name in MASKED_CATEGORIES else 0)
-    return map_values(bucket(F.col("Id"), name, m), dict(enumerate(values)), None)
+    return map_values(_bucket_spark(name), dict(enumerate(values)), None)
 
 
 def _category_sql(name, values):
-    m = len(values) + (1 if name in MASKED_CATEGORIES else 0)
     arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
-    return f"CASE {sql_bucket(chr(34) + 'Id' + chr(34), name, m)} {arms} END"
+    return f"CASE {_bucket_sql(name)} {arms} END"
 
 
 def housing_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,10 +210,11 @@ def housing_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("sd_first").alias("YearBuilt"),
         F.year("sd").alias("YearRemodAdd"),
     ]
-    frame = of.select(*cols)
+    frame = of.select(*cols).select("*", *_digests_spark())
     extra = [_hashed_numeric_spark(n, s).alias(n) for n, s in HASHED_NUMERIC.items()]
     extra += [_category_spark(n, v).alias(n) for n, v in DOMAINS.items()]
-    return frame.select("*", *extra)
+    base = [c for c in frame.columns if not c.startswith("_d")]
+    return frame.select(*base, *extra)
 
 
 def standin_sql() -> str:
@@ -187,7 +237,9 @@ SELECT f.o_orderkey AS "Id", f.o_totalprice AS "SalePrice",
 FROM ({ORDER_FRAME_SQL}) f"""
     extra = [f'{_hashed_numeric_sql(n, s)} AS "{n}"' for n, s in HASHED_NUMERIC.items()]
     extra += [f'{_category_sql(n, v)} AS "{n}"' for n, v in DOMAINS.items()]
-    return f"SELECT b.*, {', '.join(extra)} FROM ({inner}) b"
+    digs = ", ".join(f"_d{d}" for d in range(N_DIGESTS))
+    return (f"SELECT b.* EXCLUDE ({digs}), {', '.join(extra)} "
+            f"FROM (SELECT i.*, {_digests_sql()} FROM ({inner}) i) b")
 
 
 # Numeric columns laid out from real driver columns: (name, is_double).
