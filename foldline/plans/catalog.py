@@ -340,7 +340,8 @@ def _stack_inputs(spark, sf_dir):
     """Training rows with two closed-form base predictions (ridge, OOF target
     encoding) and the scoring rows with their fold-mean / full-data versions."""
     from foldline.operators import linear
-    mf = model_frame(spark, sf_dir)
+    # seven narrow columns read by ~8 statistics passes: materialise once
+    mf = cut_lineage(model_frame(spark, sf_dir))
     train, score = mf.where(~F.col("scoring")), mf.where(F.col("scoring"))
     fits, scored = _ridge_oof(train, BASE_FEATURES)
     te = encode.TargetEncoder("prio", "label", out_col="te").fit(train)
