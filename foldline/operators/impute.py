@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldline.functions.columns import col
-from foldline.operators.quantiles import (global_median, grouped_median, mode_from_counts,
-                                          value_counts)
+from foldline.operators.quantiles import mode_from_counts, percentile_from_counts, value_counts
 
 
 def present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -111,13 +110,33 @@ class FillGroupMedian:
         self.keep_null_key_values = keep_null_key_values
 
     def fit(self, df: DataFrame) -> GroupMedianModel:
+        """One pass over ``df``: ``(key, value) -> count`` (NULLs included,
+        partial aggregation) is materialised, and everything else is derived
+        from that table: the group medians, the key list (groups without any
+        value keep a NULL median) and the global median of the group-filled
+        column, whose distribution is the original counts plus each group's
+        NULL count placed at the group's median."""
         from foldline.operators.joins import measured
-        med, n = measured(grouped_median(df, [self.key_col], self.value_col, "_gmed"))
-        model = GroupMedianModel(self.value_col, self.key_col, med, None,
-                                 self.keep_null_key_values, n)
-        stage1 = model.transform(df, with_global=False)
-        model.global_median = global_median(stage1, self.value_col)
-        return model
+        from foldline.session import cut_lineage
+        k, v = self.key_col, self.value_col
+        dtype = df.schema[v].dataType
+        allc = cut_lineage(df.groupBy(k, v).agg(F.count(F.lit(1)).alias("_w")))
+        counts = allc.where(F.col(k).isNotNull() & F.col(v).isNotNull())
+        med = percentile_from_counts(counts, [k], v, 0.5, "_gmed")
+        groups = allc.where(F.col(k).isNotNull()).select(k).distinct()
+        med, n = measured(groups.join(med, [k], "left"))
+        own = counts.select(F.col(v).cast("double").alias("_v"), "_w")
+        filled = (allc.where(F.col(k).isNotNull() & F.col(v).isNull()).drop(v)
+                  .join(med.where(F.col("_gmed").isNotNull()), [k])
+                  .select(F.col("_gmed").cast(dtype).cast("double").alias("_v"), "_w"))
+        parts = own.unionByName(filled)
+        if self.keep_null_key_values:
+            parts = parts.unionByName(allc.where(F.col(k).isNull() & F.col(v).isNotNull())
+                                      .select(F.col(v).cast("double").alias("_v"), "_w"))
+        glob = parts.groupBy("_v").agg(F.sum("_w").alias("_w"))
+        row = percentile_from_counts(glob, [], "_v", 0.5, "m").first()
+        return GroupMedianModel(v, k, med, row["m"] if row else None,
+                                self.keep_null_key_values, n)
 
 
 def fill_group_median(df: DataFrame, value_col: str, key_col: str) -> DataFrame:
