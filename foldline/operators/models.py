@@ -87,6 +87,11 @@ REGISTRY: dict[str, ModelSpec] = {
 }
 
 
+def register_model(spec: ModelSpec, registry: dict | None = None) -> None:
+    """Add a user model factory (any MLlib estimator) under ``spec.name``."""
+    (REGISTRY if registry is None else registry)[spec.name] = spec
+
+
 def resolve(names, registry: dict | None = None) -> list[ModelSpec]:
     """Specs for the known names; unknown names are skipped with a warning."""
     reg = REGISTRY if registry is None else registry

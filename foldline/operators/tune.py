@@ -13,10 +13,10 @@ fold column as ``foldCol`` (folds evaluated in parallel).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldline.operators.linear import (elastic_net_fit, fold_case, fold_stats, ridge_fit)
@@ -40,15 +40,21 @@ def enet_fold_fit(fs, fold, alpha: float, l1_ratio: float):
 
 
 def elastic_net_search(wide: DataFrame, features: Sequence[str], candidates,
-                       label: str = "label", fold_col: str = "fold") -> DataFrame:
-    """``trial, alpha, l1_ratio, mae`` for every candidate (CV, original scale)."""
+                       label: str = "label", fold_col: str = "fold",
+                       objective: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """``trial, alpha, l1_ratio, mae`` for every candidate (CV, original scale).
+
+    ``objective(label, prediction) -> Column`` replaces the per-row error
+    (default: absolute error after ``expm1``); it is averaged over rows.
+    """
     fs = fold_stats(wide, features, label, fold_col)
     folds = sorted(fs.per_fold)
     y = F.col(label)
+    err = objective or abs_error
     aggs = []
     for t, (a, r) in enumerate(candidates):
         fits = {f: enet_fold_fit(fs, f, a, r) for f in folds}
-        aggs.append(F.avg(abs_error(y, fold_case(fold_col, fits, features))).alias(f"t{t}"))
+        aggs.append(F.avg(err(y, fold_case(fold_col, fits, features))).alias(f"t{t}"))
     wide_row = wide.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(t).alias("trial"), F.lit(a).alias("alpha"),
                               F.lit(r).alias("l1_ratio"), F.col(f"t{t}").alias("mae"))

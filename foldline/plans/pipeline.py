@@ -128,3 +128,24 @@ def flagship_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     train_raw, score_raw = split_standin(spark, sf_dir, recipe.id_col)
     prepared = prepare(train_raw, score_raw, recipe)
     return run(prepared, recipe).metrics
+
+
+def ablation(spark: SparkSession, sf_dir: str, recipe: Recipe, step_name: str,
+             models: list | None = None) -> DataFrame:
+    """Run the recipe with and without one step; CV MAE per model and the
+    difference (``without - with``), as one small DataFrame."""
+    from dataclasses import replace
+    models = models or ["Linear_Ridge"]
+    train_raw, score_raw = split_standin(spark, sf_dir, recipe.id_col)
+    out = []
+    for variant, steps in [("with", recipe.steps),
+                           ("without", [s for s in recipe.steps if s.__name__ != step_name])]:
+        r = replace(recipe, steps=steps, active_models=models)
+        res = run(prepare(train_raw, score_raw, r), r)
+        maes = res.metrics.where(F.col("fold").isNull() & (F.col("metric") == "mae")
+                                 & ~F.col("model").startswith("meta_")).collect()
+        out += [(variant, m["model"], float(m["value"])) for m in maes]
+    rows = {(v, m): x for v, m, x in out}
+    table = [(m, rows[("with", m)], rows[("without", m)], rows[("without", m)] - rows[("with", m)])
+             for m in models]
+    return spark.createDataFrame(table, "model string, mae_with double, mae_without double, delta double")
