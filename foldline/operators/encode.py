@@ -13,6 +13,7 @@ from foldline.functions.columns import equals_flag, map_values
 from foldline.operators.impute import present
 from foldline.operators.joins import lookup_join, measured
 from foldline.operators.quantiles import complement_counts
+from foldline.session import cut_lineage
 
 
 @dataclass
@@ -217,21 +218,22 @@ class FoldCategories:
         self.cols, self.fold_col, self.k = list(cols), fold_col, k
         self.max_categories = max_categories
 
-    def vocab(self, df: DataFrame) -> DataFrame:
+    def training_values(self, df: DataFrame) -> DataFrame:
         from foldline.operators.impute import stacked_counts
         counts = stacked_counts(df, present(df, self.cols), [self.fold_col])
-        train = complement_counts(counts, self.fold_col, self.k, "fold")
-        w = Window.partitionBy("fold", "name").orderBy("value")
-        return train.select("fold", "name", "value").withColumn(
-            "idx", (F.row_number().over(w) - 1).cast("int"))
+        return cut_lineage(complement_counts(counts, self.fold_col, self.k, "fold")
+                           .select("fold", "name", "value"))
 
     def fit(self, df: DataFrame) -> FoldCategoriesModel:
-        vocab = self.vocab(df)
-        sizes = vocab.groupBy("name").agg(F.max("idx").alias("m")).collect()
-        too_big = [r["name"] for r in sizes if r["m"] + 1 > self.max_categories]
+        train = self.training_values(df)
+        # size guard before anything groups a column's values together
+        sizes = train.groupBy("name").agg(F.count(F.lit(1)).alias("m")).collect()
+        too_big = [r["name"] for r in sizes if r["m"] > self.k * self.max_categories]
         if too_big:
             raise ValueError(f"one-hot vocabulary too large for {too_big}; "
                              f"use a target encoding for these columns")
+        w = Window.partitionBy("fold", "name").orderBy("value")
+        vocab = train.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
         cats: dict = {}
         for r in vocab.orderBy("fold", "name", "idx").collect():
             cats.setdefault((r["fold"], r["name"]), []).append(r["value"])

@@ -22,11 +22,30 @@ log = logging.getLogger(__name__)
 RANDOM_STATE = 42
 
 
+# MLlib's normal-equation solver handles at most this many features.
+NORMAL_SOLVER_MAX_FEATURES = 4096
+
+
 @dataclass
 class FitContext:
-    """Training-fold facts some factories need (penalty conversion)."""
+    """Training-fold facts some factories need (penalty conversion, solver)."""
     n_train: float
     label_std_pop: float
+    n_features: int = 0
+
+    @property
+    def label_std_sample(self) -> float:
+        n = self.n_train
+        return self.label_std_pop * (n / (n - 1)) ** 0.5 if n > 1 else self.label_std_pop
+
+    @property
+    def solver(self) -> str:
+        return "normal" if self.n_features <= NORMAL_SOLVER_MAX_FEATURES else "l-bfgs"
+
+    @property
+    def solver_label_std(self) -> float:
+        # MLlib scales the L2 part by the population std (normal) or the sample std (l-bfgs)
+        return self.label_std_pop if self.solver == "normal" else self.label_std_sample
 
 
 @dataclass
@@ -60,17 +79,17 @@ def _forest(ctx: FitContext, params: dict):
 
 def _ridge(alpha: float):
     def build(ctx: FitContext, params: dict):
-        reg, enp = mllib_penalty(alpha, 0.0, ctx.n_train, ctx.label_std_pop, ridge=True)
+        reg, enp = mllib_penalty(alpha, 0.0, ctx.n_train, ctx.solver_label_std, ridge=True)
         return LinearRegression(regParam=reg, elasticNetParam=enp, standardization=False,
-                                solver="normal", fitIntercept=True, featuresCol="features",
-                                labelCol="label")
+                                solver=ctx.solver, fitIntercept=True, maxIter=params.get("maxIter", 1000),
+                                tol=1e-9, featuresCol="features", labelCol="label")
     return build
 
 
 def _lasso(alpha: float):
     def build(ctx: FitContext, params: dict):
         return LinearRegression(regParam=alpha, elasticNetParam=1.0, standardization=False,
-                                solver="normal", fitIntercept=True,
+                                solver=ctx.solver, fitIntercept=True,
                                 maxIter=params.get("maxIter", 10000), tol=1e-9,
                                 featuresCol="features", labelCol="label")
     return build

@@ -57,7 +57,8 @@ def oof_predict(spec: ModelSpec, prep: FoldPreprocessModel, train: DataFrame,
 
     def one_fold(i: int):
         fx = prep.features(train, i, keep)
-        est = spec.build(ctx[i], params)
+        c = ctx[i]
+        est = spec.build(FitContext(c.n_train, c.label_std_pop, len(prep.columns(i))), params)
         if spec.uses_validation:
             fit_df = fx.withColumn("is_val", F.col(fold_col) == F.lit(i))
         else:

@@ -67,3 +67,16 @@ def test_gram_elastic_net_matches_direct_cd(data):
     fs = linear.fold_stats(df, ["a", "b", "c"], "y", None)
     fit = linear.elastic_net_fit(fs, fs.per_fold[0], 0.1, 0.5)
     assert np.allclose(fit.coef, coordinate_descent(x, y, 0.1, 0.5), atol=1e-7)
+
+
+def test_mllib_ridge_lbfgs_uses_sample_std(data):
+    from foldline.operators.models import FitContext
+    df, x, y = data
+    w, _ = closed_ridge(x, y, 10.0)
+    ctx = FitContext(len(y), float(np.std(y)), n_features=5000)   # wide -> l-bfgs
+    assert ctx.solver == "l-bfgs"
+    reg, enp = linear.mllib_penalty(10.0, 0.0, len(y), ctx.solver_label_std, ridge=True)
+    va = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features")
+    m = LinearRegression(regParam=reg, elasticNetParam=enp, standardization=False, solver="l-bfgs",
+                         maxIter=1000, tol=1e-12, labelCol="y").fit(va.transform(df))
+    assert np.allclose(m.coefficients.toArray(), w, atol=1e-4)
