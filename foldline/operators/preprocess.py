@@ -41,6 +41,24 @@ def fold_medians(df: DataFrame, cols: Sequence[str], fold_col: str, k: int) -> d
     return {(r["fold"], r["name"]): r["median"] for r in med.collect()}
 
 
+def fold_medians_approx(df: DataFrame, cols: Sequence[str], fold_col: str, k: int,
+                        accuracy: int = 10_000) -> dict:
+    """Approximate training-fold medians (``percentile_approx``): each row is
+    sent to the ``k - 1`` folds it trains and fixed-size sketches are merged
+    map-side, so the shuffle carries sketches instead of distinct values.
+    Rank error is at most ``n / accuracy``."""
+    if not cols:
+        return {}
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
+                      for c in cols])
+    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != F.col(fold_col))
+    long = (df.select(fold_col, F.inline(pairs)).where(F.col("value").isNotNull())
+            .withColumn("fold_t", F.explode(others)))
+    med = long.groupBy("fold_t", "name").agg(
+        F.percentile_approx("value", 0.5, accuracy).alias("median"))
+    return {(r["fold_t"], r["name"]): r["median"] for r in med.collect()}
+
+
 def fold_modes(df: DataFrame, cols: Sequence[str], fold_col: str, k: int) -> dict:
     """``(fold, column) -> most frequent training value`` (ties -> smallest)."""
     if not cols:
@@ -152,14 +170,18 @@ def _named(e: Column, n: str) -> Column:
 
 
 class FoldPreprocessor:
+    """``median='exact'`` (default, as the reference) or ``'approx'`` for very
+    large continuous columns (sketch-based, bounded shuffle)."""
+
     def __init__(self, numeric: Sequence[str], categorical: Sequence[str], kind: str = "tree",
-                 fold_col: str = "fold", k: int = 5):
-        assert kind in ("tree", "linear", "native")
+                 fold_col: str = "fold", k: int = 5, median: str = "exact"):
+        assert kind in ("tree", "linear", "native") and median in ("exact", "approx")
         self.numeric, self.categorical = list(numeric), list(categorical)
-        self.kind, self.fold_col, self.k = kind, fold_col, k
+        self.kind, self.fold_col, self.k, self.median = kind, fold_col, k, median
 
     def fit(self, df: DataFrame) -> FoldPreprocessModel:
-        med = fold_medians(df, self.numeric, self.fold_col, self.k)
+        med = (fold_medians if self.median == "exact" else fold_medians_approx)(
+            df, self.numeric, self.fold_col, self.k)
         modes = fold_modes(df, self.categorical, self.fold_col, self.k)
         vocab = FoldCategories(self.categorical, self.fold_col, self.k).fit(df) \
             if self.categorical else FoldCategoriesModel()

@@ -65,3 +65,15 @@ def test_multi_encoder_equals_single(spark):
     s = {r["i"]: (r["a_te"], r["b_te"]) for r in single.collect()}
     for i in m:
         assert m[i] == pytest.approx(s[i])
+
+
+def test_approx_fold_medians_close_to_exact(spark):
+    from foldline.operators.preprocess import fold_medians, fold_medians_approx
+    rng = np.random.default_rng(5)
+    rows = [(int(i % 5), float(rng.normal()), float(rng.exponential())) for i in range(5000)]
+    df = spark.createDataFrame(rows, "fold int, a double, b double")
+    ex = fold_medians(df, ["a", "b"], "fold", 5)
+    ap = fold_medians_approx(df, ["a", "b"], "fold", 5)
+    assert set(ex) == set(ap)
+    for key in ex:
+        assert abs(ex[key] - ap[key]) < 0.01
