@@ -75,15 +75,17 @@ def percentile_from_counts(counts: DataFrame, group_cols: Sequence[str], value_c
     w_local = (Window.partitionBy("_pid", *g).orderBy(value_col)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_cum", F.sum("_w").over(w_local))
-
-    slices = ranged.groupBy("_pid", *g).agg(F.sum("_w").alias("_slice"))
-    w_off = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # The window output is already clustered by (_pid, group): the slice
+    # totals reuse that partitioning, so the counts are shuffled only once.
+    slices = local.groupBy("_pid", *g).agg(F.max("_cum").alias("_slice"))
     # One row per (slice, group): small even for a hot group.
-    offsets = slices.withColumn("_off", F.coalesce(F.sum("_slice").over(w_off), F.lit(0)))
-    totals = slices.groupBy(*g).agg(F.sum("_slice").alias("_n"))
+    w_off = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(
+        "_pid", *g, F.coalesce(F.sum("_slice").over(w_off), F.lit(0)).alias("_off"),
+        F.sum("_slice").over(Window.partitionBy(*g)).alias("_n"))
 
     pos = (F.col("_n") - 1) * F.lit(float(p))
-    located = local.join(offsets.drop("_slice"), ["_pid", *g]).join(totals, g)
+    located = local.join(offsets, ["_pid", *g])
     hi_cum = F.col("_off") + F.col("_cum")           # rows <= value
     lo_cum = hi_cum - F.col("_w")                    # rows <  value
     lo_rank, hi_rank = F.floor(pos), F.ceil(pos)
@@ -155,7 +157,8 @@ def global_positions(df: DataFrame, order_col: str, out_col: str = "_pos",
                          .withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(order_col)) - 1)
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_sz"))
+    # clustered by _pid already: no second shuffle of the rows
+    sizes = local.groupBy("_pid").agg((F.max("_lrn") + 1).alias("_sz"))
     w = Window.partitionBy(F.lit(0)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_sz").over(w), F.lit(0)).alias("_off"),
                            F.sum("_sz").over(Window.partitionBy(F.lit(0))).alias("_total"))
