@@ -16,18 +16,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def cents(c: str):
+    """A two-decimal amount as exact integer cents."""
+    return F.round(F.col(c) * F.lit(100.0)).cast("bigint")
+
+
 def line_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem aggregated per order (partial aggregation before the shuffle)."""
+    """lineitem aggregated per order (partial aggregation before the shuffle).
+
+    Money and discounts are summed as integer cents, so the sums do not
+    depend on the order in which partitions are combined (floating sums do,
+    in the last bit); one final division gives the same double everywhere.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_discount", "l_extendedprice", "l_shipdate")
-    return li.groupBy("l_orderkey").agg(
+    agg = li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").alias("qty"),
-        F.avg("l_discount").alias("disc"),
-        F.sum("l_extendedprice").alias("ext"),
+        F.sum(cents("l_discount")).alias("_disc_cents"),
+        F.sum(cents("l_extendedprice")).alias("_ext_cents"),
         F.max("l_shipdate").alias("sd"),
         F.min("l_shipdate").alias("sd_first"),
     )
+    return agg.select(
+        "l_orderkey", "n_lines", "qty",
+        (F.col("_disc_cents").cast("double") / (F.lit(100.0) * F.col("n_lines"))).alias("disc"),
+        (F.col("_ext_cents").cast("double") / F.lit(100.0)).alias("ext"),
+        "sd", "sd_first")
 
 
 def order_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,8 +70,11 @@ SELECT o.o_orderkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpr
        l.n_lines, l.qty, l.disc, l.ext, l.sd, l.sd_first
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
-LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty,
-                  avg(l_discount) AS disc, sum(l_extendedprice) AS ext,
-                  max(l_shipdate) AS sd, min(l_shipdate) AS sd_first
-           FROM lineitem GROUP BY l_orderkey) l ON l.l_orderkey = o.o_orderkey
+LEFT JOIN (SELECT l_orderkey, n_lines, qty, CAST(disc_cents AS DOUBLE) / (100.0 * n_lines) AS disc,
+                  CAST(ext_cents AS DOUBLE) / 100.0 AS ext, sd, sd_first
+           FROM (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty,
+                        sum(CAST(round(l_discount * 100.0) AS BIGINT)) AS disc_cents,
+                        sum(CAST(round(l_extendedprice * 100.0) AS BIGINT)) AS ext_cents,
+                        max(l_shipdate) AS sd, min(l_shipdate) AS sd_first
+                 FROM lineitem GROUP BY l_orderkey) la) l ON l.l_orderkey = o.o_orderkey
 """
