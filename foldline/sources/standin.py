@@ -203,7 +203,7 @@ def housing_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("qty") * F.lit(10.0)).alias("TotalBsmtSF"),
         (F.col("qty") * F.lit(10.0) * (F.lit(1.0) - F.col("disc"))).alias("BsmtFinSF1"),
         F.col("n_lines").cast("double").alias("BsmtFinSF2"),
-        F.floor(F.col("o_totalprice") / F.lit(1000.0)).cast("int").alias("1stFlrSF"),
+        F.floor(F.col("ext") / F.lit(200.0)).cast("int").alias("1stFlrSF"),
         (F.col("c_nationkey") * F.lit(10)).cast("int").alias("2ndFlrSF"),
         F.year("o_orderdate").alias("YrSold"),
         F.month("o_orderdate").alias("MoSold"),
@@ -228,7 +228,7 @@ SELECT f.o_orderkey AS "Id", f.o_totalprice AS "SalePrice",
        CAST(floor(f.ext / 100.0) AS INTEGER) AS "GrLivArea",
        f.qty * 10.0 AS "TotalBsmtSF", f.qty * 10.0 * (1.0 - f.disc) AS "BsmtFinSF1",
        CAST(f.n_lines AS DOUBLE) AS "BsmtFinSF2",
-       CAST(floor(f.o_totalprice / 1000.0) AS INTEGER) AS "1stFlrSF",
+       CAST(floor(f.ext / 200.0) AS INTEGER) AS "1stFlrSF",
        CAST(f.c_nationkey * 10 AS INTEGER) AS "2ndFlrSF",
        CAST(year(f.o_orderdate) AS INTEGER) AS "YrSold",
        CAST(month(f.o_orderdate) AS INTEGER) AS "MoSold",
