@@ -262,7 +262,7 @@ ORACLE["target_encode_full"] = (
 
 _TE = housing.TARGET_ENCODE_COLUMNS
 ORACLE["target_encode_multi"] = (
-    f"WITH {H}, t AS (SELECT *, ln(1 + \"SalePrice\") AS label, {sql_bucket(chr(34) + 'Id' + chr(34), str(SEED), K)} AS fold FROM h) "
+    f"WITH {H}, t AS (SELECT *, ln(1 + \"SalePrice\") AS label, {sql_bucket(q('Id'), str(SEED), K)} AS fold FROM h) "
     "SELECT a.\"Id\", "
     + ", ".join(r6(f"coalesce((SELECT avg(b.label) FROM t b WHERE b.{q(c)} = a.{q(c)} AND b.fold <> a.fold), "
                    f"(SELECT avg(label) FROM t))") + f" AS {q(c + '_te')}" for c in _TE)
@@ -350,8 +350,10 @@ MT = (f"mt0 AS (SELECT model, fold, avg({ae('label', 'pred')}) AS mae, avg({pe('
       "UNION ALL SELECT model, fold, 'mape' AS metric, mape AS value FROM mt0 WHERE model IS NOT NULL)")
 
 ORACLE["ridge_oof"] = f"{BASE} SELECT o_orderkey, fold, {r6('pred')} AS pred FROM oof"
-ORACLE["mae_by_fold"] = f"{BASE} SELECT fold, {r6(f'avg({ae(chr(108) + 'abel', 'pred')})')} AS mae FROM oof GROUP BY ROLLUP (fold)"
-ORACLE["mape"] = f"{BASE} SELECT fold, {r6(f'avg({pe(chr(108) + 'abel', 'pred')})')} AS mape FROM oof GROUP BY ROLLUP (fold)"
+_MAE_OOF = r6("avg(" + ae("label", "pred") + ")")
+_MAPE_OOF = r6("avg(" + pe("label", "pred") + ")")
+ORACLE["mae_by_fold"] = f"{BASE} SELECT fold, {_MAE_OOF} AS mae FROM oof GROUP BY ROLLUP (fold)"
+ORACLE["mape"] = f"{BASE} SELECT fold, {_MAPE_OOF} AS mape FROM oof GROUP BY ROLLUP (fold)"
 ORACLE["metric_table"] = f"{STACK}, {LONG}, {MT} SELECT model, fold, metric, {r6('value')} AS value FROM mt"
 ORACLE["cv_summary"] = (
     f"{STACK}, {LONG}, {MT} SELECT model, {r6('avg(value)')} AS mae_mean, "
@@ -364,15 +366,19 @@ ORACLE["meta_ridge"] = (
     f"{STACK}, {META} SELECT term, floor(coef * 1e4 + 0.5) / 1e4 AS coef FROM ("
     "SELECT 'ridge' AS term, w1 AS coef FROM mc UNION ALL SELECT 'te', w2 FROM mc "
     "UNION ALL SELECT 'intercept', b FROM mc)")
+def blend(w: float) -> str:
+    """``w * ridge + (1 - w) * te`` with the same double constants as Spark."""
+    return f"({w!r}::DOUBLE * ridge + {1.0 - w!r}::DOUBLE * te)"
+
+
 ORACLE["blend_sweep"] = f"{STACK} " + " UNION ALL ".join(
-    f"SELECT {r6(f'{w!r}::DOUBLE')} AS weight, "
-    f"{r6(f'avg({ae(chr(108) + chr(97) + chr(98) + chr(101) + chr(108), f"({w!r}::DOUBLE * ridge + {1.0 - w!r}::DOUBLE * te)")})')} AS mae FROM st"
+    f"SELECT {r6(f'{w!r}::DOUBLE')} AS weight, " + r6("avg(" + ae("label", blend(w)) + ")") + " AS mae FROM st"
     for w in BLEND_WEIGHTS)
 _CANDS = (" UNION ALL ".join(
     [f"SELECT 'ridge' AS candidate, avg({ae('label', 'ridge')}) AS mae, 0 AS priority FROM st",
      f"SELECT 'te' AS candidate, avg({ae('label', 'te')}) AS mae, 1 AS priority FROM st"]
-    + [f"SELECT 'blend_{w!r}' AS candidate, avg({ae('label', f'({w!r}::DOUBLE * ridge + {1.0 - w!r}::DOUBLE * te)')}) "
-       f"AS mae, {i + 2} AS priority FROM st" for i, w in enumerate(BLEND_WEIGHTS)]))
+    + [f"SELECT 'blend_{w!r}' AS candidate, avg({ae('label', blend(w))}) AS mae, {i + 2} AS priority FROM st"
+       for i, w in enumerate(BLEND_WEIGHTS)]))
 ORACLE["best_candidate"] = (
     f"{STACK} SELECT candidate, {r6('mae')} AS mae FROM ({_CANDS}) ORDER BY mae, priority LIMIT 1")
 ORACLE["fold_mean_pred"] = f"{STACK} SELECT o_orderkey, {r6('ridge')} AS pred FROM sp"
@@ -427,8 +433,8 @@ ORACLE["skew_select"] = (
 ORACLE["skew_apply"] = (
     f"WITH {SK}, sel AS (SELECT \"column\" FROM sk WHERE coalesce(abs(skewness) > 0.75, false) "
     "AND non_negative) SELECT \"Id\", "
-    + ", ".join(f"{r6(f'CASE WHEN EXISTS (SELECT 1 FROM sel WHERE sel.column = {chr(39)}{c}{chr(39)}) '
-                      f'THEN ln(1 + CAST({q(c)} AS DOUBLE)) ELSE CAST({q(c)} AS DOUBLE) END')} AS {q(c)}"
+    + ", ".join(r6(f"CASE WHEN EXISTS (SELECT 1 FROM sel WHERE sel.column = '{c}') "
+                   f"THEN ln(1 + CAST({q(c)} AS DOUBLE)) ELSE CAST({q(c)} AS DOUBLE) END") + f" AS {q(c)}"
                 for c in _SKEW_COLS) + " FROM h")
 ORACLE["log_target"] = f"WITH {H} SELECT \"Id\", {r6('ln(1 + \"SalePrice\")')} AS label FROM h"
 ORACLE["roundtrip_log"] = (
