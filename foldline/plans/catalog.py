@@ -775,7 +775,7 @@ def q_stacked_submission(spark, sf_dir):
     """The whole housing run: outliers, recipe, OOF target encoding, drop list,
     skew fix, the six base models out of fold, the meta model; returns the
     ``Id, SalePrice`` scoring frame (money rounded to cents)."""
-    from foldline.plans.pipeline import prepare, run, split_standin
+    from foldline.plans.runner import prepare, run, split_standin
     recipe = housing.Recipe(model_params=dict(QUICK_PARAMS))
     train_raw, score_raw = split_standin(spark, sf_dir, recipe.id_col)
     res = run(prepare(train_raw, score_raw, recipe), recipe)

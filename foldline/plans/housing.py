@@ -83,7 +83,7 @@ def clean_data(df: DataFrame) -> DataFrame:
     """Constant, zero, mode, default and group-median fills, then code casts.
 
     The step fits its statistics on its own input (several passes over it);
-    the pipeline hands it a materialised table.
+    the runner hands it a materialised table.
     """
     out = fill_constant(df, NONE_FILL_COLUMNS, "None")
     out = fill_constant(out, ZERO_FILL_COLUMNS, 0)
