@@ -21,7 +21,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -156,11 +156,50 @@ class FoldPreprocessModel:
         cols = self.columns(fold)
         return df.select(*keep, *[_named(e, n) for n, e in cols.items()])
 
+    def n_features(self, fold: int) -> int:
+        cats = sum(len(self.vocab.categories.get((fold, c), [])) for c in self.categorical)
+        return len(self.numeric) + (len(self.categorical) if self.kind == "native" else cats)
+
+    def index_columns(self, fold: int) -> dict:
+        """Per category: position of the mode-imputed value in the fold's
+        vocabulary, unseen -> one extra last slot; nominal ML metadata."""
+        out = {}
+        for c in self.categorical:
+            cats = self.vocab.categories.get((fold, c), [])
+            mode = self.modes.get((fold, c))
+            v = F.coalesce(F.col(c), F.lit(mode)) if mode is not None else F.col(c)
+            idx = F.coalesce(map_values(v, {x: i for i, x in enumerate(cats)}, None),
+                             F.lit(len(cats))).cast("double")
+            meta = {"ml_attr": {"type": "nominal", "name": f"idx__{c}",
+                                "vals": [str(x) for x in cats] + ["__unseen__"]}}
+            out[f"idx__{c}"] = idx.alias(f"idx__{c}", metadata=meta)
+        return out
+
     def features(self, df: DataFrame, fold: int, keep: Sequence[str],
                  out_col: str = "features") -> DataFrame:
-        cols = self.columns(fold)
-        wide = df.select(*keep, *[_named(e, n) for n, e in cols.items()])
-        va = VectorAssembler(inputCols=list(cols), outputCol=out_col, handleInvalid="keep")
+        """One vector column for the model of ``fold``.
+
+        Tree / linear kinds one-hot the categories with MLlib's
+        ``OneHotEncoder`` over nominal index columns (``dropLast`` removes
+        the unseen slot, so unseen and NULL become all-zero, as
+        ``handle_unknown='ignore'``); the encoder reads the category count
+        from the column metadata, so fitting it runs no job, and the vectors
+        stay sparse.
+        """
+        if self.kind == "native":
+            cols = self.columns(fold)
+            wide = df.select(*keep, *[_named(e, n) for n, e in cols.items()])
+            inputs = list(cols)
+        else:
+            nums = {f"num__{c}": self.numeric_expr(fold, c) for c in self.numeric}
+            idx = self.index_columns(fold)
+            wide = df.select(*keep, *[e.alias(n) for n, e in nums.items()], *idx.values())
+            if idx:
+                enc = OneHotEncoder(inputCols=list(idx), outputCols=[f"oh__{n[5:]}" for n in idx],
+                                    dropLast=True, handleInvalid="error")
+                wide = enc.fit(wide).transform(wide)
+            inputs = list(nums) + [f"oh__{n[5:]}" for n in idx]
+        va = VectorAssembler(inputCols=inputs, outputCol=out_col, handleInvalid="keep")
         return va.transform(wide).select(*keep, out_col)
 
 

@@ -46,7 +46,7 @@ def label_context(df: DataFrame, label: str, fold_col: str, k: int) -> dict:
 def oof_predict(spec: ModelSpec, prep: FoldPreprocessModel, train: DataFrame,
                 score: DataFrame | None, id_col: str, label: str = "label",
                 fold_col: str = "fold", k: int = 5, params: dict | None = None,
-                parallelism: int = 4):
+                parallelism: int = 5):
     """Returns ``(oof, score_mean)``: long ``(id, fold, label, model, pred)`` for
     the training rows and ``(id, model, pred)`` averaged over fold models."""
     params = dict(params or {})
@@ -58,7 +58,7 @@ def oof_predict(spec: ModelSpec, prep: FoldPreprocessModel, train: DataFrame,
     def one_fold(i: int):
         fx = prep.features(train, i, keep)
         c = ctx[i]
-        est = spec.build(FitContext(c.n_train, c.label_std_pop, len(prep.columns(i))), params)
+        est = spec.build(FitContext(c.n_train, c.label_std_pop, prep.n_features(i)), params)
         if spec.uses_validation:
             fit_df = fx.withColumn("is_val", F.col(fold_col) == F.lit(i))
         else:

@@ -9,6 +9,7 @@ feature table is final, because every fold fit of every model re-reads it.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,9 +57,10 @@ def prepare(train_raw: DataFrame, score_raw: DataFrame, recipe: Recipe,
     # the recipe fits several statistics on each table: read the source once
     train_raw, score_raw = cut_lineage(train_raw), cut_lineage(score_raw)
     train = train_raw.withColumn("label", F.log1p(F.col(tgt))).drop(tgt)
-    # each table is cleaned with its own statistics, as the reference does
-    x = run_steps(train, recipe.steps)
-    xt = run_steps(score_raw, recipe.steps)
+    # each table is cleaned with its own statistics, as the reference does;
+    # the two fits are independent jobs and run side by side
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        x, xt = pool.map(lambda d: run_steps(d, recipe.steps), [train, score_raw])
     x = hash_fold(x, idc, recipe.n_splits, recipe.random_state)
     x, xt = target_encode(x, xt, recipe.target_encode_cols, "label")
     drop = [c for c in recipe.drop_features if c != idc]
@@ -81,7 +83,8 @@ class RunResult:
     submission: DataFrame
 
 
-def run(prepared: Prepared, recipe: Recipe, parallelism: int = 4) -> RunResult:
+def run(prepared: Prepared, recipe: Recipe, parallelism: int = 5,
+        model_parallelism: int = 3) -> RunResult:
     idc, k = recipe.id_col, recipe.n_splits
     x = prepared.train
     base = FoldPreprocessor(prepared.numeric, prepared.categorical, "tree", "fold", k)
@@ -92,12 +95,16 @@ def run(prepared: Prepared, recipe: Recipe, parallelism: int = 4) -> RunResult:
         if spec.prep not in preps:
             preps[spec.prep] = tree if spec.prep == "tree" else \
                 base.with_kind(tree, spec.prep, x)
-    oofs, scores = [], []
-    for spec in specs:
+    def one_model(spec):
         o, s = oof_predict(spec, preps[spec.prep], x, prepared.score, idc, "label", "fold", k,
                            recipe.model_params.get(spec.name), parallelism)
-        oofs.append(cut_lineage(o))
-        scores.append(cut_lineage(s))
+        return cut_lineage(o), cut_lineage(s)
+
+    # models are independent Spark jobs: a few run side by side (each with
+    # its fold fits in parallel), sharing the cluster
+    with ThreadPoolExecutor(max_workers=max(1, model_parallelism)) as pool:
+        done = list(pool.map(one_model, specs))
+    oofs, scores = [o for o, _ in done], [s for _, s in done]
     names = [s.name for s in specs]
     long = oofs[0]
     for o in oofs[1:]:
