@@ -69,7 +69,7 @@ def best_trial(results: DataFrame) -> DataFrame:
 
 
 def gbt_search(train: DataFrame, fold_col: str = "fold", grid: dict | None = None,
-               seed: int = 42, parallelism: int = 2, k: int = 5):
+               seed: int = 42, parallelism: int = 4, k: int = 5):
     """CrossValidator over GBTRegressor on ``features``/``label`` with ``foldCol``."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.regression import GBTRegressor

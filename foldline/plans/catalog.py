@@ -698,23 +698,25 @@ for _q, _m in [("lasso_oof", "Linear_Lasso"), ("gbt_oof", "XGBoost"), ("gbt_mae_
     query(_f)
 
 
+def baseline_spec():
+    """Impute + one-hot + boosted trees on the raw target (no early stopping)."""
+    from pyspark.ml.regression import GBTRegressor
+    from foldline.operators.models import ModelSpec
+    return ModelSpec("Baseline", "tree",
+                     lambda ctx, p: GBTRegressor(maxIter=15, maxDepth=5, seed=SEED,
+                                                 featuresCol="features", labelCol="label"))
+
+
 @query
 def q_baseline_cv(spark, sf_dir):
     """Baseline: tree preprocessing + boosted trees on the raw target; fold MAE."""
-    from pyspark.ml.regression import GBTRegressor
     from foldline.operators.preprocess import FoldPreprocessor
+    from foldline.operators.stacking import oof_predict
     train, _ = model_tables(spark, sf_dir)
     train = train.withColumn("label", F.expm1("label"))
     prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "tree", "fold", K).fit(train)
-    parts = []
-    for f in range(K):
-        fx = prep.features(train, f, ["o_orderkey", "fold", "label"])
-        model = GBTRegressor(maxIter=15, maxDepth=5, seed=SEED).fit(fx.where(F.col("fold") != f))
-        parts.append(model.transform(fx.where(F.col("fold") == f)))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    agg = allp.groupBy("fold").agg(F.avg(F.abs(F.col("label") - F.col("prediction"))).alias("mae"))
+    oof, _ = oof_predict(baseline_spec(), prep, train, None, "o_orderkey", "label", "fold", K)
+    agg = oof.groupBy("fold").agg(F.avg(F.abs(F.col("label") - F.col("pred"))).alias("mae"))
     return agg.select("fold", r6("mae").alias("mae"))
 
 
@@ -726,8 +728,11 @@ def q_meta_select(spark, sf_dir):
     from foldline.operators.stacking import evaluate_meta, meta_matrix, oof_predict
     train, score = model_tables(spark, sf_dir)
     prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "linear", "fold", K).fit(train)
+    from concurrent.futures import ThreadPoolExecutor
     names = ["Linear_Ridge", "Linear_Lasso"]
-    oofs = [oof_predict(REGISTRY[n], prep, train, None, "o_orderkey")[0] for n in names]
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        oofs = list(pool.map(lambda n: oof_predict(REGISTRY[n], prep, train, None, "o_orderkey")[0],
+                             names))
     wide = meta_matrix(oofs[0].unionByName(oofs[1]), "o_orderkey", names)
     res = evaluate_meta(wide, names)
     return spark.createDataFrame(
