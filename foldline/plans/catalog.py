@@ -588,7 +588,7 @@ def q_impute_mode_fold(spark, sf_dir):
     return modes.select("fold", F.col("name").alias("column"), "mode")
 
 
-def _held_out(prep, df, cols_fn):
+def _held_out(df, cols_fn):
     """Each row transformed by the preprocessor of its own held-out fold."""
     out = {}
     for f in range(K):
@@ -610,7 +610,7 @@ def q_preprocess_tree(spark, sf_dir):
         out = {c: prep.numeric_expr(f, c) for c in PREP_NUMERIC}
         out.update({c: F.coalesce(F.col(c), F.lit(prep.modes.get((f, c)))) for c in PREP_CATEGORICAL})
         return out
-    res = _held_out(prep, df, cols)
+    res = _held_out(df, cols)
     return res.select("Id", "fold", *[r6(c).alias(c) for c in PREP_NUMERIC], *PREP_CATEGORICAL)
 
 
@@ -621,7 +621,7 @@ def q_preprocess_linear(spark, sf_dir):
     from foldline.operators.preprocess import FoldPreprocessor
     df = folded_standin(spark, sf_dir)
     prep = FoldPreprocessor(PREP_NUMERIC, [], "linear", "fold", K).fit(df)
-    res = _held_out(prep, df, lambda f: {c: prep.numeric_expr(f, c) for c in PREP_NUMERIC})
+    res = _held_out(df, lambda f: {c: prep.numeric_expr(f, c) for c in PREP_NUMERIC})
     return res.select("Id", "fold", *[r6(c).alias(c) for c in PREP_NUMERIC])
 
 
@@ -640,7 +640,7 @@ def q_one_hot(spark, sf_dir):
             v = F.coalesce(F.col(c), F.lit(prep.modes.get((f, c))))
             out[c] = map_values(v, {x: i for i, x in enumerate(cats)}, None).cast("int")
         return out
-    wide = _held_out(prep, df, cols)
+    wide = _held_out(df, cols)
     return wide.select("Id", "fold", F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("hot_index")) for c in PREP_CATEGORICAL])))
 
