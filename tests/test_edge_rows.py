@@ -138,3 +138,9 @@ def test_schema_guard_skips_missing_columns(spark):
     df = spark.createDataFrame([(1, None)], "Id int, Alley string")
     out = impute.fill_constant(df, housing.NONE_FILL_COLUMNS, "None")
     assert out.columns == ["Id", "Alley"] and out.first()["Alley"] == "None"
+
+
+def test_skew_with_no_numeric_columns(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "s string")
+    model = SkewCorrector(0.75).fit(df)
+    assert model.columns == [] and model.transform(df).count() == 2
