@@ -77,3 +77,20 @@ def test_approx_fold_medians_close_to_exact(spark):
     assert set(ex) == set(ap)
     for key in ex:
         assert abs(ex[key] - ap[key]) < 0.01
+
+
+def test_one_hot_features_need_no_extra_pass(spark):
+    """The encoder reads category counts from metadata: building the fold
+    features runs no Spark job; unseen values give an all-zero block."""
+    from foldline.operators.preprocess import FoldPreprocessor
+    rows = [(i, i % 5, ["a", "b", "c", None][i % 4] if i != 7 else "zz", float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, fold int, k string, x double")
+    model = FoldPreprocessor(["x"], ["k"], "tree", "fold", 5).fit(df)
+    sc = spark.sparkContext
+    sc.setJobGroup("fold-features", "fold-features")
+    fx = model.features(df.where("fold = 2"), 2, ["id"])
+    assert len(sc.statusTracker().getJobIdsForGroup("fold-features")) == 0
+    sc.setJobGroup("other", "other")
+    vecs = {r["id"]: r["features"].toArray().tolist() for r in fx.collect()}
+    assert vecs[7] == [7.0, 0.0, 0.0, 0.0]      # unseen category
+    assert vecs[2] == [2.0, 0.0, 0.0, 1.0]      # 'c'
