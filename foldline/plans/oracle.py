@@ -457,10 +457,10 @@ def _mode_cte(c: str) -> str:
 
 MODES = ", ".join(_mode_cte(c) for c in PREP_CATEGORICAL)
 ORACLE["impute_median_fold"] = f"WITH {HF} " + " UNION ALL ".join(
-    f"SELECT fi.i AS fold, '{c}' AS \"column\", {r6(f'median(CAST(hf.{q(c)} AS DOUBLE))')} AS median "
+    f"SELECT CAST(fi.i AS INTEGER) AS fold, '{c}' AS \"column\", {r6(f'median(CAST(hf.{q(c)} AS DOUBLE))')} AS median "
     f"FROM fi JOIN hf ON hf.fold <> fi.i GROUP BY fi.i" for c in PREP_NUMERIC)
 ORACLE["impute_mode_fold"] = f"WITH {HF}, {MODES} " + " UNION ALL ".join(
-    f"SELECT i AS fold, '{c}' AS \"column\", mode FROM mo_{c}" for c in PREP_CATEGORICAL)
+    f"SELECT CAST(i AS INTEGER) AS fold, '{c}' AS \"column\", mode FROM mo_{c}" for c in PREP_CATEGORICAL)
 ORACLE["preprocess_tree"] = (
     f"WITH {HF}, {FM}, {MODES} SELECT hf.\"Id\", hf.fold, "
     + ", ".join(f"{r6(f'coalesce(CAST(hf.{q(c)} AS DOUBLE), fm.{q(c)})')} AS {q(c)}" for c in PREP_NUMERIC) + ", "
