@@ -42,3 +42,13 @@ def test_user_objective_in_search(spark):
     df = spark.createDataFrame(rows, "id int, fold int, a double, b double, label double")
     sq = elastic_net_search(df, ["a", "b"], [(0.01, 0.0)], objective=lambda y, p: (y - p) * (y - p))
     assert sq.first()["mae"] < 1e-3
+
+
+def test_command_line_writes_submission(spark, sf_dir):
+    from foldline.plans.runner import main
+    out = os.path.join(tempfile.mkdtemp(prefix="foldline-cli-"), "sub")
+    main(["--sf-dir", sf_dir, "--out", out, "--models", "Linear_Ridge", "--single-file"])
+    parts = [p for p in os.listdir(out) if p.endswith(".csv")]
+    lines = open(os.path.join(out, parts[0])).read().splitlines()
+    assert lines[0] == "Id,SalePrice" and len(lines) > 1
+    assert all(float(x.split(",")[1]) > 0 for x in lines[1:])
