@@ -96,7 +96,7 @@ class TargetEncoder:
     def fit(self, df: DataFrame) -> TargetEncoderModel:
         c, y, f = self.column, self.label, self.fold_col
         per = (df.where(F.col(c).isNotNull())
-               .groupBy(c, f).agg(F.sum(y).alias("_fold_sum"), F.count(F.lit(1)).alias("_fold_n")))
+               .groupBy(c, f).agg(F.sum(y).alias("_fold_sum"), F.count(y).alias("_fold_n")))
         tot = per.groupBy(c).agg(F.sum("_fold_sum").alias("_all_sum"),
                                  F.sum("_fold_n").alias("_all_n"))
         rest_n = F.col("_all_n") - F.col("_fold_n")
@@ -109,6 +109,9 @@ class TargetEncoder:
         return TargetEncoderModel(c, self.out_col, f, oof, full, gmean, n_oof, n_full)
 
 
+_ALL = "__all_rows__"
+
+
 @dataclass
 class MultiTargetEncoderModel:
     columns: list
@@ -148,11 +151,14 @@ class MultiTargetEncoder:
 
     def fit(self, df: DataFrame) -> MultiTargetEncoderModel:
         cols, y, f = present(df, self.columns), self.label, self.fold_col
+        # one constant pseudo-column rides along: its totals are the global
+        # label mean (no separate pass over the data)
         pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
-                          for c in cols])
+                          for c in cols],
+                        F.struct(F.lit(_ALL).alias("name"), F.lit("").alias("value")))
         long = df.select(f, y, F.inline(pairs)).where(F.col("value").isNotNull())
         per = long.groupBy("name", "value", f).agg(F.sum(y).alias("_fold_sum"),
-                                                    F.count(F.lit(1)).alias("_fold_n"))
+                                                    F.count(y).alias("_fold_n"))
         tot = per.groupBy("name", "value").agg(F.sum("_fold_sum").alias("_all_sum"),
                                                F.sum("_fold_n").alias("_all_n"))
         rest_n = F.col("_all_n") - F.col("_fold_n")
@@ -160,9 +166,10 @@ class MultiTargetEncoder:
             "name", "value", f,
             F.when(rest_n > 0, (F.col("_all_sum") - F.col("_fold_sum")) / rest_n).alias("_te"))
         full = tot.select("name", "value", (F.col("_all_sum") / F.col("_all_n")).alias("_te_full"))
-        gmean = df.agg(F.avg(y)).first()[0]
         oof, n_oof = measured(oof)
         full, n_full = measured(full)
+        row = full.where(F.col("name") == F.lit(_ALL)).first()
+        gmean = row["_te_full"] if row else None
         return MultiTargetEncoderModel(cols, f, oof, full, gmean, n_oof, n_full)
 
 

@@ -144,3 +144,13 @@ def test_skew_with_no_numeric_columns(spark):
     df = spark.createDataFrame([("a",), ("b",)], "s string")
     model = SkewCorrector(0.75).fit(df)
     assert model.columns == [] and model.transform(df).count() == 2
+
+
+def test_target_encoding_ignores_missing_labels(spark):
+    df = spark.createDataFrame([(0, "a", 0, 1.0), (1, "a", 1, None), (2, "a", 1, 3.0), (3, "b", 0, 5.0)],
+                               "i int, c string, fold int, y double")
+    out, _ = encode.target_encode(df, None, ["c"], "y")
+    got = {r["i"]: r["c_te"] for r in out.collect()}
+    assert got[0] == pytest.approx(3.0) and got[1] == pytest.approx(1.0)
+    m = encode.TargetEncoder("c", "y").fit(df)
+    assert m.global_mean == pytest.approx(3.0)
