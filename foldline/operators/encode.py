@@ -102,7 +102,7 @@ class TargetEncoder:
         rest_n = F.col("_all_n") - F.col("_fold_n")
         oof = per.join(tot, on=c).select(
             c, f, F.when(rest_n > 0, (F.col("_all_sum") - F.col("_fold_sum")) / rest_n).alias("_te"))
-        full = tot.select(c, (F.col("_all_sum") / F.col("_all_n")).alias("_te_full"))
+        full = tot.select(c, F.when(F.col("_all_n") > 0, F.col("_all_sum") / F.col("_all_n")).alias("_te_full"))
         gmean = df.agg(F.avg(y)).first()[0]
         oof, n_oof = measured(oof)
         full, n_full = measured(full)
@@ -165,7 +165,7 @@ class MultiTargetEncoder:
         oof = per.join(tot, ["name", "value"]).select(
             "name", "value", f,
             F.when(rest_n > 0, (F.col("_all_sum") - F.col("_fold_sum")) / rest_n).alias("_te"))
-        full = tot.select("name", "value", (F.col("_all_sum") / F.col("_all_n")).alias("_te_full"))
+        full = tot.select("name", "value", F.when(F.col("_all_n") > 0, F.col("_all_sum") / F.col("_all_n")).alias("_te_full"))
         oof, n_oof = measured(oof)
         full, n_full = measured(full)
         row = full.where(F.col("name") == F.lit(_ALL)).first()

@@ -154,3 +154,11 @@ def test_target_encoding_ignores_missing_labels(spark):
     assert got[0] == pytest.approx(3.0) and got[1] == pytest.approx(1.0)
     m = encode.TargetEncoder("c", "y").fit(df)
     assert m.global_mean == pytest.approx(3.0)
+
+
+def test_target_encoding_category_without_labels(spark):
+    df = spark.createDataFrame([(0, "a", 0, 1.0), (1, "z", 1, None), (2, "a", 1, 3.0)],
+                               "i int, c string, fold int, y double")
+    model = encode.TargetEncoder("c", "y").fit(df)
+    score = spark.createDataFrame([(9, "z")], "i int, c string")
+    assert model.transform_score(score).first()["c_te"] == pytest.approx(2.0)
