@@ -1,12 +1,12 @@
 """Linear models from per-fold sufficient statistics.
 
-One aggregation pass computes, per fold, ``n``, ``sum x``, ``sum y``,
-``sum x x^T``, ``sum x y`` over features shifted by their global mean (a
-first, cheap pass), which keeps the centred Gram numerically stable. The
-training statistics of held-out fold ``i`` are ``total - fold i``, so all
-``k`` fits cost one pass over the data; the ``d x d`` solves run on the
-driver (the collected table is ``k x O(d^2)`` numbers, independent of the
-row count). Predictions are plain Column expressions.
+One aggregation pass computes, per fold, the count, the means and the
+centred cross products (Spark's stable ``avg`` / ``covar_pop``). The
+training statistics of held-out fold ``i`` merge the other folds with the
+exact pairwise update, so all ``k`` fits cost one pass over the data; the
+``d x d`` solves run on the driver (the collected table is ``k x O(d^2)``
+numbers, independent of the row count). Predictions are plain Column
+expressions.
 
 Objectives (as the reference models):
 * ridge:  ``||y - Xw - b||^2 + alpha ||w||^2``
@@ -25,51 +25,56 @@ from pyspark.sql import functions as F
 
 @dataclass
 class Stats:
+    """Count, means and centred cross products of one group of rows."""
     n: float
-    sx: np.ndarray      # d
-    sy: float
-    sxx: np.ndarray     # d x d
-    sxy: np.ndarray     # d
-    syy: float
-
-    def __sub__(self, o: "Stats") -> "Stats":
-        return Stats(self.n - o.n, self.sx - o.sx, self.sy - o.sy, self.sxx - o.sxx,
-                     self.sxy - o.sxy, self.syy - o.syy)
+    mx: np.ndarray      # d
+    my: float
+    cxx: np.ndarray     # d x d, sum (x - mx)(x - mx)^T
+    cxy: np.ndarray     # d,     sum (x - mx)(y - my)
+    cyy: float
 
     def __add__(self, o: "Stats") -> "Stats":
-        return Stats(self.n + o.n, self.sx + o.sx, self.sy + o.sy, self.sxx + o.sxx,
-                     self.sxy + o.sxy, self.syy + o.syy)
+        """Pairwise (Chan) merge of two groups; exact, no cancellation."""
+        n = self.n + o.n
+        if n == 0:
+            return self
+        dx, dy = o.mx - self.mx, o.my - self.my
+        f = self.n * o.n / n
+        return Stats(n, self.mx + dx * (o.n / n), self.my + dy * (o.n / n),
+                     self.cxx + o.cxx + f * np.outer(dx, dx), self.cxy + o.cxy + f * dx * dy,
+                     self.cyy + o.cyy + f * dy * dy)
 
     def centred(self):
-        """Means and centred cross products (in the shifted coordinates)."""
-        mx, my = self.sx / self.n, self.sy / self.n
-        cxx = self.sxx - self.n * np.outer(mx, mx)
-        cxy = self.sxy - self.n * mx * my
-        return mx, my, cxx, cxy
+        return self.mx, self.my, self.cxx, self.cxy
 
 
 @dataclass
 class FoldStats:
     features: list
-    shift: np.ndarray
-    yshift: float
     per_fold: dict      # fold -> Stats
 
-    @property
-    def total(self) -> Stats:
-        it = iter(self.per_fold.values())
+    def merged(self, folds) -> Stats:
+        it = iter(self.per_fold[f] for f in folds)
         acc = next(it)
         for s in it:
             acc = acc + s
         return acc
 
+    @property
+    def total(self) -> Stats:
+        return self.merged(sorted(self.per_fold))
+
     def train(self, fold) -> Stats:
-        return self.total - self.per_fold[fold] if fold in self.per_fold else self.total
+        """Statistics of the rows outside ``fold`` (all folds but one, merged)."""
+        others = [f for f in sorted(self.per_fold) if f != fold]
+        return self.merged(others) if others else self.total
 
 
 def fold_stats(df: DataFrame, features: Sequence[str], label: str,
                fold_col: str | None = "fold") -> FoldStats:
-    """Sufficient statistics per fold (``fold_col=None``: one group, fold 0).
+    """Sufficient statistics per fold in one pass (``fold_col=None``: one
+    group, fold 0): counts, means and centred cross products from Spark's
+    single-pass, numerically stable ``avg`` / ``covar_pop`` aggregates.
 
     Rows with a NULL feature or label are skipped; callers impute first.
     """
@@ -79,29 +84,25 @@ def fold_stats(df: DataFrame, features: Sequence[str], label: str,
     for c in feats:
         valid = valid & F.col(c).isNotNull()
     data = df.where(valid)
-    means = data.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(feats)],
-                     F.avg(label).alias("my")).first()
-    shift = np.array([means[f"m{i}"] or 0.0 for i in range(d)], dtype=float)
-    yshift = float(means["my"] or 0.0)
-    xs = [F.col(c).cast("double") - F.lit(float(shift[i])) for i, c in enumerate(feats)]
-    y = F.col(label).cast("double") - F.lit(yshift)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
-    aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(d) for j in range(i, d)]
-    grouped = data.groupBy(fold_col).agg(*aggs) if fold_col else \
-        data.agg(*aggs).withColumn("_f", F.lit(0))
+    xs = [F.col(c).cast("double") for c in feats]
+    y = F.col(label).cast("double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"), F.covar_pop(y, y).alias("vyy")]
+    aggs += [F.avg(x).alias(f"mx{i}") for i, x in enumerate(xs)]
+    aggs += [F.covar_pop(x, y).alias(f"cxy{i}") for i, x in enumerate(xs)]
+    aggs += [F.covar_pop(xs[i], xs[j]).alias(f"cxx{i}_{j}") for i in range(d) for j in range(i, d)]
+    grouped = data.groupBy(fold_col).agg(*aggs) if fold_col else data.agg(*aggs)
     per = {}
     for r in grouped.collect():
         key = r[fold_col] if fold_col else 0
-        sxx = np.zeros((d, d))
+        n = float(r["n"])
+        cxx = np.zeros((d, d))
         for i in range(d):
             for j in range(i, d):
-                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"]
-        per[key] = Stats(float(r["n"]), np.array([r[f"sx{i}"] for i in range(d)], dtype=float),
-                         float(r["sy"]), sxx,
-                         np.array([r[f"sxy{i}"] for i in range(d)], dtype=float), float(r["syy"]))
-    return FoldStats(feats, shift, yshift, per)
+                cxx[i, j] = cxx[j, i] = (r[f"cxx{i}_{j}"] or 0.0) * n
+        per[key] = Stats(n, np.array([r[f"mx{i}"] for i in range(d)], dtype=float), float(r["my"]),
+                         cxx, np.array([(r[f"cxy{i}"] or 0.0) * n for i in range(d)], dtype=float),
+                         float(r["vyy"] or 0.0) * n)
+    return FoldStats(feats, per)
 
 
 @dataclass
@@ -116,15 +117,10 @@ class LinearFit:
         return out
 
 
-def _unshift(fs: FoldStats, w: np.ndarray, b_shifted: float) -> LinearFit:
-    # y - ys = (x - xs) w + b'  =>  y = x w + (b' + ys - xs w)
-    return LinearFit(w, float(b_shifted + fs.yshift - fs.shift @ w))
-
-
 def ridge_fit(fs: FoldStats, st: Stats, alpha: float) -> LinearFit:
     mx, my, cxx, cxy = st.centred()
     w = np.linalg.solve(cxx + alpha * np.eye(len(mx)), cxy)
-    return _unshift(fs, w, my - mx @ w)
+    return LinearFit(w, float(my - mx @ w))
 
 
 def _kkt_solution(g: np.ndarray, c: np.ndarray, w: np.ndarray, l1: float, l2: float):
@@ -175,7 +171,7 @@ def elastic_net_fit(fs: FoldStats, st: Stats, alpha: float, l1_ratio: float,
             if exact is not None:
                 w = exact
                 break
-    return _unshift(fs, w, my - mx @ w)
+    return LinearFit(w, float(my - mx @ w))
 
 
 def fold_case(fold_col: str, per_fold: dict, features: Sequence[str]) -> Column:
