@@ -7,9 +7,9 @@ All ``k`` fold fits come from single passes over the data:
 * medians: training-fold value counts (``total - own fold``) fed to the
   exact range-partitioned percentile (:mod:`foldline.operators.quantiles`);
 * modes / one-hot vocabularies: training-fold counts per ``(column, value)``;
-* mean and population std of the *imputed* column: per-fold shifted sums
-  (``sum (x-c)``, ``sum (x-c)^2``, counts) combined on the driver with the
-  fold's median for the missing rows.
+* mean and population std of the *imputed* column: per-fold counts, means
+  and ``var_pop`` merged pairwise on the driver, plus the missing rows at
+  the fold's median.
 
 The fitted statistics are small (``k x columns`` numbers plus category
 lists) and are applied as literal Column expressions, one ``select``.
@@ -69,37 +69,49 @@ def fold_modes(df: DataFrame, cols: Sequence[str], fold_col: str, k: int) -> dic
     return {(r["fold"], r["name"]): r["mode"] for r in modes.collect()}
 
 
+def _merge(a, b):
+    """Pairwise merge of (count, mean, sum of squared deviations)."""
+    (na, ma, qa), (nb, mb, qb) = a, b
+    n = na + nb
+    if n == 0:
+        return (0, 0.0, 0.0)
+    d = mb - ma
+    return (n, ma + d * nb / n, qa + qb + d * d * na * nb / n)
+
+
 def fold_moments(df: DataFrame, cols: Sequence[str], fold_col: str, medians: dict,
                  k: int) -> dict:
-    """``(fold, column) -> (mean, scale)`` of the median-imputed training column."""
+    """``(fold, column) -> (mean, scale)`` of the median-imputed training column.
+
+    One pass: per fold, the row count and, per column, the non-NULL count,
+    mean and ``var_pop`` (Spark's stable single-pass aggregates). The other
+    folds are merged pairwise, then the ``m`` missing rows join as a group
+    of ``m`` values at the fold's median (zero spread).
+    """
     if not cols:
         return {}
-    shift = df.agg(*[F.avg(c).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    shifts = [float(shift[f"c{i}"] or 0.0) for i in range(len(cols))]
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(cols):
-        y = F.col(c).cast("double") - F.lit(shifts[i])
-        aggs += [F.count(c).alias(f"nn{i}"), F.sum(y).alias(f"s1_{i}"), F.sum(y * y).alias(f"s2_{i}")]
+        x = F.col(c).cast("double")
+        aggs += [F.count(c).alias(f"nn{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
     per = {r[fold_col]: r for r in df.groupBy(fold_col).agg(*aggs).collect()}
     out = {}
     for f in range(k):
-        others = [r for g, r in per.items() if g != f]
+        others = [r for g, r in sorted(per.items()) if g != f]
         n = sum(r["n"] for r in others)
         for i, c in enumerate(cols):
-            nn = sum(r[f"nn{i}"] for r in others)
-            s1 = sum(r[f"s1_{i}"] or 0.0 for r in others)
-            s2 = sum(r[f"s2_{i}"] or 0.0 for r in others)
+            acc = (0, 0.0, 0.0)
+            for r in others:
+                if r[f"nn{i}"]:
+                    acc = _merge(acc, (r[f"nn{i}"], r[f"m{i}"], (r[f"v{i}"] or 0.0) * r[f"nn{i}"]))
             med = medians.get((f, c))
             if n == 0 or med is None:
                 out[(f, c)] = (0.0, 1.0)
                 continue
-            m = n - nn
-            medc = med - shifts[i]
-            mean_c = (s1 + m * medc) / n
-            ss = s2 - 2 * mean_c * s1 + nn * mean_c * mean_c + m * (medc - mean_c) ** 2
-            std = math.sqrt(max(ss / n, 0.0))
-            scale = std if std > 10 * 2.220446049250313e-16 * max(1.0, abs(mean_c + shifts[i])) else 1.0
-            out[(f, c)] = (mean_c + shifts[i], scale)
+            cnt, mean, q = _merge(acc, (n - acc[0], med, 0.0))
+            std = math.sqrt(max(q / cnt, 0.0))
+            scale = std if std > 10 * 2.220446049250313e-16 * max(1.0, abs(mean)) else 1.0
+            out[(f, c)] = (mean, scale)
     return out
 
 
