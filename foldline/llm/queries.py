@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldline.llm import byte_bpe, chat_format, exact_dedup, language_id, toxicity
+from foldline.llm import byte_bpe, chat_format, exact_dedup, hamming_search, language_id, sentence_spans, toxicity
 from foldline.llm.shared import crc_bucket
 
 
@@ -29,6 +29,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op4_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest rows, by Hamming distance of sign codes, of every embedding whose id is divisible by 20."""
+    rows = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), hamming_search.sign_code(F.col("embedding")).alias("code"))
+    return hamming_search.top_k(rows, rows.where(F.col("id") % 20 == 0), k=10)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again by merge replay."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -51,12 +57,20 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_chats(messages))
 
 
+def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences that a non-first repeated span of sentences covers."""
+    kept = sentence_spans.drop_repeated_sentences(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("span_dedup.n_sentences").alias("n_sentences"), F.col("span_dedup.n_removed").alias("n_removed"), "text")
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_hamming_search": op4_hamming_search,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_language_id": op6_language_id,
     "op7_chat_format": op7_chat_format,
+    "op8_sentence_spans": op8_sentence_spans,
 }
 
 ORACLE = {
@@ -64,6 +78,14 @@ ORACLE = {
         WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256)""",
+    "op4_hamming_search": """
+        WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS bits FROM embeddings),
+        d AS (
+            SELECT q.vec_id AS query_id, r.vec_id AS row_id,
+                list_sum(list_transform(list_zip(q.bits, r.bits), lambda z: (z[1] <> z[2])::INT))::INT AS distance
+            FROM e q JOIN e r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id),
+        n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, row_id)::INT AS rank FROM d)
+        SELECT query_id, rank, row_id, distance FROM n WHERE rank <= 10""",
     "op7_chat_format": """
         WITH t AS (
             SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
