@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldline.llm import byte_bpe, chat_format, exact_dedup, hamming_search, language_id, sentence_spans, toxicity
+from foldline.llm import byte_bpe, chat_format, exact_dedup, hamming_search, language_id, ngram_join, repeated_bytes, sentence_spans, toxicity
 from foldline.llm.shared import crc_bucket
 
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component under Jaccard similarity 0.9 of distinct 3-word shingles."""
+    return ngram_join.components_of(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; the lexicon is learned from labels whose crc32(doc_id) mod 4 is not 2."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -63,7 +68,13 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("span_dedup.n_sentences").alias("n_sentences"), F.col("span_dedup.n_removed").alias("n_removed"), "text")
 
 
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that a 200-byte string met elsewhere covers."""
+    return repeated_bytes.digests(repeated_bytes.without_repeats(_table(spark, sf_dir, "documents"), length=200))
+
+
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_hamming_search": op4_hamming_search,
@@ -71,6 +82,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_chat_format": op7_chat_format,
     "op8_sentence_spans": op8_sentence_spans,
+    "op9_repeated_bytes": op9_repeated_bytes,
 }
 
 ORACLE = {
