@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldline.llm import byte_bpe, chat_format, exact_dedup, hamming_search, language_id, ngram_join, repeated_bytes, sentence_spans, toxicity
+from foldline.llm import byte_bpe, chat_format, exact_dedup, hamming_search, language_id, ngram_join, packing, repeated_bytes, sentence_spans, toxicity
 from foldline.llm.shared import crc_bucket
 
 
@@ -73,6 +73,12 @@ def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes.digests(repeated_bytes.without_repeats(_table(spark, sf_dir, "documents"), length=200))
 
 
+def op10_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens with their lexical neighbours."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.digests(packing.pack(_table(spark, sf_dir, "documents"), path, window=4096))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -83,6 +89,7 @@ QUERIES = {
     "op7_chat_format": op7_chat_format,
     "op8_sentence_spans": op8_sentence_spans,
     "op9_repeated_bytes": op9_repeated_bytes,
+    "op10_lexical_packing": op10_lexical_packing,
 }
 
 ORACLE = {
