@@ -32,7 +32,7 @@ K1, B = 1.2, 0.75
 #: Words that a worker remembers; beyond it, it starts anew.
 CACHED_WORDS = 1_500_000
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_PLAIN = regex.compile("[!-~¡-ɏ]*")
+_PLAIN = regex.compile("[!-~¡-įı-ɏ]*")  # U+0130 has no lower case of one character
 
 
 class WordEncoder:
