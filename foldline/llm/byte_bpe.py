@@ -24,8 +24,10 @@ from foldline.llm import textbytes as tb
 from foldline.llm.shared import documents
 
 _NONE = np.int64(1 << 40)
-#: Words that a worker remembers between shards; beyond it, it starts anew.
-CACHED_IDS = 8_000_000
+#: A task's shard of the corpus ends with the text that takes it past so many bytes.
+SHARD_BYTES = 1 << 23
+#: Ids of the words that a worker remembers between shards; beyond it, it starts anew.
+CACHED_IDS = 6_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -176,7 +178,7 @@ class ShardEncoder:
         """Ids of all texts one after another, and each text's number of ids."""
         start = chunk_starts(data, offsets)
         end = np.append(start[1:], len(data))
-        hashes, first, code = np.unique(tb.span_hash(tb.prefix_hash(data), start, end), return_index=True, return_inverse=True)
+        hashes, first, code = np.unique(tb.span_hashes(data, start, end), return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
         new = self.known[at] != hashes if len(self.known) else np.ones(len(hashes), bool)
         if new.any():
@@ -228,7 +230,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         encoder = shard_encoder(path, pattern)
         for batch in batches:
             data, offsets = tb.flat(batch.column(1))
-            for a, b in tb.blocks(offsets, 1 << 24):
+            for a, b in tb.blocks(offsets, SHARD_BYTES):
                 at = offsets[a:b + 1]
                 ids, counts = encoder.encode(data[at[0]:at[-1]], at - at[0])
                 ends = np.concatenate([[0], np.cumsum(counts)]) * 4

@@ -47,7 +47,6 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
         self.known, self.start = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, self.width)
 
@@ -56,16 +55,13 @@ class WordEncoder:
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         out: list[int] = []
         for piece in _PIECES.findall(unicodedata.normalize("NFC", word).lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, piece)))]
-            out += ids
+            out += [t.id for t in self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, piece)))]
         return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (in lower case) one after another, and each text's number of ids."""
         start, end, row = tb.words(data, offsets)
-        hashes, first, code = np.unique(tb.span_hash(tb.prefix_hash(data), start, end), return_index=True, return_inverse=True)
+        hashes, first, code = np.unique(tb.span_hashes(data, start, end), return_index=True, return_inverse=True)
         if len(self.known) + len(hashes) > CACHED_WORDS:
             self.forget()
         at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))

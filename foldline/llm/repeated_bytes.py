@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldline.llm import textbytes as tb
-from foldline.llm.shared import written
+from foldline.llm.shared import Scratch
 
 #: A trigger gram met more often is worked off window by window, with map-side sums, and not in one task.
 HOT = 4000
@@ -103,6 +103,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 80) -> DataFr
     ``length`` have no range.
     """
     span = length - gram + 1
+    scratch = Scratch(docs.sparkSession, "repeated-bytes")
     rows = keyed(docs)
     sizes = rows.select("doc_id", "text_key", F.octet_length("text").alias("n"))
     copies = sizes.groupBy("text_key", "n").agg(F.count(F.lit(1)).alias("copies")).where((F.col("copies") > 1) & (F.col("n") >= length))
@@ -142,7 +143,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 80) -> DataFr
 
     schema = "gram long, text_key long, at long, doc_id long, reach int"
     parsed = rows.mapInArrow(parse, schema)
-    met = written(parsed.repartition("gram").sortWithinPartitions("gram", "text_key", "at", "doc_id").mapInArrow(repeats, schema), "repeated-grams")
+    met = scratch.write(parsed.repartition("gram").sortWithinPartitions("gram", "text_key", "at", "doc_id").mapInArrow(repeats, schema), "repeated-grams")
     hot = met.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("gram", F.lit(True).alias("hot"))
     by_text = (met.join(hot, "gram", "left").groupBy("doc_id", "text_key")
                .agg(F.collect_list(F.struct("gram", "at", "reach", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("places")))
@@ -201,7 +202,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 80) -> DataFr
     found_schema = "doc_id long, text_key long, start long, end long"
     near = rows.join(by_text, ["doc_id", "text_key"]).select("doc_id", "text_key", F.col("text").cast("binary").alias("text"), "places").mapInArrow(
         contexts, "gram long, at long, left binary, right binary, window long, doc_id long, text_key long")
-    near = written(near, "contexts")
+    near = scratch.write(near, "contexts")
     cold = near.where("window IS NULL").select("gram", "at", "left", "right", "doc_id", "text_key").repartition("gram").sortWithinPartitions("gram").mapInArrow(order, found_schema)
     warm = near.where("window IS NOT NULL")
     several = warm.groupBy("gram", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", "window")
@@ -220,7 +221,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 80) -> DataFr
                                              ["doc_id", "text_key", "spans"])
 
     ranges = cold.unionByName(hot_found).unionByName(whole).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ranges"))
-    return ranges.mapInArrow(merge, "doc_id long, text_key long, spans array<struct<start:long,end:long>>")
+    return scratch.result(ranges.mapInArrow(merge, "doc_id long, text_key long, spans array<struct<start:long,end:long>>"), "spans")
 
 
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -234,7 +235,7 @@ def without_repeats(docs: DataFrame, length: int = 200, gram: int = 80) -> DataF
     Null and empty texts, and texts without a repeated string, have no spans
     and keep all bytes. Other columns are ignored.
     """
-    spans = written(repeated_spans(docs, length, gram), "spans")
+    spans = repeated_spans(docs, length, gram)
     joined = keyed(docs).join(spans, ["doc_id", "text_key"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

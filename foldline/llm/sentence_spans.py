@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldline.llm.shared import written
+from foldline.llm.shared import Scratch
 
 #: A sentence ends after such punctuation and the white space behind it, or after line breaks.
 _END = re.compile(r"[.!?]+\s+|\n\s*")
@@ -64,11 +64,12 @@ def repeated_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 12)
                                                  ["span", "doc_id", "start", "end"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    every = written(rows.mapInArrow(run, "span binary, doc_id long, start int, end int"), "spans")
+    scratch = Scratch(docs.sparkSession, "sentence-spans")
+    every = scratch.write(rows.mapInArrow(run, "span binary, doc_id long, start int, end int"), "spans")
     place = F.struct("doc_id", "start")
     # a span met once, or only at one place by rows that repeat, is no repeat
-    firsts = written(every.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("span", "first"), "repeats")
-    return every.join(firsts, "span").where(place != F.col("first")).select("doc_id", "start", "end")
+    firsts = scratch.write(every.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("span", "first"), "repeats")
+    return scratch.result(every.join(firsts, "span").where(place != F.col("first")).select("doc_id", "start", "end").distinct(), "repeated-spans")
 
 
 def drop_repeated_sentences(docs: DataFrame, min_sentences: int = 2, min_words: int = 12) -> DataFrame:

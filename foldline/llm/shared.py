@@ -26,6 +26,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that an operator needs until its result is written."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.tables = spark, scratch_path(spark, name), 0
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables += 1
+        path = f"{self.path}/{self.tables}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` beside the scratch tables, then delete these."""
+        out = written(df, name)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return out
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone; extra columns, whatever their names, are left out."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

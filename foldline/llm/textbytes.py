@@ -32,7 +32,7 @@ def flat(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]
     return raw, at - at[0]
 
 
-def blocks(offsets: np.ndarray, size: int = 1 << 22):
+def blocks(offsets: np.ndarray, size: int = 1 << 21):
     """Row ranges of about ``size`` bytes each (one row at least)."""
     row, n = 0, len(offsets) - 1
     while row < n:
@@ -71,6 +71,17 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * back[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, size: int = 1 << 21) -> np.ndarray:
+    """``span_hash`` of sorted spans that don't overlap, with prefix hashes of about ``size`` bytes at a time."""
+    out, row = [], 0
+    while row < len(start):
+        stop = max(row + 1, int(np.searchsorted(end, start[row] + size, "right")))
+        base = start[row]
+        out.append(span_hash(prefix_hash(data[base:end[stop - 1]]), start[row:stop] - base, end[row:stop] - base))
+        row = stop
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and row of every maximal run of bytes other than ASCII white space."""
     solid = ~_SPACE[data]
