@@ -133,7 +133,8 @@ class MultiTargetEncoderModel:
             part = table.where(F.col("name") == F.lit(c)).drop("name") \
                 .withColumnRenamed("value", c).withColumnRenamed(col_name, f"{c}_te")
             joined = lookup_join(df, part, [c, *keys], n_rows=n)
-            df = joined.withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), F.lit(self.global_mean)))
+            te = F.coalesce(F.col(f"{c}_te"), F.lit(self.global_mean)).alias(f"{c}_te")
+            df = joined.select(*df.columns, te)
         return df
 
     def transform_train(self, df: DataFrame) -> DataFrame:

@@ -74,6 +74,12 @@ def fill_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return FillMode(cols).fit(df).transform(df)
 
 
+def _median_type(df: DataFrame, col: str) -> T.DataType:
+    """Type of a median-filled column: whole numbers become double, as a median may fall between two."""
+    dtype = df.schema[col].dataType
+    return T.DoubleType() if isinstance(dtype, T.IntegralType) else dtype
+
+
 @dataclass
 class GroupMedianModel:
     value_col: str
@@ -97,8 +103,7 @@ class GroupMedianModel:
         out = self.group_filled(joined)
         if with_global and self.global_median is not None:
             out = F.coalesce(out, F.lit(self.global_median))
-        dtype = df.schema[self.value_col].dataType
-        return joined.withColumn(self.value_col, out.cast(dtype)).drop("_gmed").select(df.columns)
+        return joined.withColumn(self.value_col, out.cast(_median_type(df, self.value_col))).drop("_gmed").select(df.columns)
 
 
 class FillGroupMedian:
@@ -119,7 +124,7 @@ class FillGroupMedian:
         from foldline.operators.joins import measured
         from foldline.session import cut_lineage
         k, v = self.key_col, self.value_col
-        dtype = df.schema[v].dataType
+        dtype = _median_type(df, v)
         allc = cut_lineage(df.groupBy(k, v).agg(F.count(F.lit(1)).alias("_w")))
         counts = allc.where(F.col(k).isNotNull() & F.col(v).isNotNull())
         med = percentile_from_counts(counts, [k], v, 0.5, "_gmed")

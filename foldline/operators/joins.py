@@ -3,9 +3,8 @@
 Statistics tables (per-category means, per-group medians, vocabularies) are
 usually tiny but can grow with key cardinality. ``lookup_join`` measures the
 table (it is materialised first, so the count and the join read the same
-rows) and broadcasts it only under a row bound; above it the join is a
-shuffle join that AQE may still convert or split when a key is hot
-(``spark.sql.adaptive.skewJoin.enabled``).
+rows); whether it is broadcast is left to AQE, which knows its bytes, and a
+shuffle join is split when a key is hot (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
@@ -13,13 +12,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from foldline.session import cut_lineage
 
-# Broadcast bound for a lookup table (rows); a few narrow columns each.
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def measured(stats: DataFrame) -> tuple[DataFrame, int]:
     """Materialise a statistics table and count its rows (fit time)."""
@@ -28,9 +23,9 @@ def measured(stats: DataFrame) -> tuple[DataFrame, int]:
 
 
 def lookup_join(rows: DataFrame, stats: DataFrame, on: Sequence[str] | str, how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS, n_rows: int | None = None) -> DataFrame:
-    """``rows JOIN stats``; pass ``n_rows`` when ``stats`` comes from :func:`measured`."""
-    if n_rows is None:
-        stats, n_rows = measured(stats)
-    side = F.broadcast(stats) if n_rows <= max_rows else stats
-    return rows.join(side, on=on, how=how)
+                n_rows: int | None = None) -> DataFrame:
+    """``rows JOIN stats``; AQE broadcasts ``stats`` if its bytes are under the session's threshold.
+
+    Pass ``n_rows`` when ``stats`` comes from :func:`measured`, else it is materialised first.
+    """
+    return rows.join(measured(stats)[0] if n_rows is None else stats, on=on, how=how)

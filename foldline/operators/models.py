@@ -56,14 +56,14 @@ class ModelSpec:
     uses_validation: bool = False
 
 
-def _gbt(loss, depth, subsample, feat, min_inst=1, default_iter=30, step=0.1):
+def _gbt(loss, depth, subsample, feat, min_inst=1, *, rounds, step):
     def build(ctx: FitContext, params: dict):
         return GBTRegressor(
             lossType=loss, maxDepth=params.get("maxDepth", depth),
-            maxIter=params.get("maxIter", default_iter), stepSize=params.get("stepSize", step),
+            maxIter=params.get("maxIter", rounds), stepSize=params.get("stepSize", step),
             subsamplingRate=subsample, featureSubsetStrategy=feat,
             minInstancesPerNode=min_inst, maxBins=params.get("maxBins", 64),
-            validationIndicatorCol="is_val", validationTol=params.get("validationTol", 0.01),
+            validationIndicatorCol="is_val", validationTol=params.get("validationTol", 0.0),
             seed=RANDOM_STATE, featuresCol="features", labelCol="label",
             cacheNodeIds=True, checkpointInterval=10)
     return build
@@ -71,7 +71,7 @@ def _gbt(loss, depth, subsample, feat, min_inst=1, default_iter=30, step=0.1):
 
 def _forest(ctx: FitContext, params: dict):
     return RandomForestRegressor(
-        numTrees=params.get("numTrees", 40), maxDepth=params.get("maxDepth", 12),
+        numTrees=params.get("numTrees", 800), maxDepth=params.get("maxDepth", 20),
         minInstancesPerNode=2, featureSubsetStrategy="onethird", subsamplingRate=1.0,
         bootstrap=False, seed=RANDOM_STATE, featuresCol="features", labelCol="label",
         maxBins=params.get("maxBins", 64))
@@ -97,10 +97,10 @@ def _lasso(alpha: float):
 
 # The six base models of the active configuration.
 REGISTRY: dict[str, ModelSpec] = {
-    "XGBoost": ModelSpec("XGBoost", "tree", _gbt("squared", 4, 0.71, "0.435"), True),
-    "CatBoost": ModelSpec("CatBoost", "native", _gbt("absolute", 6, 1.0, "all"), True),
+    "XGBoost": ModelSpec("XGBoost", "tree", _gbt("squared", 4, 0.71, "0.435", rounds=5000, step=0.0156), True),
+    "CatBoost": ModelSpec("CatBoost", "native", _gbt("absolute", 6, 1.0, "all", rounds=6000, step=0.02), True),
     "ExtraTrees": ModelSpec("ExtraTrees", "tree", _forest),
-    "LightGBM": ModelSpec("LightGBM", "tree", _gbt("squared", 4, 0.7, "0.6", min_inst=10), True),
+    "LightGBM": ModelSpec("LightGBM", "tree", _gbt("squared", 4, 0.7, "0.6", min_inst=10, rounds=8000, step=0.008), True),
     "Linear_Ridge": ModelSpec("Linear_Ridge", "linear", _ridge(10.0)),
     "Linear_Lasso": ModelSpec("Linear_Lasso", "linear", _lasso(0.0005)),
 }

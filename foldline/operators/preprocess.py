@@ -156,7 +156,7 @@ class FoldPreprocessModel:
         """Output column name -> expression for the model of ``fold``."""
         if self.kind == "native":
             return self.native_columns(fold)
-        out = {f"num__{c}": self.numeric_expr(fold, c) for c in self.numeric}
+        out = {f"num__{c}": self.numeric_expr(fold, c) for c in self.usable(fold)}
         for c in self.categorical:
             mode = self.modes.get((fold, c))
             v = F.coalesce(F.col(c), F.lit(mode)) if mode is not None else F.col(c)
@@ -164,13 +164,17 @@ class FoldPreprocessModel:
                 out[f"cat__{c}__{j}"] = F.coalesce((v == F.lit(cat)).cast("double"), F.lit(0.0))
         return out
 
+    def usable(self, fold: int) -> list:
+        """Numeric columns with a value in the fold's training rows; the others are dropped."""
+        return [c for c in self.numeric if self.medians.get((fold, c)) is not None]
+
     def transform(self, df: DataFrame, fold: int, keep: Sequence[str]) -> DataFrame:
         cols = self.columns(fold)
         return df.select(*keep, *[_named(e, n) for n, e in cols.items()])
 
     def n_features(self, fold: int) -> int:
         cats = sum(len(self.vocab.categories.get((fold, c), [])) for c in self.categorical)
-        return len(self.numeric) + (len(self.categorical) if self.kind == "native" else cats)
+        return len(self.numeric) + len(self.categorical) if self.kind == "native" else len(self.usable(fold)) + cats
 
     def index_columns(self, fold: int) -> dict:
         """Per category: position of the mode-imputed value in the fold's
@@ -203,7 +207,7 @@ class FoldPreprocessModel:
             wide = df.select(*keep, *[_named(e, n) for n, e in cols.items()])
             inputs = list(cols)
         else:
-            nums = {f"num__{c}": self.numeric_expr(fold, c) for c in self.numeric}
+            nums = {f"num__{c}": self.numeric_expr(fold, c) for c in self.usable(fold)}
             idx = self.index_columns(fold)
             wide = df.select(*keep, *[e.alias(n) for n, e in nums.items()], *idx.values())
             if idx:
@@ -234,15 +238,23 @@ class FoldPreprocessor:
         med = (fold_medians if self.median == "exact" else fold_medians_approx)(
             df, self.numeric, self.fold_col, self.k)
         modes = fold_modes(df, self.categorical, self.fold_col, self.k)
-        vocab = FoldCategories(self.categorical, self.fold_col, self.k).fit(df) \
-            if self.categorical else FoldCategoriesModel()
+        vocab = self._vocabulary(df, self.kind)
         mom = fold_moments(df, self.numeric, self.fold_col, med, self.k) \
             if self.kind == "linear" else {}
         return FoldPreprocessModel(self.numeric, self.categorical, self.kind, med, modes, vocab, mom)
 
+    def _vocabulary(self, df: DataFrame, kind: str) -> FoldCategoriesModel:
+        """Categories of each fold; for native models a missing one is the category 'Missing'."""
+        if not self.categorical:
+            return FoldCategoriesModel()
+        if kind == "native":
+            df = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("Missing")) for c in self.categorical})
+        return FoldCategories(self.categorical, self.fold_col, self.k).fit(df)
+
     def with_kind(self, model: FoldPreprocessModel, kind: str, df: DataFrame) -> FoldPreprocessModel:
         """Reuse the imputation statistics for another kind (adds moments)."""
         mom = fold_moments(df, self.numeric, self.fold_col, model.medians, self.k) \
             if kind == "linear" and not model.moments else model.moments
+        vocab = model.vocab if (kind == "native") == (model.kind == "native") else self._vocabulary(df, kind)
         return FoldPreprocessModel(model.numeric, model.categorical, kind, model.medians,
-                                   model.modes, model.vocab, mom)
+                                   model.modes, vocab, mom)

@@ -24,22 +24,20 @@ from pyspark.sql import functions as F
 from foldline.operators.linear import elastic_net_fit, fold_stats, ridge_fit
 from foldline.operators.metrics import abs_error, pct_error
 from foldline.operators.models import FitContext, ModelSpec
-from foldline.operators.preprocess import FoldPreprocessModel
+from foldline.operators.preprocess import FoldPreprocessModel, _merge
 
 
 def label_context(df: DataFrame, label: str, fold_col: str, k: int) -> dict:
     """Per held-out fold: training row count and population std of the label."""
     per = {r[fold_col]: r for r in df.groupBy(fold_col).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(label).alias("s"),
-        F.sum(F.col(label) * F.col(label)).alias("q")).collect()}
+        F.count(label).alias("n"), F.avg(label).alias("m"), F.var_pop(label).alias("v")).collect()}
     out = {}
     for f in range(k):
-        rows = [r for g, r in per.items() if g != f]
-        n = sum(r["n"] for r in rows)
-        s = sum(r["s"] for r in rows)
-        q = sum(r["q"] for r in rows)
-        var = max(q / n - (s / n) ** 2, 0.0) if n else 0.0
-        out[f] = FitContext(float(n), math.sqrt(var))
+        acc = (0, 0.0, 0.0)
+        for g, r in sorted(per.items()):
+            if g != f and r["n"]:
+                acc = _merge(acc, (r["n"], r["m"], r["v"] * r["n"]))
+        out[f] = FitContext(float(acc[0]), math.sqrt(acc[2] / acc[0]) if acc[0] else 0.0)
     return out
 
 

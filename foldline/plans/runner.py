@@ -129,9 +129,9 @@ FLAGSHIP_MODELS = ["Linear_Ridge", "Linear_Lasso", "XGBoost"]
 
 
 def flagship_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The housing recipe end to end; returns the metric table."""
+    """The housing recipe with three of the six models, the boosted one cut to 10 rounds; returns the metric table."""
     recipe = Recipe(active_models=FLAGSHIP_MODELS,
-                    model_params={"XGBoost": {"maxIter": 10}})
+                    model_params={"XGBoost": {"maxIter": 10, "stepSize": 0.1, "validationTol": 0.01}})
     train_raw, score_raw = split_standin(spark, sf_dir, recipe.id_col)
     prepared = prepare(train_raw, score_raw, recipe)
     return run(prepared, recipe).metrics

@@ -53,14 +53,9 @@ def order_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer side is broadcast only when its runtime size is under the
     threshold; otherwise both sides are shuffled on the key).
     """
-    # Orders are hash-partitioned on the order key: the partitioning the
-    # per-order lineitem join needs (the line summary is already aggregated
-    # on that key), so at scale it is the join's own exchange, and the
-    # derived columns computed downstream spread over all tasks even when a
-    # source file is a single row group.
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-        "o_orderpriority").repartition("o_orderkey")
+        "o_orderpriority")
     c = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     lines = line_summary(spark, sf_dir)
