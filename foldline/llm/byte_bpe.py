@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +25,9 @@ from foldline.llm.shared import documents
 
 _NONE = np.int64(1 << 40)
 #: A task's shard of the corpus ends with the text that takes it past so many bytes.
-SHARD_BYTES = 1 << 23
+SHARD_BYTES = 1 << 22
 #: Ids of the words that a worker remembers between shards; beyond it, it starts anew.
-CACHED_IDS = 6_000_000
+CACHED_IDS = 3_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -218,15 +218,18 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:-1])
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids): each whole text's ids as little-endian unsigned 32-bit integers.
+@functools.lru_cache(maxsize=2)
+def tokens_of(path: str) -> dict[int, bytes]:
+    """Rank to token bytes, kept for a worker's later tasks."""
+    return {rank: token for token, rank in read_ranks(path).items()}
 
-    ``path`` names a ``.tiktoken`` file that every executor can open,
-    ``pattern`` the regular expression whose matches are encoded one by one.
-    Null and empty texts have no ids; rows and ids of rows may repeat; other
-    columns are ignored.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def encoding(path: str, pattern: str) -> Callable[[Batches], Batches]:
+    """(doc_id, text) batches to (doc_id, ids) batches, a shard at a time."""
+    def run(batches: Batches) -> Batches:
         encoder = shard_encoder(path, pattern)
         for batch in batches:
             data, offsets = tb.flat(batch.column(1))
@@ -237,22 +240,43 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), raw.cast(pa.binary())], ["doc_id", "ids"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, ids binary")
+    return run
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """Adds ``decoded`` (the bytes that the ids stand for) to (doc_id, ids); null ids give no bytes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {rank: token for token, rank in read_ranks(path).items()}
+def decoding(path: str) -> Callable[[Batches], Batches]:
+    """(doc_id, ids) batches to (doc_id, ids, decoded) batches."""
+    def run(batches: Batches) -> Batches:
+        table = tokens_of(path)
         for batch in batches:
             out = [b"".join(map(table.__getitem__, np.frombuffer(x.as_buffer(), "<u4").tolist())) if x.is_valid else b"" for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
+    return run
+
+
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(doc_id, ids): each whole text's ids as little-endian unsigned 32-bit integers.
+
+    ``path`` names a ``.tiktoken`` file that every executor can open,
+    ``pattern`` the regular expression whose matches are encoded one by one.
+    Null and empty texts have no ids; rows and ids of rows may repeat; other
+    columns are ignored.
+    """
+    return documents(docs).mapInArrow(encoding(path, pattern), "doc_id long, ids binary")
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """Adds ``decoded`` (the bytes that the ids stand for) to (doc_id, ids); null ids give no bytes."""
+    return encoded.select("doc_id", "ids").mapInArrow(decoding(path), "doc_id long, ids binary, decoded binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """One row per document: doc_id, n_tokens, and SHA-256 of its ids and of the decoded bytes."""
-    return decode(encode(docs, path, pattern), path).select(
+    """One row per document: doc_id, n_tokens, and SHA-256 of its ids and of the decoded bytes.
+
+    Both steps run in one worker, so that a task holds one encoder.
+    """
+    there, back = encoding(path, pattern), decoding(path)
+    both = documents(docs).mapInArrow(lambda batches: back(there(batches)), "doc_id long, ids binary, decoded binary")
+    return both.select(
         "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
