@@ -94,18 +94,14 @@ class TargetEncoder:
         self.out_col = out_col or f"{column}_te"
 
     def fit(self, df: DataFrame) -> TargetEncoderModel:
-        """One aggregation: ``rollup(category, fold)`` yields the per-fold
-        sums, the per-category totals and the grand total (global mean),
-        told apart by ``grouping_id()``; the small result is materialised."""
+        """One aggregation of the rows, ``(category, fold)``; the per-category
+        totals and the global mean are sums over that small, materialised table."""
         c, y, f = self.column, self.label, self.fold_col
-        rolled, _ = measured(df.rollup(c, f).agg(
-            F.sum(y).alias("_s"), F.count(y).alias("_n"), F.grouping_id().alias("_g")))
-        per = rolled.where((F.col("_g") == 0) & F.col(c).isNotNull()).select(
-            c, f, F.col("_s").alias("_fold_sum"), F.col("_n").alias("_fold_n"))
-        tot = rolled.where((F.col("_g") == 1) & F.col(c).isNotNull()).select(
-            c, F.col("_s").alias("_all_sum"), F.col("_n").alias("_all_n"))
-        grand = rolled.where(F.col("_g") == 3).first()
-        gmean = grand["_s"] / grand["_n"] if grand and grand["_n"] else None
+        every, _ = measured(df.groupBy(c, f).agg(F.sum(y).alias("_fold_sum"), F.count(y).alias("_fold_n")))
+        per = every.where(F.col(c).isNotNull())
+        tot = per.groupBy(c).agg(F.sum("_fold_sum").alias("_all_sum"), F.sum("_fold_n").alias("_all_n"))
+        grand = every.agg(F.sum("_fold_sum").alias("s"), F.sum("_fold_n").alias("n")).first()
+        gmean = grand["s"] / grand["n"] if grand["n"] else None
         rest_n = F.col("_all_n") - F.col("_fold_n")
         oof = per.join(tot, on=c).select(
             c, f, F.when(rest_n > 0, (F.col("_all_sum") - F.col("_fold_sum")) / rest_n).alias("_te"))

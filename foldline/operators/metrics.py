@@ -32,15 +32,19 @@ def mae(df: DataFrame, label: str, pred: str, log_scale: bool = True) -> float:
 def metric_table(preds: DataFrame, label: str = "label", pred: str = "pred",
                  model_col: str = "model", fold_col: str = "fold",
                  log_scale: bool = True) -> DataFrame:
-    """MAE and MAPE per (model, fold) and per model overall in one rollup pass.
+    """MAE and MAPE per (model, fold) and per model overall.
 
-    Long output ``model, fold, metric, value``; ``fold`` is NULL on the
-    per-model rows.
+    The rows are summed once per (model, fold); the rollup runs over those few
+    sums. Long output ``model, fold, metric, value``; ``fold`` is NULL on the
+    per-model rows. A group without an error value has a NULL metric.
     """
     y, p = F.col(label), F.col(pred)
-    agg = (preds.rollup(model_col, fold_col)
-           .agg(F.avg(abs_error(y, p, log_scale)).alias("mae"),
-                F.avg(pct_error(y, p, log_scale)).alias("mape"))
+    ae, pe = abs_error(y, p, log_scale), pct_error(y, p, log_scale)
+    sums = preds.groupBy(model_col, fold_col).agg(
+        F.sum(ae).alias("_ae"), F.count(ae).alias("_an"), F.sum(pe).alias("_pe"), F.count(pe).alias("_pn"))
+    agg = (sums.rollup(model_col, fold_col)
+           .agg(F.try_divide(F.sum("_ae"), F.sum("_an")).alias("mae"),
+                F.try_divide(F.sum("_pe"), F.sum("_pn")).alias("mape"))
            .where(F.col(model_col).isNotNull()))
     return agg.select(model_col, fold_col,
                       F.inline(F.array(F.struct(F.lit("mae").alias("metric"), F.col("mae").alias("value")),

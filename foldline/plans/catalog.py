@@ -374,20 +374,20 @@ def q_metric_table(spark, sf_dir):
 
 @query
 def q_mae_by_fold(spark, sf_dir):
-    from foldline.operators.metrics import abs_error
-    train = model_frame(spark, sf_dir).where(~F.col("scoring"))
-    _, out = _ridge_oof(train, BASE_FEATURES)
-    agg = out.rollup("fold").agg(F.avg(abs_error(F.col("label"), F.col("pred"))).alias("mae"))
-    return agg.select("fold", r6("mae").alias("mae"))
+    return _ridge_metric(spark, sf_dir, "mae")
 
 
 @query
 def q_mape(spark, sf_dir):
-    from foldline.operators.metrics import pct_error
+    return _ridge_metric(spark, sf_dir, "mape")
+
+
+def _ridge_metric(spark, sf_dir, metric):
+    from foldline.operators.metrics import metric_table
     train = model_frame(spark, sf_dir).where(~F.col("scoring"))
     _, out = _ridge_oof(train, BASE_FEATURES)
-    agg = out.rollup("fold").agg(F.avg(pct_error(F.col("label"), F.col("pred"))).alias("mape"))
-    return agg.select("fold", r6("mape").alias("mape"))
+    mt = metric_table(out.select(F.lit("ridge").alias("model"), "fold", "label", "pred"))
+    return mt.where(F.col("metric") == metric).select("fold", r6("value").alias(metric))
 
 
 @query
@@ -496,13 +496,14 @@ def q_tune_best(spark, sf_dir):
 @query
 def q_ablation_delta(spark, sf_dir):
     """CV MAE of the ridge base model with and without the discount feature."""
+    from foldline.operators.linear import fold_case
     from foldline.operators.metrics import abs_error
     train = model_frame(spark, sf_dir).where(~F.col("scoring"))
-    _, full = _ridge_oof(train, BASE_FEATURES)
-    _, less = _ridge_oof(train, ["x_qty"])
+    full, _ = _ridge_oof(train, BASE_FEATURES)
+    less, _ = _ridge_oof(train, ["x_qty"])
     y = F.col("label")
-    m = full.select("o_orderkey", "label", F.col("pred").alias("p_full")).join(
-        less.select("o_orderkey", F.col("pred").alias("p_less")), "o_orderkey")
+    m = train.select("label", fold_case("fold", full, BASE_FEATURES).alias("p_full"),
+                     fold_case("fold", less, ["x_qty"]).alias("p_less"))
     agg = m.agg(F.avg(abs_error(y, F.col("p_full"))).alias("full"),
                 F.avg(abs_error(y, F.col("p_less"))).alias("without_x_disc"))
     return agg.select(F.inline(F.array(
@@ -753,13 +754,12 @@ def q_tune_enet(spark, sf_dir):
 
 @query
 def q_tune_gbt(spark, sf_dir):
-    """Cross-validated boosted-tree grid with the fold column as foldCol."""
+    """Randomised boosted-tree search (four draws of ten rounds), each fold with its own statistics; error in money."""
     from foldline.operators.preprocess import FoldPreprocessor
-    from foldline.operators.tune import gbt_search
+    from foldline.operators.tune import gbt_search, sample_gbt
     train, _ = model_tables(spark, sf_dir)
     prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "native", "fold", K).fit(train)
-    fx = prep.features(train, 0, ["o_orderkey", "fold", "label"])
-    _, rows = gbt_search(fx, "fold", {"maxDepth": [3, 4], "stepSize": [0.1, 0.3]}, SEED)
+    rows = gbt_search(train, prep, sample_gbt(4, SEED, depths=(3, 4)), rounds=10, seed=SEED, k=K)
     return spark.createDataFrame([(r["maxDepth"], r["stepSize"], r["cv_mae"]) for r in rows],
                                  "max_depth int, step_size double, cv_mae double")
 
