@@ -41,9 +41,13 @@ class Scratch:
     def result(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` beside the scratch tables, then delete these."""
         out = written(df, name)
+        self.drop()
+        return out
+
+    def drop(self) -> None:
+        """Delete the scratch tables."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        return out
 
 
 def documents(docs: DataFrame) -> DataFrame:
