@@ -1,4 +1,10 @@
-"""Substring deduplication over sliding spans of sentences."""
+"""Substring deduplication over sliding spans of sentences, and of words where a repeat is long.
+
+Spans of whole sentences find short repeats. A passage of PASSAGE words or more
+is found wherever it begins and ends: of every window of so many words the
+smallest hash of GRAM words is an anchor, so that equal windows have equal
+anchors; the windows of anchors met twice are then compared themselves.
+"""
 
 from __future__ import annotations
 
@@ -11,10 +17,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldline.llm import textbytes as tb
 from foldline.llm.shared import Scratch
 
 #: A sentence ends after such punctuation and the white space behind it, or after line breaks.
 _END = re.compile(r"[.!?]+\s+|\n\s*")
+#: A word and the white space around it that no word before it has.
+_WORD = re.compile(r"^\s*\S+\s*|\S+\s*")
 
 
 def sentences(text: str) -> list[str]:
@@ -27,6 +36,11 @@ def sentences(text: str) -> list[str]:
 
 #: A sentence of so many words is a run by itself.
 LONG = 25
+#: A repeat of so many words goes, also where it begins or ends within a sentence.
+PASSAGE = 50
+#: Words of an anchor.
+GRAM = 10
+_SLICE = 1 << 17
 
 
 def spans(text: str, min_sentences: int, min_words: int) -> Iterator[tuple[bytes, int, int]]:
@@ -45,6 +59,95 @@ def spans(text: str, min_sentences: int, min_words: int) -> Iterator[tuple[bytes
     yield from ((digests[i], i, i + 1) for i, w in enumerate(words) if len(w) >= LONG)
 
 
+def anchors(texts: list[str]) -> Iterator[list[np.ndarray]]:
+    """Arrays (hash, text, word, first window, last window, first sentence, end) of the anchors of all windows of PASSAGE words.
+
+    A window is named by its first word; the sentences are those that the
+    anchor's windows touch.
+    """
+    split = [[s.lower().split() for s in sentences(text)] for text in texts]
+    data = np.frombuffer(" ".join(w for text in split for words in text for w in words).encode(), np.uint8)
+    start, end, _ = tb.words(data, np.array([0, len(data)]))
+    size = np.array([sum(map(len, text)) for text in split], np.int64)
+    row = np.repeat(np.arange(len(texts)), size)
+    place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+    sentence = np.array([i for text in split for i, words in enumerate(text) for _ in words], np.int64)
+    more = PASSAGE - 1
+    for a in range(0, len(row) - more, _SLICE):
+        b = min(len(row), a + _SLICE + more)
+        grams = tb.span_hash(tb.prefix_hash(data[start[a]:end[b - 1]]), start[a:b - GRAM + 1] - start[a], end[a + GRAM - 1:b] - start[a])
+        window = np.arange(b - a - more)
+        at = np.lib.stride_tricks.sliding_window_view(grams, PASSAGE - GRAM + 1).argmin(axis=1) + window
+        inside = row[window + a] == row[window + a + more]
+        window, at, code = window[inside] + a, at[inside] + a, grams[at[inside]]
+        new = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else at
+        last = window[np.append(new[1:], len(at)) - 1] if len(at) else at
+        yield [code[new].view(np.int64), row[at[new]], place[at[new]], place[window[new]], place[last], sentence[window[new]], sentence[last + more] + 1]
+
+
+def repeated_passages(docs: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(doc_id, start, end): ranges of PASSAGE words that occur before and that ``ranges`` of sentences leave a word of.
+
+    An occurrence that overlaps the first one is none. ``ranges`` has one row a document, (doc_id, ranges) of sorted (start, end).
+    Places, rows and their order are as in ``repeated_spans``.
+    """
+    names = ["anchor", "doc_id", "word", "first", "last", "start", "end"]
+    types = [pa.int64(), pa.int64(), *[pa.int32()] * 5]
+
+    def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                for code, row, *rest in anchors(part.column(1).to_pylist()):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([code, ids[row], *rest], types, strict=True)], names)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[dict]] = []
+            for own in batch.column(1).to_pylist():
+                out.append([])
+                for r in own:
+                    if out[-1] and r["start"] <= out[-1][-1]["end"]:
+                        out[-1][-1]["end"] = max(out[-1][-1]["end"], r["end"])
+                    else:
+                        out[-1].append(r)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, batch.schema.field(1).type)], batch.schema.names)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 100):
+                part = batch.slice(a, 100)
+                found = []
+                for doc, text, wanted in zip(*[part.column(k).to_pylist() for k in range(3)], strict=True):
+                    words = [w for s in sentences(text) for w in s.lower().split()]
+                    places = sorted({i for x in wanted for i in range(x["first"], x["last"] + 1) if i + PASSAGE <= len(words)})
+                    found += [(xxhash.xxh3_128_digest(" ".join(words[i:i + PASSAGE])), doc, i) for i in places]
+                columns = list(zip(*found, strict=True)) if found else [[], [], []]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int32()), strict=True)], ["window", "doc_id", "start"])
+
+    rows = _rows(docs)
+    scratch = Scratch(docs.sparkSession, "passages")
+    every = scratch.write(rows.mapInArrow(anchored, "anchor long, doc_id long, word int, first int, last int, start int, end int"), "anchors")
+    place = F.struct("doc_id", "word")
+    twice = every.groupBy("anchor").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least != most").select("anchor", "least")
+    met = scratch.write(every.join(twice, "anchor"), "met")
+    # copies that the spans of sentences take away whole need no windows
+    gone = F.exists("ranges", lambda r: (r["start"] <= F.col("start")) & (F.col("end") <= r["end"]))
+    left = met.where(place != F.col("least")).join(ranges.mapInArrow(merged, ranges.schema), "doc_id", "left").where(F.col("ranges").isNull() | ~gone)
+    wanted = met.join(left.select("anchor").distinct(), "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("wanted"))
+    seen = scratch.write(rows.join(scratch.write(wanted, "wanted"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(windows, "window binary, doc_id long, start int"), "windows")
+    place = F.struct("doc_id", "start")
+    firsts = seen.groupBy("window").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least != most").select("window", "least")
+    apart = (F.col("doc_id") != F.col("least.doc_id")) | (F.col("start") >= F.col("least.start") + PASSAGE)  # the first occurrence itself stays
+    again = seen.join(firsts, "window").where(apart)
+    return scratch.result(again.select("doc_id", "start", (F.col("start") + PASSAGE).alias("end")).distinct(), "repeated-passages")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+
+
 def repeated_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 12) -> DataFrame:
     """(doc_id, start, end): sentence ranges whose text occurs before, at a smaller doc_id or earlier in the document.
 
@@ -63,24 +166,47 @@ def repeated_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 12)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int32(), pa.int32()), strict=True)],
                                                  ["span", "doc_id", "start", "end"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     scratch = Scratch(docs.sparkSession, "sentence-spans")
-    every = scratch.write(rows.mapInArrow(run, "span binary, doc_id long, start int, end int"), "spans")
+    every = scratch.write(_rows(docs).mapInArrow(run, "span binary, doc_id long, start int, end int"), "spans")
     place = F.struct("doc_id", "start")
     # a span met once, or only at one place by rows that repeat, is no repeat
     firsts = scratch.write(every.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("span", "first"), "repeats")
     return scratch.result(every.join(firsts, "span").where(place != F.col("first")).select("doc_id", "start", "end").distinct(), "repeated-spans")
 
 
+def without(text: str, sentence_ranges: list[dict], word_ranges: list[dict]) -> tuple[str, int, int]:
+    """The text without these sentences and words, its number of sentences, and of those of which nothing is left."""
+    parts = sentences(text)
+    gone = {i for r in sentence_ranges for i in range(r["start"], r["end"])}
+    words = {i for r in word_ranges for i in range(r["start"], r["end"])}
+    if words:
+        at = 0
+        for i, part in enumerate(parts):
+            own = range(at, at := at + len(part.split()))
+            if i in gone or words.isdisjoint(own):
+                continue
+            if words.issuperset(own):
+                gone.add(i)
+            else:
+                parts[i] = "".join(w for k, w in zip(own, _WORD.findall(part), strict=True) if k not in words)
+    return "".join(s for i, s in enumerate(parts) if i not in gone), len(parts), len(gone)
+
+
 def drop_repeated_sentences(docs: DataFrame, min_sentences: int = 2, min_words: int = 12) -> DataFrame:
-    """``docs``, all columns, without the sentences that any non-first repeated span covers.
+    """``docs``, all columns, without the sentences that any non-first repeated span covers, nor the words of non-first passages.
 
     Texts without such a span, null and empty ones too, stay as they are. Adds
-    struct column ``span_dedup`` (n_sentences, n_removed), which replaces a
-    column of that name.
+    struct column ``span_dedup`` (n_sentences, n_removed: those of which
+    nothing is left), which replaces a column of that name.
     """
     docs = docs.select(*[c for c in docs.columns if c != "span_dedup"])
-    ranges = repeated_spans(docs, min_sentences, min_words).groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("ranges"))
+    spans_ = repeated_spans(docs, min_sentences, min_words)
+
+    def collected(ranges: DataFrame, name: str) -> DataFrame:
+        return ranges.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(name))
+
+    passages = repeated_passages(docs, collected(spans_, "ranges"))
+    ranges = collected(spans_, "ranges").join(collected(passages, "passages"), "doc_id", "full")
     joined = docs.join(ranges.withColumnRenamed("doc_id", "span_doc_id"), docs["doc_id"].cast("long") == F.col("span_doc_id"), "left")
     names = docs.columns
     at = names.index("text")
@@ -89,14 +215,13 @@ def drop_repeated_sentences(docs: DataFrame, min_sentences: int = 2, min_words:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = [], []
-            for text, own in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                parts = sentences(text or "")
-                gone = {i for r in own or () for i in range(r["start"], r["end"])}
-                counts.append({"n_sentences": len(parts), "n_removed": len(gone)})
-                texts.append("".join(s for i, s in enumerate(parts) if i not in gone) if gone else text)
+            for text, own, words in zip(*[batch.column(k).to_pylist() for k in (at, len(names), len(names) + 1)], strict=True):
+                kept, n, removed = without(text or "", own or [], words or [])
+                counts.append({"n_sentences": n, "n_removed": removed})
+                texts.append(kept if own or words else text)
             columns = batch.columns[:len(names)]
             columns[at] = pa.array(texts, batch.schema.field(at).type)
             counted = pa.array(counts, pa.struct([("n_sentences", pa.int32()), ("n_removed", pa.int32())]))
             yield pa.RecordBatch.from_arrays([*columns, counted], [*names, "span_dedup"])
 
-    return joined.select(*[docs[c] for c in names], "ranges").mapInArrow(run, schema)
+    return joined.select(*[docs[c] for c in names], "ranges", "passages").mapInArrow(run, schema)

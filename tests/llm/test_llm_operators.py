@@ -242,6 +242,35 @@ def test_sentence_spans(frame):
     assert sentence_spans.drop_repeated_sentences(frame([])).count() == 0
 
 
+def test_passages_pasted_within_sentences(frame, monkeypatch):
+    monkeypatch.setattr(sentence_spans, "_SLICE", 70)
+    rng = random.Random(18)
+    stops = lambda n: " ".join(w + rng.choice(["", "", "", "", "", "", ".", ",", "!\n"]) for w in prose(rng, n, 900).split())
+    passages = [prose(rng, 60, 900), prose(rng, 50, 900), stops(70), stops(120), prose(rng, 49, 900)]
+    docs = [(i, f"{stops(rng.randint(1, 40))} {rng.choice(passages).upper() if i % 7 == 0 else rng.choice(passages)}  {stops(rng.randint(1, 40))}") for i in range(60)]
+    docs += ODD + [(300, docs[5][1]), (301, "\xa0" + passages[0] + "\x85" + passages[0]), (302, "la " * 130)]
+    seen, first = {}, {}
+    want, at_sentences, some = {}, 0, 0
+    for d, t in sorted((d, t) for d, t in docs if d is not None and t is not None):
+        words, own = t.split(), set()
+        plain = [w.lower() for w in words]
+        for i in range(len(words) - 49):
+            window = tuple(plain[i:i + 50])
+            e, at = seen.setdefault(window, (d, i))
+            own |= set(range(i, i + 50)) if e != d or i >= at + 50 else set()
+        sizes = [len(s.split()) for s in sentence_spans.sentences(t)]
+        by_sentence = set()
+        for digest, a, b in sentence_spans.spans(t, 2, 12):
+            if first.setdefault(digest, (d, a)) != (d, a):
+                by_sentence |= set(range(sum(sizes[:a]), sum(sizes[:b])))
+        at_sentences += len(own - by_sentence)
+        want[d] = [w for i, w in enumerate(words) if i not in own | by_sentence]
+        some += len(own)
+    got = {r.doc_id: r.text for r in sentence_spans.drop_repeated_sentences(frame(docs)).collect()}
+    assert {d: (got[d] or "").split() for d in want} == want
+    assert some > 1500 and at_sentences > 300 and len(want[302]) == 50
+
+
 # 9 -------------------------------------------------------------------------------------------------------------
 
 def brute_bytes(docs, length):
