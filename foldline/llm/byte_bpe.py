@@ -26,7 +26,7 @@ from foldline.llm.shared import documents
 _NONE = np.int64(1 << 40)
 #: A task's shard of the corpus ends with the text that takes it past so many bytes.
 SHARD_BYTES = 1 << 22
-#: Ids of the words that a worker remembers between shards; beyond it, it starts anew.
+#: A worker that remembers ids of words beyond half of it forgets them before it learns a shard's new ones.
 CACHED_IDS = 3_000_000
 
 
@@ -144,7 +144,7 @@ class MergeReplay:
 
 
 class ShardEncoder:
-    """Ids of whole texts; remembers the chunks it has met, up to CACHED_IDS ids."""
+    """Ids of whole texts; remembers a shard's chunks, and up to half of CACHED_IDS ids of earlier ones."""
 
     def __init__(self, path: str, pattern: str):
         self.replay = MergeReplay(read_ranks(path))
@@ -165,8 +165,6 @@ class ShardEncoder:
         size = np.diff(offsets)[parts]
         number = np.array([len(words) for words in split], np.int64)
         total = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(number)])]
-        if len(self.ids) + total[-1] > CACHED_IDS:
-            self.forget()
         start = np.concatenate([self.start, total[:-1] + len(self.ids)])
         length = np.concatenate([self.length, np.diff(total)])
         known = np.concatenate([self.known, hashes])
@@ -184,7 +182,7 @@ class ShardEncoder:
         if new.any():
             if len(self.ids) > CACHED_IDS // 2:
                 self.forget()
-                new[:] = True
+                new[:] = True  # what was known before too
             self.learn(hashes[new], tb.pieces(data, start[first[new]], end[first[new]]))
         at = np.searchsorted(self.known, hashes)[code] if len(hashes) else np.zeros(0, np.int64)
         size = self.length[at]
