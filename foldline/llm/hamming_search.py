@@ -23,9 +23,13 @@ BITS = 64
 
 
 def sign_code(vector: Column) -> Column:
-    """64-bit code of a vector: bit i is set if element i is above 0; absent and null elements count as 0."""
+    """64-bit code of a vector: bit i is set if element i is above 0; absent and null elements count as 0.
+
+    A longer vector is an error: its neighbours would come from its first elements alone.
+    """
     bit = lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))).otherwise(F.lit(0).cast("long"))
-    return F.aggregate(F.transform(F.slice(vector, 1, BITS), bit), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    code = F.aggregate(F.transform(F.slice(vector, 1, BITS), bit), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    return F.when(F.size(vector) > BITS, F.raise_error(F.lit(f"a sign code holds {BITS} elements, a vector has more")).cast("long")).otherwise(code)
 
 
 class SegmentTables:
