@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldline.llm import byte_bpe, chat_format, exact_dedup, hamming_search, language_id, ngram_join, packing, repeated_bytes, sentence_spans, toxicity
+from foldline.llm import (byte_bpe, chat_format, decontaminate, exact_dedup, hamming_search, hard_negatives, language_id, ngram_join, packing, prefix_trie,
+                          repeated_bytes, sentence_spans, toxicity)
 from foldline.llm.shared import crc_bucket
 
 
@@ -79,6 +80,25 @@ def op10_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(_table(spark, sf_dir, "documents"), path, window=4096))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each begun by the first turns of its family's first one."""
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that windows of ten words of benchmark items cover."""
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every embedding whose id is divisible by 100, for each of its first 5 positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"), hard_negatives.scaled(F.col("embedding"), 256).alias("vector"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -90,6 +110,9 @@ QUERIES = {
     "op8_sentence_spans": op8_sentence_spans,
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_lexical_packing": op10_lexical_packing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE = {
@@ -116,6 +139,70 @@ ORACLE = {
                     + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')))::BIGINT AS formatted_chars
             FROM t GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM c""",
+    "op12_decontaminate": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        b AS (
+            SELECT item_id::VARCHAR AS item,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark WHERE item_id IS NOT NULL),
+        bi AS (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+        windows AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM bi),
+        di AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+        met AS (SELECT r, i, n, item FROM (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM di) JOIN windows USING (n, p)),
+        hit AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM met) GROUP BY r),
+        named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM met) GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+            n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""",
+    "op11_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n
+            FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (SELECT DISTINCT conv_id FROM t),
+        crc AS (  -- crc32 by its bits: one step for each of the eight bits of each character
+            WITH RECURSIVE step(conv_id, s, k, c) AS (
+                SELECT conv_id, conv_id::VARCHAR, 0, 4294967295::UBIGINT FROM ids
+                UNION ALL
+                SELECT conv_id, s, k + 1, CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END
+                FROM (SELECT conv_id, s, k, CASE WHEN k % 8 = 0 THEN xor(c, ascii(s[k // 8 + 1])::UBIGINT) ELSE c END AS x FROM step WHERE k < 8 * length(s)))
+            SELECT conv_id, (xor(c, 4294967295::UBIGINT) % 9)::BIGINT AS h FROM step WHERE k = 8 * length(s)),
+        built AS (
+            SELECT c.conv_id, t.n, t.role, t.text FROM crc c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.n <= h
+            UNION ALL SELECT c.conv_id, least(h, coalesce(m, 0)) + t.n - h, t.role, t.text
+            FROM crc c JOIN t USING (conv_id) LEFT JOIN (SELECT conv_id AS f, count(*) AS m FROM t GROUP BY conv_id) ON f = c.conv_id - c.conv_id % 5 WHERE t.n > h),
+        line AS (SELECT conv_id, n, octet_length(encode(text)) AS bytes,
+                list(md5(octet_length(encode(role)) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY n) AS path FROM built),
+        member AS (SELECT conv_id, n AS depth, md5(array_to_string(path, '')) AS node, CASE WHEN n > 1 THEN md5(array_to_string(path[:n - 1], '')) ELSE md5('') END AS parent,
+                bytes, [md5(array_to_string(path[:i], '')) FOR i IN range(0, n + 1)] AS above FROM line
+            UNION ALL SELECT conv_id, 0, md5(''), NULL, 0, [md5('')] FROM ids),
+        ends AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS s
+            FROM (SELECT conv_id, arg_max(node, depth) AS node FROM member GROUP BY conv_id) GROUP BY node),
+        nodes AS (SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, any_value(bytes) AS bytes, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs
+            FROM member GROUP BY node),
+        kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+        up AS (SELECT a AS node, sum((n_convs - 1) * bytes) AS saved, count(*) FILTER (n_children IS NULL) AS leaves
+            FROM (SELECT unnest(above) AS a, n_convs, bytes, n_children FROM nodes LEFT JOIN kids USING (node)) GROUP BY a)
+        SELECT x.conv_id, x.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, x.n_convs, coalesce(n_children, 0) AS n_children, leaves AS n_leaves,
+            saved::BIGINT AS saved_tokens, sha256(coalesce(s, '')) AS ends_sha256
+        FROM nodes x LEFT JOIN nodes p ON p.node = x.parent LEFT JOIN kids k ON k.node = x.node JOIN up ON up.node = x.node LEFT JOIN ends e ON e.node = x.node""",
+    "op13_hard_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS a, r.vec_id AS b, q.label = r.label AS same, coalesce(list_sum(list_transform(list_zip(q.v, r.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+            FROM e q JOIN e r ON q.vec_id % 100 = 0 AND len(q.v) = len(r.v)),
+        p AS (SELECT a, b, score FROM s WHERE same AND a <> b QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+        n AS (
+            SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b))::INT AS rank, s.b AS negative_id,
+                p.score AS positive_score, s.score AS negative_score
+            FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
 }
 
 
