@@ -197,6 +197,36 @@ def target_encode(train: DataFrame, score: DataFrame | None, columns: Sequence[s
     return train, score
 
 
+def ordered_target_stats(df: DataFrame, columns: Sequence[str], label: str, id_col: str, seed: int = 42,
+                         prior_rows: float = 1.0, num_partitions: int | None = None) -> DataFrame:
+    """``{column}_ots`` for each column: the label mean of the row's category over the rows before it in a hash order,
+    with ``prior_rows`` rows of the global mean, so that no row sees its own label.
+
+    The order is md5 of seed and id, ties by id. Every column's rows are
+    range-partitioned by (column, category, order), so a hot category spans many
+    partitions; a row's sum is the running one of its slice (partition and
+    category) plus those of the slices before, from a table with a row for each
+    slice. NULL is a category; a NULL label adds nothing. Ids must be unique.
+    """
+    cols, y = present(df, columns), F.col(label).cast("double")
+    grand = df.agg(F.avg(y)).first()[0]
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    pairs = F.array(*[F.struct(F.lit(c).alias("_name"), F.col(c).cast("string").alias("_value")) for c in cols])
+    long = df.select(F.col(id_col).alias("_id"), y.alias("_y"), order.alias("_order"), F.inline(pairs))
+    parts = [num_partitions] if num_partitions else []
+    ranged = cut_lineage(long.repartitionByRange(*parts, "_name", F.col("_value").asc_nulls_first(), "_order", "_id").withColumn("_pid", F.spark_partition_id()))
+    within = Window.partitionBy("_pid", "_name", "_value").orderBy("_order", "_id").rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumns({"_s": F.coalesce(F.sum("_y").over(within), F.lit(0.0)), "_n": F.count("_y").over(within)})
+    slices = ranged.groupBy("_pid", "_name", "_value").agg(F.coalesce(F.sum("_y"), F.lit(0.0)).alias("_ss"), F.count("_y").alias("_sn"))
+    before = Window.partitionBy("_name", "_value").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(F.col("_pid").alias("_p"), F.col("_name").alias("_k"), F.col("_value").alias("_v"),
+                            F.coalesce(F.sum("_ss").over(before), F.lit(0.0)).alias("_so"), F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_no"))
+    same = (F.col("_pid") == F.col("_p")) & (F.col("_name") == F.col("_k")) & F.col("_value").eqNullSafe(F.col("_v"))
+    stat = (F.col("_s") + F.col("_so") + F.lit(prior_rows * (grand or 0.0))) / (F.col("_n") + F.col("_no") + F.lit(prior_rows))
+    stats = local.join(offsets, same).groupBy("_id").agg(*[F.max(F.when(F.col("_name") == c, stat)).alias(f"{c}_ots") for c in cols])
+    return df.join(stats, df[id_col] == stats["_id"], "left").drop("_id")
+
+
 @dataclass
 class FoldCategoriesModel:
     """Sorted training categories per held-out fold and column."""

@@ -1,10 +1,9 @@
 """Base-model registry: name -> MLlib estimator factory and the preprocessing
 it expects (``tree``, ``linear`` or ``native`` categories).
 
-Boosting engines with leaf-wise growth, ordered boosting or randomised
-split thresholds have no MLlib counterpart; each is re-aimed at the MLlib
-estimator closest in spirit (see README). Iteration counts default to values
-that keep a 5-fold run cheap and can be raised per run via ``params``.
+The boosted models run on :mod:`foldline.operators.boosting`, all folds at
+once and with patience; randomised split thresholds have no counterpart and are
+re-aimed at MLlib's random forest (see README).
 """
 
 from __future__ import annotations
@@ -13,8 +12,9 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 
+from foldline.operators.boosting import BoostParams
 from foldline.operators.linear import mllib_penalty
 
 log = logging.getLogger(__name__)
@@ -50,23 +50,12 @@ class FitContext:
 
 @dataclass
 class ModelSpec:
+    """``build`` gives an MLlib estimator for one fold; ``boost`` instead has all folds boosted at once."""
     name: str
     prep: str                                   # tree | linear | native
-    build: Callable[[FitContext, dict], object]
+    build: Callable[[FitContext, dict], object] | None = None
     uses_validation: bool = False
-
-
-def _gbt(loss, depth, subsample, feat, min_inst=1, *, rounds, step):
-    def build(ctx: FitContext, params: dict):
-        return GBTRegressor(
-            lossType=loss, maxDepth=params.get("maxDepth", depth),
-            maxIter=params.get("maxIter", rounds), stepSize=params.get("stepSize", step),
-            subsamplingRate=subsample, featureSubsetStrategy=feat,
-            minInstancesPerNode=min_inst, maxBins=params.get("maxBins", 64),
-            validationIndicatorCol="is_val", validationTol=params.get("validationTol", 0.0),
-            seed=RANDOM_STATE, featuresCol="features", labelCol="label",
-            cacheNodeIds=True, checkpointInterval=10)
-    return build
+    boost: BoostParams | None = None
 
 
 def _forest(ctx: FitContext, params: dict):
@@ -97,17 +86,20 @@ def _lasso(alpha: float):
 
 # The six base models of the active configuration.
 REGISTRY: dict[str, ModelSpec] = {
-    "XGBoost": ModelSpec("XGBoost", "tree", _gbt("squared", 4, 0.71, "0.435", rounds=5000, step=0.0156), True),
-    "CatBoost": ModelSpec("CatBoost", "native", _gbt("absolute", 6, 1.0, "all", rounds=6000, step=0.02), True),
+    "XGBoost": ModelSpec("XGBoost", "tree", boost=BoostParams(
+        rounds=5000, step=0.0156, depth=4, subsample=0.71, colsample=0.435, l1=0.0345, l2=0.162, min_child=2, min_gain=0.0027, patience=150)),
+    "CatBoost": ModelSpec("CatBoost", "native", boost=BoostParams(
+        rounds=6000, step=0.02, depth=6, symmetric=True, loss="absolute", l2=5, bagging_temperature=0.5, patience=100)),
     "ExtraTrees": ModelSpec("ExtraTrees", "tree", _forest),
-    "LightGBM": ModelSpec("LightGBM", "tree", _gbt("squared", 4, 0.7, "0.6", min_inst=10, rounds=8000, step=0.008), True),
+    "LightGBM": ModelSpec("LightGBM", "tree", boost=BoostParams(
+        rounds=8000, step=0.008, depth=4, leaves=20, subsample=0.7, colsample=0.6, l1=0.2, l2=2.0, min_child=10, patience=100)),
     "Linear_Ridge": ModelSpec("Linear_Ridge", "linear", _ridge(10.0)),
     "Linear_Lasso": ModelSpec("Linear_Lasso", "linear", _lasso(0.0005)),
 }
 
 
 def register_model(spec: ModelSpec, registry: dict | None = None) -> None:
-    """Add a user model factory (any MLlib estimator) under ``spec.name``."""
+    """Add a user model (any MLlib estimator, or boosting settings) under ``spec.name``."""
     (REGISTRY if registry is None else registry)[spec.name] = spec
 
 

@@ -1,14 +1,14 @@
 """Out-of-fold predictions, the prediction table and the meta model.
 
-``oof_predict`` fits one MLlib estimator per held-out fold on the rows of
-the other folds, scores the held-out rows and the scoring table, and returns
-long predictions ``(id, fold, model, pred)``. The fold fits are independent
-Spark jobs submitted from a small driver thread pool. Scoring-table
-predictions are averaged over the fold models (one ``groupBy``).
-
-The meta step works on the wide prediction table; its fits use the Gram
-statistics of :mod:`foldline.operators.linear` (one pass, ``d x d`` on the
-driver).
+``fit_folds`` fits a model for each held-out fold on the rows of the others.
+The scorer it returns adds one column to a table: each training row's prediction
+by the model that didn't see it, or the mean of the fold models. All fold models
+sit in one projection, so a table is scanned once however many models are added
+to it, and nothing is shuffled; the prediction table is the training table with a
+column for each model.
+
+The meta step works on that wide table; its fits use the Gram statistics of
+:mod:`foldline.operators.linear` (one pass, ``d x d`` on the driver).
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldline.operators.boosting import BoostedFolds, fit_boosted, with_overrides
 from foldline.operators.linear import elastic_net_fit, fold_stats, ridge_fit
 from foldline.operators.metrics import abs_error, pct_error
 from foldline.operators.models import FitContext, ModelSpec
@@ -41,59 +42,83 @@ def label_context(df: DataFrame, label: str, fold_col: str, k: int) -> dict:
     return out
 
 
-def oof_predict(spec: ModelSpec, prep: FoldPreprocessModel, train: DataFrame,
-                score: DataFrame | None, id_col: str, label: str = "label",
-                fold_col: str = "fold", k: int = 5, params: dict | None = None,
-                parallelism: int = 5):
-    """Returns ``(oof, score_mean)``: long ``(id, fold, label, model, pred)`` for
-    the training rows and ``(id, model, pred)`` averaged over fold models."""
+@dataclass
+class FoldScorer:
+    """MLlib models of all folds, applied in one projection."""
+    models: list
+    prep: FoldPreprocessModel
+    fold_col: str
+
+    def attach(self, df: DataFrame, out_col: str, own_fold: bool) -> DataFrame:
+        """``df`` with a prediction: by the model of the row's fold, or the mean of all models."""
+        keep, wide = df.columns, df
+        for i, model in enumerate(self.models):
+            wide = self.prep.features(wide, i, wide.columns, f"_x{i}")
+            wide = model.transform(wide, {model.featuresCol: f"_x{i}", model.predictionCol: f"_p{i}"}).drop(f"_x{i}")
+        preds = [F.col(f"_p{i}") for i in range(len(self.models))]
+        if own_fold:
+            pred = F.lit(None).cast("double")
+            for i, p in enumerate(preds):
+                pred = F.when(F.col(self.fold_col) == F.lit(i), p).otherwise(pred)
+        else:
+            pred = sum(preds[1:], preds[0]) / F.lit(float(len(preds)))
+        return wide.select(*keep, pred.alias(out_col))
+
+
+def fit_folds(spec: ModelSpec, prep: FoldPreprocessModel, train: DataFrame, id_col: str, label: str = "label", fold_col: str = "fold",
+              k: int = 5, params: dict | None = None, parallelism: int = 5) -> FoldScorer | BoostedFolds:
+    """The fold models of ``spec``: boosted all at once, or MLlib fits from a small thread pool.
+
+    With ``uses_validation`` an estimator gets all rows and the held-out ones marked ``is_val``.
+    """
     params = dict(params or {})
+    if spec.boost is not None:
+        return fit_boosted(train, prep, with_overrides(spec.boost, params), id_col, label, fold_col, k)
     if prep.kind == "native":
         params.setdefault("maxBins", max(64, prep.max_categories() + 1))
     ctx = label_context(train, label, fold_col, k)
-    keep = [id_col, fold_col, label]
 
     def one_fold(i: int):
-        fx = prep.features(train, i, keep)
-        c = ctx[i]
-        est = spec.build(FitContext(c.n_train, c.label_std_pop, prep.n_features(i)), params)
-        if spec.uses_validation:
-            fit_df = fx.withColumn("is_val", F.col(fold_col) == F.lit(i))
-        else:
-            fit_df = fx.where(F.col(fold_col) != F.lit(i))
-        model = est.fit(fit_df.withColumnRenamed(label, "label") if label != "label" else fit_df)
-        held = model.transform(fx.where(F.col(fold_col) == F.lit(i))).select(
-            id_col, fold_col, label, F.lit(spec.name).alias("model"),
-            F.col("prediction").alias("pred"))
-        scored = None
-        if score is not None:
-            sc = score.withColumn(fold_col, F.lit(i))
-            if label not in sc.columns:
-                sc = sc.withColumn(label, F.lit(None).cast("double"))
-            sx = prep.features(sc, i, keep)
-            scored = model.transform(sx).select(id_col, F.lit(i).alias(fold_col),
-                                                F.lit(spec.name).alias("model"),
-                                                F.col("prediction").alias("pred"))
-        return held, scored
+        fx = prep.features(train, i, [id_col, fold_col, label])
+        est = spec.build(FitContext(ctx[i].n_train, ctx[i].label_std_pop, prep.n_features(i)), params)
+        rows = fx.withColumn("is_val", F.col(fold_col) == F.lit(i)) if spec.uses_validation else fx.where(F.col(fold_col) != F.lit(i))
+        return est.fit(rows.withColumnRenamed(label, "label") if label != "label" else rows)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
-        parts = list(pool.map(one_fold, range(k)))
-    oof = parts[0][0]
-    for h, _ in parts[1:]:
-        oof = oof.unionByName(h)
-    score_mean = None
-    if score is not None:
-        s_all = parts[0][1]
-        for _, s in parts[1:]:
-            s_all = s_all.unionByName(s)
-        score_mean = s_all.groupBy(id_col, "model").agg(F.avg("pred").alias("pred"))
-    return oof, score_mean
+        return FoldScorer(list(pool.map(one_fold, range(k))), prep, fold_col)
+
+
+def oof_predict(spec: ModelSpec, prep: FoldPreprocessModel, train: DataFrame,
+                score: DataFrame | None, id_col: str, label: str = "label",
+                fold_col: str = "fold", k: int = 5, params: dict | None = None,
+                parallelism: int = 5):
+    """Returns ``(oof, score_mean)``: long ``(id, fold, label, model, pred)`` for
+    the training rows and ``(id, model, pred)`` averaged over fold models."""
+    scorer = fit_folds(spec, prep, train, id_col, label, fold_col, k, params, parallelism)
+    name = F.lit(spec.name).alias("model")
+    oof = scorer.attach(train, "pred", True).select(id_col, fold_col, label, name, "pred")
+    return oof, None if score is None else scorer.attach(score, "pred", False).select(id_col, name, "pred")
+
+
+def prediction_table(scorers: dict[str, FoldScorer | BoostedFolds], df: DataFrame, keep: Sequence[str], own_fold: bool) -> DataFrame:
+    """``keep`` and a column for each model's prediction, from one scan of ``df``."""
+    out = df
+    for i, scorer in enumerate(scorers.values()):
+        out = scorer.attach(out, f"_model{i}", own_fold)  # a model may have the name of a feature
+    return out.select(*keep, *[F.col(f"_model{i}").alias(name) for i, name in enumerate(scorers)])
+
+
+def long_predictions(wide: DataFrame, models: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """(keep..., model, pred) from a prediction table, row by row."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("pred")) for m in models])
+    return wide.select(*keep, F.inline(pairs))
 
 
 def meta_matrix(long: DataFrame, id_col: str, models: Sequence[str],
                 keys: Sequence[str] = ("fold", "label")) -> DataFrame:
-    """Wide table ``id, keys..., <one column per model>`` by pivoting the long
-    predictions on the known model list (one shuffle on the id)."""
+    """Wide table ``id, keys..., <one column per model>`` from long predictions
+    that come from elsewhere (one shuffle on the id); models fitted here get theirs
+    from ``prediction_table``, without one."""
     keys = [k for k in keys if k in long.columns]
     return (long.groupBy(id_col, *keys).pivot("model", list(models))
             .agg(F.first("pred")))

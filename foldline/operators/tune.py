@@ -7,8 +7,9 @@ the original-scale MAE of *all* candidates is then one more pass (one
 aggregate per candidate). Candidates are drawn log-uniform in alpha and
 uniform in l1_ratio from a seeded generator.
 
-``gbt_search``: randomised search over boosted trees; every fold is fitted
-and scored with the preprocessing statistics of its own training rows.
+``gbt_search`` and ``halving_search``: randomised search over boosted trees,
+plain and by successive halving over rungs of rounds; every fold is fitted and
+scored with the preprocessing statistics of its own training rows.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldline.operators.boosting import BoostParams, fit_boosted, with_overrides
 from foldline.operators.linear import (elastic_net_fit, fold_case, fold_stats, ridge_fit)
 from foldline.operators.metrics import abs_error
 
@@ -78,36 +80,41 @@ def sample_gbt(n_trials: int, seed: int = 42, depths: Sequence[int] = (3, 4, 5,
             for _ in range(n_trials)]
 
 
-def gbt_search(train: DataFrame, prep, candidates: Sequence[dict], label: str = "label",
+def gbt_search(train: DataFrame, prep, candidates: Sequence[dict], id_col: str = "id", label: str = "label",
                fold_col: str = "fold", k: int = 5, rounds: int = 5000, seed: int = 42,
-               parallelism: int = 4, log_scale: bool = True) -> list[dict]:
+               parallelism: int = 4, log_scale: bool = True, patience: int | None = None) -> list[dict]:
     """Each candidate's parameters with ``cv_mae``: absolute error on the original scale, averaged over all held-out rows.
 
     ``prep`` is a fitted :class:`~foldline.operators.preprocess.FoldPreprocessModel`.
-    The (candidate, fold) fits are independent jobs from a small thread pool.
-    A fold without rows counts for nothing; without any row ``cv_mae`` is None.
+    A candidate's folds are boosted together; candidates are independent jobs from
+    a small thread pool. Without any held-out row ``cv_mae`` is None.
     """
-    from pyspark.ml.regression import GBTRegressor
-
-    bins = max(64, prep.max_categories() + 1)
-
-    def one(task: tuple[dict, int]) -> tuple[float, int]:
-        params, fold = task
-        rows = prep.features(train, fold, [fold_col, label])
-        gbt = GBTRegressor(labelCol=label, maxIter=rounds, seed=seed, subsamplingRate=0.71,
-                           **({"maxBins": bins} | params))
-        model = gbt.fit(rows.where(F.col(fold_col) != F.lit(fold)))
-        err = abs_error(F.col(label), F.col("prediction"), log_scale)
-        got = model.transform(rows.where(F.col(fold_col) == F.lit(fold))).agg(
-            F.sum(err).alias("s"), F.count(err).alias("n")).first()
-        return got["s"] or 0.0, got["n"]
-
-    tasks = [(c, f) for c in candidates for f in range(k)]
+    start = BoostParams(rounds=rounds, subsample=0.71, patience=patience, seed=seed)
+
+    def one(params: dict) -> float | None:
+        fit = fit_boosted(train, prep, with_overrides(start, params), id_col, label, fold_col, k)
+        rows = fit.attach(train.where(F.col(label).isNotNull()), "_pred", True)
+        return rows.agg(F.avg(abs_error(F.col(label), F.col("_pred"), log_scale))).first()[0]
+
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        done = list(pool.map(one, tasks))
-    out = []
-    for i, params in enumerate(candidates):
-        part = done[i * k:(i + 1) * k]
-        n = sum(m for _, m in part)
-        out.append(params | {"cv_mae": sum(s for s, _ in part) / n if n else None})
+        return [params | {"cv_mae": mae} for params, mae in zip(candidates, pool.map(one, candidates), strict=True)]
+
+
+def halving_search(train: DataFrame, prep, candidates: Sequence[dict], id_col: str, label: str = "label", fold_col: str = "fold",
+                   k: int = 5, rounds: int = 50, factor: int = 3, most: int = 5000, seed: int = 42, log_scale: bool = True,
+                   patience: int | None = None) -> list[dict]:
+    """Successive halving: all candidates at ``rounds``, the best 1 / ``factor`` of them at ``factor`` times as many, until one is left
+    or ``most`` rounds are reached. One row for each fit: trial, rounds, depth, step, cv_mae; the last row is the winner.
+
+    Ties go to the earlier candidate. With the rounds of one full rung a plain
+    search tries fewer candidates to the end; here the budget goes to those that lead.
+    """
+    alive, out = list(enumerate(candidates)), []
+    while alive:
+        fits = gbt_search(train, prep, [c for _, c in alive], id_col, label, fold_col, k, rounds, seed, log_scale=log_scale, patience=patience)
+        scored = sorted(zip(alive, fits, strict=True), key=lambda x: (float("inf") if x[1]["cv_mae"] is None else x[1]["cv_mae"], x[0][0]))
+        out += [{"trial": t, "rounds": rounds, "depth": f["maxDepth"], "step": f["stepSize"], "cv_mae": f["cv_mae"]} for (t, _), f in reversed(scored)]
+        if len(alive) == 1 or rounds >= most:
+            break
+        alive, rounds = sorted(x[0] for x in scored[:max(1, len(alive) // factor)]), min(most, rounds * factor)
     return out

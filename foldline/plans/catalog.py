@@ -657,10 +657,8 @@ def q_category_prep(spark, sf_dir):
 # ---------------------------------------------------------------- MLlib base models (rows-only checks)
 MODEL_NUMERIC = ["x_qty", "x_disc", "n_lines", "c_acctbal"]
 MODEL_CATEGORICAL = ["prio", "o_orderstatus", "c_mktsegment"]
-# Reduced models for the registered queries; the registry's own settings are the full ones.
-_QUICK_BOOST = {"maxIter": 15, "stepSize": 0.1, "validationTol": 0.01}
-QUICK_PARAMS = {"XGBoost": _QUICK_BOOST, "CatBoost": _QUICK_BOOST, "LightGBM": _QUICK_BOOST,
-                "ExtraTrees": {"numTrees": 20, "maxDepth": 8}}
+# The forest is the one model that queries run smaller than the registry has it (800 trees of depth 20).
+REDUCED_FOREST = {"ExtraTrees": {"numTrees": 20, "maxDepth": 8}}
 
 
 def model_tables(spark, sf_dir):
@@ -687,7 +685,7 @@ def _base_model_query(name: str):
         spec = REGISTRY[name]
         prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, spec.prep, "fold", K).fit(train)
         oof, _ = oof_predict(spec, prep, train, score, "o_orderkey", "label", "fold", K,
-                             QUICK_PARAMS.get(name))
+                             REDUCED_FOREST.get(name))
         return oof.select("o_orderkey", "fold", r6("pred").alias("pred"))
     return run
 
@@ -697,17 +695,53 @@ for _q, _m in [("lasso_oof", "Linear_Lasso"), ("gbt_oof", "XGBoost"), ("gbt_mae_
                ("linear_ridge_oof", "Linear_Ridge")]:
     _f = _base_model_query(_m)
     _f.__name__ = f"q_{_q}"
-    _f.__doc__ = f"OOF predictions of the {_m} base model (MLlib, per-fold preprocessing)."
+    _f.__doc__ = f"OOF predictions of the {_m} base model, {'20 trees of depth 8' if _m in REDUCED_FOREST else 'at the registry settings'} (per-fold preprocessing)."
     query(_f)
 
 
+STUMP_NUMERIC, STUMP_CATEGORICAL = ["n_lines"], ["o_orderstatus", "c_mktsegment"]
+
+
+@query
+def q_boost_stump(spark, sf_dir):
+    """The first tree, of depth 1, of each fold's boosted ensemble: feature, threshold (bin), gain and both leaf values."""
+    from foldline.operators.boosting import BoostParams, fit_boosted
+    from foldline.operators.preprocess import FoldPreprocessor
+    train, _ = model_tables(spark, sf_dir)
+    prep = FoldPreprocessor(STUMP_NUMERIC, STUMP_CATEGORICAL, "tree", "fold", K).fit(train)
+    fit = fit_boosted(train, prep, BoostParams(rounds=1, depth=1, l1=0.5, l2=2.0, min_child=10, patience=None), "o_orderkey", k=K)
+    rows = []
+    for f in range(K):
+        t = fit.trees[f][0]
+        rows.append((f, (STUMP_NUMERIC + STUMP_CATEGORICAL)[t.feature[0]], t.threshold[0], t.gain[0], t.value[t.left[0]], t.value[t.right[0]], *fit.errors[f]))
+    df = spark.createDataFrame(rows, "fold int, feature string, threshold int, gain double, left_value double, right_value double, error_before double, error_after double")
+    return df.select("fold", "feature", "threshold", *[(F.floor(F.col(c) * 1e4 + 0.5) / 1e4).alias(c) for c in ("gain", "left_value", "right_value", "error_before", "error_after")])
+
+
+@query
+def q_boost_staged(spark, sf_dir):
+    """The held-out error of every prefix of ten depth-2 rounds, in one pass over the rows."""
+    from foldline.operators.boosting import BoostParams, fit_boosted
+    from foldline.operators.preprocess import FoldPreprocessor
+    train, _ = model_tables(spark, sf_dir)
+    prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "tree", "fold", K).fit(train)
+    fit = fit_boosted(train, prep, BoostParams(rounds=10, depth=2, min_child=10, patience=None), "o_orderkey", k=K)
+    return fit.staged_errors(train).select("fold", "rounds", r6("error").alias("error"))
+
+
+@query
+def q_ordered_target_stats(spark, sf_dir):
+    """Each row's category mean over the rows before it in a hash order, with one row of the prior."""
+    df = order_target(spark, sf_dir)
+    out = encode.ordered_target_stats(df, ["o_orderpriority", "o_orderstatus"], "label", "o_orderkey", seed=SEED)
+    return out.select("o_orderkey", r6("o_orderpriority_ots").alias("o_orderpriority_ots"), r6("o_orderstatus_ots").alias("o_orderstatus_ots"))
+
+
 def baseline_spec():
-    """Impute + one-hot + boosted trees on the raw target (no early stopping)."""
-    from pyspark.ml.regression import GBTRegressor
+    """Impute + one category against the rest + histogram boosting on the raw target, 100 rounds, no early stopping."""
+    from foldline.operators.boosting import BoostParams
     from foldline.operators.models import ModelSpec
-    return ModelSpec("Baseline", "tree",
-                     lambda ctx, p: GBTRegressor(maxIter=15, maxDepth=5, seed=SEED,
-                                                 featuresCol="features", labelCol="label"))
+    return ModelSpec("Baseline", "tree", boost=BoostParams(rounds=100, step=0.1, depth=6, leaves=31, min_child=20, patience=None, max_bins=255))
 
 
 @query
@@ -725,22 +759,14 @@ def q_baseline_cv(spark, sf_dir):
 
 @query
 def q_meta_select(spark, sf_dir):
-    """Ridge vs ElasticNet meta model on MLlib OOF predictions; lower MAE wins."""
-    from foldline.operators.models import REGISTRY
-    from foldline.operators.preprocess import FoldPreprocessor
-    from foldline.operators.stacking import evaluate_meta, meta_matrix, oof_predict
-    train, score = model_tables(spark, sf_dir)
-    prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "linear", "fold", K).fit(train)
-    from concurrent.futures import ThreadPoolExecutor
-    names = ["Linear_Ridge", "Linear_Lasso"]
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        oofs = list(pool.map(lambda n: oof_predict(REGISTRY[n], prep, train, None, "o_orderkey")[0],
-                             names))
-    wide = meta_matrix(oofs[0].unionByName(oofs[1]), "o_orderkey", names)
-    res = evaluate_meta(wide, names)
-    return spark.createDataFrame(
-        [(res.meta_name, float(res.mae), float(res.mape), float(res.ridge_mae), float(res.enet_mae))],
-        "meta_name string, mae double, mape double, ridge_mae double, enet_mae double")
+    """Ridge vs ElasticNet meta model on the prediction table of two closed-form base models; lower MAE wins."""
+    from foldline.operators.stacking import evaluate_meta
+    train_p, score_p = _stack_inputs(spark, sf_dir)
+    res = evaluate_meta(train_p, ["ridge", "te"], "label", score_p, "o_orderkey")
+    row = (res.meta_name, float(res.mae), float(res.mape), float(res.ridge_mae), float(res.enet_mae), float(res.coefs["ridge"]), float(res.coefs["te"]))
+    names = ["mae", "mape", "ridge_mae", "enet_mae"]
+    return spark.createDataFrame([row], "meta_name string, " + ", ".join(f"{c} double" for c in [*names, "coef_ridge", "coef_te"])).select(
+        "meta_name", *[(F.floor(F.col(c) * 1e4 + 0.5) / 1e4).alias(c) for c in names], "coef_ridge", "coef_te")
 
 
 @query
@@ -754,14 +780,14 @@ def q_tune_enet(spark, sf_dir):
 
 @query
 def q_tune_gbt(spark, sf_dir):
-    """Randomised boosted-tree search (four draws of ten rounds), each fold with its own statistics; error in money."""
+    """Boosted-tree search by successive halving: nine draws at 5 rounds, the best third at 15, the best of these at 45; error in money."""
     from foldline.operators.preprocess import FoldPreprocessor
-    from foldline.operators.tune import gbt_search, sample_gbt
+    from foldline.operators.tune import halving_search, sample_gbt
     train, _ = model_tables(spark, sf_dir)
     prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "native", "fold", K).fit(train)
-    rows = gbt_search(train, prep, sample_gbt(4, SEED, depths=(3, 4)), rounds=10, seed=SEED, k=K)
-    return spark.createDataFrame([(r["maxDepth"], r["stepSize"], r["cv_mae"]) for r in rows],
-                                 "max_depth int, step_size double, cv_mae double")
+    rows = halving_search(train, prep, sample_gbt(9, SEED, depths=(2, 3)), "o_orderkey", rounds=5, seed=SEED, k=K)
+    return spark.createDataFrame([(r["trial"], r["rounds"], r["depth"], r["step"], r["cv_mae"]) for r in rows],
+                                 "trial int, rounds int, max_depth int, step_size double, cv_mae double")
 
 
 @query
@@ -780,10 +806,11 @@ def q_read_csv_na(spark, sf_dir):
 @query
 def q_stacked_submission(spark, sf_dir):
     """The whole housing run: outliers, recipe, OOF target encoding, drop list,
-    skew fix, the six base models out of fold, the meta model; returns the
-    ``Id, SalePrice`` scoring frame (money rounded to cents)."""
+    skew fix, the six base models out of fold at the registry's settings (the
+    forest with 20 trees of depth 8), the meta model; returns the ``Id, SalePrice``
+    scoring frame (money rounded to cents)."""
     from foldline.plans.runner import prepare, run, split_standin
-    recipe = housing.Recipe(model_params=dict(QUICK_PARAMS))
+    recipe = housing.Recipe(model_params=dict(REDUCED_FOREST))
     train_raw, score_raw = split_standin(spark, sf_dir, recipe.id_col)
     res = run(prepare(train_raw, score_raw, recipe), recipe)
     return res.submission.select("Id", r2("SalePrice").alias("SalePrice"))

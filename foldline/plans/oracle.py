@@ -496,3 +496,51 @@ ORACLE["category_prep"] = (
     + ", ".join(f"{r6(f'coalesce({q(c)}, 0)')} AS {q(c)}" for c in PREP_NUMERIC) + ", "
     + ", ".join(f"coalesce(CAST({q(c)} AS VARCHAR), 'Missing') AS {q(c)}"
                 for c in PREP_CATEGORICAL + ["MSSubClass"]) + " FROM h")
+
+
+# ---------------------------------------------------------------- boosting, ordered statistics, meta selection
+_BT = (f"bt0 AS (SELECT o_orderkey, ln(1 + o_totalprice) AS label, n_lines, o_orderstatus, c_mktsegment, "
+       f"{sql_bucket('o_orderkey', str(SEED), K)} AS fold FROM ({ORDER_FRAME_SQL}) z WHERE {sql_bucket('o_orderkey', 'holdout', 10)} <> 0), "
+       "fi AS (SELECT unnest(range(5)) AS i), "
+       "bm AS (SELECT i, avg(label) AS base, median(CAST(n_lines AS DOUBLE)) AS med FROM fi JOIN bt0 ON fold <> i GROUP BY i), "
+       # bins from 1 in the order of all values; a missing count goes to the bin of the fold's median
+       "nl AS (SELECT n_lines AS v, row_number() OVER (ORDER BY n_lines) AS bin FROM (SELECT DISTINCT n_lines FROM bt0 WHERE n_lines IS NOT NULL)), "
+       "so AS (SELECT o_orderstatus AS v, row_number() OVER (ORDER BY o_orderstatus) AS bin FROM (SELECT DISTINCT o_orderstatus FROM bt0)), "
+       "ms AS (SELECT c_mktsegment AS v, row_number() OVER (ORDER BY c_mktsegment) AS bin FROM (SELECT DISTINCT c_mktsegment FROM bt0)), "
+       "bx AS (SELECT bm.i, bm.base, t.fold, t.label, coalesce(nl.bin, (SELECT least(count(*) + 1, (SELECT max(bin) FROM nl)) FROM nl WHERE nl.v < bm.med)) AS b0, "
+       "so.bin AS b1, ms.bin AS b2 FROM bm, bt0 t LEFT JOIN nl ON nl.v = t.n_lines LEFT JOIN so ON so.v = t.o_orderstatus LEFT JOIN ms ON ms.v = t.c_mktsegment)")
+
+
+def _thresholded(g: str) -> str:
+    return f"(sign({g}) * greatest(abs({g}) - 0.5, 0))"
+
+
+def _score(g: str, h: str) -> str:
+    return f"({_thresholded(g)} * {_thresholded(g)} / ({h} + 2.0))"
+
+
+def _candidate(name: str, column: str, place: int, left: str) -> str:
+    return (f"SELECT x.i, '{name}' AS feature, {place} AS place, c.t, sum(x.base - x.label) FILTER ({left}) AS gl, count(*) FILTER ({left}) AS hl, "
+            f"sum(x.base - x.label) AS g, count(*) AS h FROM bx x, (SELECT DISTINCT {column} AS t FROM bx) c WHERE x.fold <> x.i GROUP BY x.i, c.t")
+
+
+ORACLE["boost_stump"] = (
+    f"WITH {_BT}, ca AS ({_candidate('n_lines', 'b0', 0, 'WHERE x.b0 <= c.t')} UNION ALL {_candidate('o_orderstatus', 'b1', 1, 'WHERE x.b1 = c.t')} "
+    f"UNION ALL {_candidate('c_mktsegment', 'b2', 2, 'WHERE x.b2 = c.t')}), "
+    f"ga AS (SELECT *, {_score('gl', 'hl')} + {_score('(g - gl)', '(h - hl)')} - {_score('g', 'h')} AS gain FROM ca WHERE hl >= 10 AND h - hl >= 10), "
+    "be AS (SELECT * FROM ga QUALIFY row_number() OVER (PARTITION BY i ORDER BY gain DESC, place, t) = 1), "
+    f"lv AS (SELECT *, -{_thresholded('gl')} / (hl + 2.0) AS lval, -{_thresholded('(g - gl)')} / (h - hl + 2.0) AS rval FROM be), "
+    "er AS (SELECT x.i, avg((x.base - x.label) ** 2) AS e0, avg((x.base + 0.1 * CASE WHEN CASE place WHEN 0 THEN b0 <= t WHEN 1 THEN b1 = t ELSE b2 = t END "
+    "THEN lval ELSE rval END - x.label) ** 2) AS e1 FROM bx x JOIN lv USING (i) WHERE x.fold = x.i GROUP BY x.i) "
+    "SELECT CAST(i AS INTEGER) AS fold, feature, CAST(t AS INTEGER) AS threshold, "
+    + ", ".join(f"floor({c} * 1e4 + 0.5) / 1e4 AS {n}" for c, n in (("gain", "gain"), ("lval", "left_value"), ("rval", "right_value"),
+                                                                     ("e0", "error_before"), ("e1", "error_after")))
+    + " FROM lv JOIN er USING (i)")
+
+
+def _ots(c: str) -> str:
+    w = f"(PARTITION BY {c} ORDER BY {sql_sort_hash('o_orderkey', str(SEED))}, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return r6(f"(coalesce(sum(label) OVER {w}, 0) + (SELECT avg(label) FROM ot)) / (count(label) OVER {w} + 1)") + f" AS {c}_ots"
+
+
+ORACLE["ordered_target_stats"] = f"WITH {OT} SELECT o_orderkey, {_ots('o_orderpriority')}, {_ots('o_orderstatus')} FROM ot"

@@ -24,7 +24,7 @@ from foldline.operators.metrics import metric_table
 from foldline.operators.models import resolve
 from foldline.operators.preprocess import FoldPreprocessor
 from foldline.operators.skew import SkewCorrector
-from foldline.operators.stacking import evaluate_meta, meta_matrix, oof_predict
+from foldline.operators.stacking import evaluate_meta, fit_folds, long_predictions, prediction_table
 from foldline.plans.housing import Recipe, outlier_rule
 from foldline.plans.recipe import run_steps
 from foldline.session import cut_lineage
@@ -95,25 +95,20 @@ def run(prepared: Prepared, recipe: Recipe, parallelism: int = 5,
         if spec.prep not in preps:
             preps[spec.prep] = tree if spec.prep == "tree" else \
                 base.with_kind(tree, spec.prep, x)
+
     def one_model(spec):
-        o, s = oof_predict(spec, preps[spec.prep], x, prepared.score, idc, "label", "fold", k,
-                           recipe.model_params.get(spec.name), parallelism)
-        return cut_lineage(o), cut_lineage(s)
+        return fit_folds(spec, preps[spec.prep], x, idc, "label", "fold", k, recipe.model_params.get(spec.name), parallelism)
 
-    # models are independent Spark jobs: a few run side by side (each with
-    # its fold fits in parallel), sharing the cluster
+    # models are independent Spark jobs: a few run side by side (MLlib ones with
+    # their fold fits in parallel), sharing the cluster
     with ThreadPoolExecutor(max_workers=max(1, model_parallelism)) as pool:
-        done = list(pool.map(one_model, specs))
-    oofs, scores = [o for o, _ in done], [s for _, s in done]
-    names = [s.name for s in specs]
-    long = oofs[0]
-    for o in oofs[1:]:
-        long = long.unionByName(o)
-    score_long = scores[0]
-    for s in scores[1:]:
-        score_long = score_long.unionByName(s)
-    wide = meta_matrix(long, idc, names)
-    score_wide = meta_matrix(score_long, idc, names, keys=())
+        scorers = dict(zip([s.name for s in specs], pool.map(one_model, specs), strict=True))
+    names = list(scorers)
+    # one scan of each table for all models, read several times afterwards
+    wide = cut_lineage(prediction_table(scorers, x, [idc, "fold", "label"], True))
+    score_wide = cut_lineage(prediction_table(scorers, prepared.score, [idc], False))
+    long = long_predictions(wide, names, [idc, "fold", "label"])
+    score_long = long_predictions(score_wide, names, [idc])
     meta = evaluate_meta(wide, names, "label", score_wide, idc)
     mt = metric_table(long, "label", "pred", "model", "fold")
     spark = x.sparkSession
@@ -125,13 +120,9 @@ def run(prepared: Prepared, recipe: Recipe, parallelism: int = 5,
     return RunResult(long, score_long, mt.unionByName(meta_long), meta, submission)
 
 
-FLAGSHIP_MODELS = ["Linear_Ridge", "Linear_Lasso", "XGBoost"]
-
-
 def flagship_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The housing recipe with three of the six models, the boosted one cut to 10 rounds; returns the metric table."""
-    recipe = Recipe(active_models=FLAGSHIP_MODELS,
-                    model_params={"XGBoost": {"maxIter": 10, "stepSize": 0.1, "validationTol": 0.01}})
+    """The housing recipe with its six models at the registry's settings, but for a forest of 20 trees of depth 8; returns the metric table."""
+    recipe = Recipe(model_params={"ExtraTrees": {"numTrees": 20, "maxDepth": 8}})
     train_raw, score_raw = split_standin(spark, sf_dir, recipe.id_col)
     prepared = prepare(train_raw, score_raw, recipe)
     return run(prepared, recipe).metrics

@@ -60,3 +60,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def share_library(spark: SparkSession) -> None:
+    """Lets the Python workers of a session import this library from where the driver has it.
+
+    A cluster whose workers have it installed, or ship it by ``spark.submit.pyFiles``, isn't affected.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, environment.get("PYTHONPATH", "")) if x)

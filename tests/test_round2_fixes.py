@@ -4,6 +4,7 @@ import pytest
 
 from foldline.operators.impute import FillGroupMedian
 from foldline.operators.metrics import metric_table
+from foldline.operators.boosting import fit_binning
 from foldline.operators.models import REGISTRY, FitContext
 from foldline.operators.preprocess import FoldPreprocessor
 from foldline.operators.stacking import label_context
@@ -37,23 +38,22 @@ def test_column_without_training_values_is_dropped(spark):
 
 
 def test_registry_has_the_full_settings():
-    fit = FitContext(100.0, 1.0)
-    built = {name: spec.build(fit, {}) for name, spec in REGISTRY.items()}
-    assert [built[n].getMaxIter() for n in ("XGBoost", "CatBoost", "LightGBM")] == [5000, 6000, 8000]
-    assert (built["ExtraTrees"].getNumTrees(), built["ExtraTrees"].getMaxDepth()) == (800, 20)
+    boosted = {name: REGISTRY[name].boost for name in ("XGBoost", "CatBoost", "LightGBM")}
+    assert [(p.rounds, p.patience) for p in boosted.values()] == [(5000, 150), (6000, 100), (8000, 100)]
+    forest = REGISTRY["ExtraTrees"].build(FitContext(100.0, 1.0), {})
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (800, 20)
 
 
 def test_gbt_search_uses_each_folds_own_statistics(spark):
     # the median of a fold's training rows fills its gap: fold 0 trains on fold 1 and the other way round
-    rows = [(f, None if i == 0 else float(i + 10 * f), float(i + 10 * f)) for f in range(2) for i in range(6)]
-    df = spark.createDataFrame(rows, "fold int, a double, label double")
+    rows = [(10 * f + i, f, None if i == 0 else float(i + 10 * f), float(i + 10 * f)) for f in range(2) for i in range(6)]
+    df = spark.createDataFrame(rows, "id long, fold int, a double, label double")
     prep = FoldPreprocessor(["a"], [], "tree", "fold", 2).fit(df)
-    asked = []
-    features = prep.features
-    prep.features = lambda d, fold, keep: asked.append(fold) or features(d, fold, keep)
+    binning = fit_binning(df, prep, "id", 2, 64)
+    edge = lambda v: int(sum(e < v for e in binning.edges[0])) + 1
+    assert binning.fills[:, 0].tolist() == [edge(13.0), edge(3.0)]
     candidates = [{"maxDepth": 1, "stepSize": 0.1}, {"maxDepth": 2, "stepSize": 0.3}]
     found = gbt_search(df, prep, candidates, k=2, rounds=1, log_scale=False)
-    assert sorted(asked) == [0, 0, 1, 1]
     assert [{k: r[k] for k in c} for r, c in zip(found, candidates)] == candidates
     # labels 0..5 and 10..15: a model of one fold is about 10 off on the other
     assert all(5 < r["cv_mae"] < 15 for r in found)
