@@ -571,22 +571,18 @@ def folded_standin(spark, sf_dir) -> DataFrame:
 
 @query
 def q_impute_median_fold(spark, sf_dir):
-    from foldline.operators.impute import stacked_counts
-    df = folded_standin(spark, sf_dir)
-    counts = stacked_counts(df, PREP_NUMERIC, ["fold"], value_type="double")
-    train = quantiles.complement_counts(counts, "fold", K, "fold")
-    med = quantiles.percentile_from_counts(train, ["fold", "name"], "value", 0.5, "median")
-    return med.select("fold", F.col("name").alias("column"), r6("median").alias("median"))
+    """The median of each numeric column over the rows of the other folds."""
+    from foldline.operators.preprocess import fold_medians
+    med = fold_medians(folded_standin(spark, sf_dir), PREP_NUMERIC, "fold", K)
+    return spark.createDataFrame([(f, c, m) for (f, c), m in med.items()], "fold int, column string, median double").select("fold", "column", r6("median").alias("median"))
 
 
 @query
 def q_impute_mode_fold(spark, sf_dir):
-    from foldline.operators.impute import stacked_counts
-    df = folded_standin(spark, sf_dir)
-    counts = stacked_counts(df, PREP_CATEGORICAL, ["fold"])
-    train = quantiles.complement_counts(counts, "fold", K, "fold")
-    modes = quantiles.mode_from_counts(train, ["fold", "name"], "value", "mode")
-    return modes.select("fold", F.col("name").alias("column"), "mode")
+    """The most frequent value of each category over the rows of the other folds, ties to the smallest."""
+    from foldline.operators.preprocess import fold_modes
+    modes = fold_modes(folded_standin(spark, sf_dir), PREP_CATEGORICAL, "fold", K)
+    return spark.createDataFrame([(f, c, m) for (f, c), m in modes.items()], "fold int, column string, mode string")
 
 
 def _held_out(df, cols_fn):

@@ -3,10 +3,12 @@
 The housing recipe (``foldline.plans.housing``) expects the columns of the
 house-sales data dictionary. This module only *lays out rows in that
 schema* from the order frame: real columns where the driver tables have a
-counterpart (price, nation key as neighbourhood, line quantities, dates) and
-md5 hash buckets of the row id for the remaining code columns, with some
-values masked to NULL so every imputer has work. It computes nothing of
-the recipe itself; the recipe runs on it through the library's own steps.
+counterpart (price, nation key as neighbourhood, line quantities, dates), and
+codes read off real columns for the rest: priority, status, segment, nation,
+dates, quantities and amounts name the place in a column's code list. Orders
+without lines, and one place beyond the list, are missing, so every imputer has
+work. It computes nothing of the recipe itself; the recipe runs on it through
+the library's own steps.
 
 The same spec renders the DuckDB SQL used by the oracle (``standin_sql``).
 """
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldline.functions.columns import map_values
-from foldline.functions.hashing import bucket, sql_bucket  # noqa: F401
+from foldline.functions.hashing import bucket, sql_bucket
 from foldline.sources.tables import ORDER_FRAME_SQL, order_frame
 
 # Category domains of the house-sales data dictionary.
@@ -69,10 +71,10 @@ NEIGHBORHOODS = ["Blmngtn", "Blueste", "BrDale", "BrkSide", "ClearCr", "CollgCr"
 # Nation whose rows carry no LotFrontage at all (forces the global fallback).
 BARE_NATION = 24
 
-# Code columns laid out from hash buckets: name -> (kind, modulus, scale, masked).
-# kind "int": bucket * scale as int; "dbl": bucket * scale as double.
-# masked: one extra bucket value becomes NULL.
-HASHED_NUMERIC = {
+# Code columns laid out from real columns: name -> (kind, modulus, scale, masked).
+# kind "int": place * scale as int; "dbl": place * scale as double.
+# masked: one extra place becomes NULL, and so does an order without lines.
+CODED_NUMERIC = {
     "MSSubClass": ("int", 16, 10, False),
     "OverallQual": ("int1", 10, 1, False),
     "OverallCond": ("int1", 10, 1, False),
@@ -96,7 +98,7 @@ HASHED_NUMERIC = {
     "MiscVal": ("int", 10, 100, False),
 }
 
-# Code columns where one extra bucket value is NULL (absent equipment or a gap).
+# Code columns where one extra place is NULL (absent equipment or a gap).
 MASKED_CATEGORIES = {
     "MSZoning", "Alley", "Exterior1st", "Exterior2nd", "MasVnrType", "BsmtQual", "BsmtCond",
     "BsmtExposure", "BsmtFinType1", "BsmtFinType2", "Electrical", "KitchenQual", "Functional",
@@ -105,60 +107,59 @@ MASKED_CATEGORIES = {
 }
 
 
-# Each row gets a few md5 digests of its id; every 32-bit chunk of a digest is
-# split in mixed radix among several code columns (product of moduli per
-# chunk <= 2**20, so each bucket stays uniform to ~1e-4).
-_CHUNK_LIMIT = 1 << 20
-
-
-def _moduli():
-    out = [(n, spec[1] + (1 if spec[3] else 0)) for n, spec in HASHED_NUMERIC.items()]
-    out += [(n, len(v) + (1 if n in MASKED_CATEGORIES else 0)) for n, v in DOMAINS.items()]
-    return out
+# Whole numbers read off the order frame, in words that Spark and DuckDB share.
+SOURCES = {
+    "priority": "CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
+    "status": "CAST(instr('FOP', o_orderstatus) AS BIGINT)",
+    "segment": "CAST(instr('ABFHM', substr(c_mktsegment, 1, 1)) AS BIGINT)",
+    "nation": "CAST(c_nationkey AS BIGINT)",
+    "day": "CAST(year(o_orderdate) * 372 + month(o_orderdate) * 31 + day(o_orderdate) AS BIGINT)",
+    "price": "CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT)",
+    "balance": "CAST(floor(c_acctbal * 100 + 0.5) AS BIGINT) + 100000",
+    "lines": "CAST(n_lines AS BIGINT)",
+    "quantity": "CAST(qty AS BIGINT)",
+    "discount": "CAST(floor(disc * 10000) AS BIGINT)",
+    "amount": "CAST(floor(ext * 100 + 0.5) AS BIGINT)",
+}
+# Which of them add up to a column's place, dealt in turn: (sources, divisor) for short and long code lists and for numbers.
+_SHORT = [(("priority",), 1), (("segment",), 1), (("priority", "status"), 1), (("segment", "status"), 1), (("priority", "segment"), 1),
+          (("priority", "nation"), 1), (("segment", "lines"), 1), (("priority", "quantity"), 1), (("status", "day"), 1), (("segment", "day"), 1)]
+_LONG = [(("priority", "nation"), 1), (("segment", "day"), 1), (("nation", "quantity"), 1), (("status", "day"), 1), (("priority", "quantity"), 1)]
+_NUMBER = [(("price",), 1), (("balance",), 1), (("quantity",), 1), (("amount",), 1), (("day",), 1), (("discount",), 1), (("price",), 100), (("amount",), 100), (("balance",), 100)]
 
 
 def _layout():
-    """name -> (digest, chunk, divisor, modulus)."""
-    lay, digest, chunk, prod = {}, 0, 0, 1
-    for name, m in _moduli():
-        if prod * m > _CHUNK_LIMIT:
-            chunk, prod = chunk + 1, 1
-            if chunk == 4:
-                digest, chunk = digest + 1, 0
-        lay[name] = (digest, chunk, prod, m)
-        prod *= m
+    """name -> (sources, divisor, modulus, masked)."""
+    lay = {}
+    for i, (name, spec) in enumerate(CODED_NUMERIC.items()):
+        lay[name] = (*_NUMBER[i % len(_NUMBER)], spec[1] + spec[3], spec[3])
+    for i, (name, values) in enumerate(DOMAINS.items()):
+        masked = name in MASKED_CATEGORIES
+        rule = _SHORT if len(values) <= 6 else _LONG
+        lay[name] = (*rule[i % len(rule)], len(values) + masked, masked)
     return lay
 
 
 LAYOUT = _layout()
-N_DIGESTS = max(d for d, _, _, _ in LAYOUT.values()) + 1
-
-
-def _bucket_spark(name):
-    d, c, div, m = LAYOUT[name]
-    chunk = (f"CAST(conv(substring(_d{d}, {1 + 8 * c}, 8), 16, 10) AS BIGINT)")
-    return F.expr(f"CAST((({chunk}) div {div}) % {m} AS INT)")
 
 
-def _bucket_sql(name):
-    d, c, div, m = LAYOUT[name]
-    chunk = f"CAST('0x' || substr(_d{d}, {1 + 8 * c}, 8) AS BIGINT)"
-    return f"CAST((({chunk}) // {div}) % {m} AS INTEGER)"
+def _place(name, division):
+    sources, divisor, modulus, masked = LAYOUT[name]
+    total = " + ".join(f"_{x}" if masked else f"coalesce(_{x}, 0)" for x in sources)
+    return f"CAST((({total}) {division} {divisor}) % {modulus} AS INTEGER)"
 
 
-def _digests_spark():
-    return [F.md5(F.concat(F.lit(f"standin{d}:"), F.col("Id").cast("string"))).alias(f"_d{d}")
-            for d in range(N_DIGESTS)]
+def _place_spark(name):
+    return F.expr(_place(name, "div"))
 
 
-def _digests_sql():
-    return ", ".join(f"md5('standin{d}:' || CAST(\"Id\" AS VARCHAR)) AS _d{d}"
-                     for d in range(N_DIGESTS))
+def _place_sql(name):
+    return _place(name, "//")
 
 
-def _hashed_numeric_spark(name, spec):
+def _coded_numeric_spark(name, spec):
     kind, m, scale, masked = spec
-    b = _bucket_spark(name)
+    b = _place_spark(name)
     if kind == "int":
         v = (b * F.lit(scale)).cast("int")
     elif kind == "int1":
@@ -168,9 +169,9 @@ def _hashed_numeric_spark(name, spec):
     return F.when(b < F.lit(m), v) if masked else v
 
 
-def _hashed_numeric_sql(name, spec):
+def _coded_numeric_sql(name, spec):
     kind, m, scale, masked = spec
-    b = _bucket_sql(name)
+    b = _place_sql(name)
     if kind == "int":
         v = f"CAST({b} * {scale} AS INTEGER)"
     elif kind == "int1":
@@ -181,12 +182,12 @@ def _hashed_numeric_sql(name, spec):
 
 
 def _category_spark(name, values):
-    return map_values(_bucket_spark(name), dict(enumerate(values)), None)
+    return map_values(_place_spark(name), dict(enumerate(values)), None)
 
 
 def _category_sql(name, values):
     arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
-    return f"CASE {_bucket_sql(name)} {arms} END"
+    return f"CASE {_place_sql(name)} {arms} END"
 
 
 def housing_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,10 +211,10 @@ def housing_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("sd_first").alias("YearBuilt"),
         F.year("sd").alias("YearRemodAdd"),
     ]
-    frame = of.select(*cols).select("*", *_digests_spark())
-    extra = [_hashed_numeric_spark(n, s).alias(n) for n, s in HASHED_NUMERIC.items()]
+    frame = of.select(*cols, *[F.expr(sql).alias(f"_{name}") for name, sql in SOURCES.items()])
+    extra = [_coded_numeric_spark(n, s).alias(n) for n, s in CODED_NUMERIC.items()]
     extra += [_category_spark(n, v).alias(n) for n, v in DOMAINS.items()]
-    base = [c for c in frame.columns if not c.startswith("_d")]
+    base = [c for c in frame.columns if not c.startswith("_")]
     return frame.select(*base, *extra)
 
 
@@ -233,13 +234,13 @@ SELECT f.o_orderkey AS "Id", f.o_totalprice AS "SalePrice",
        CAST(year(f.o_orderdate) AS INTEGER) AS "YrSold",
        CAST(month(f.o_orderdate) AS INTEGER) AS "MoSold",
        CAST(year(f.sd_first) AS INTEGER) AS "YearBuilt",
-       CAST(year(f.sd) AS INTEGER) AS "YearRemodAdd"
+       CAST(year(f.sd) AS INTEGER) AS "YearRemodAdd",
+       {", ".join(f"{sql} AS _{name}" for name, sql in SOURCES.items())}
 FROM ({ORDER_FRAME_SQL}) f"""
-    extra = [f'{_hashed_numeric_sql(n, s)} AS "{n}"' for n, s in HASHED_NUMERIC.items()]
+    extra = [f'{_coded_numeric_sql(n, s)} AS "{n}"' for n, s in CODED_NUMERIC.items()]
     extra += [f'{_category_sql(n, v)} AS "{n}"' for n, v in DOMAINS.items()]
-    digs = ", ".join(f"_d{d}" for d in range(N_DIGESTS))
-    return (f"SELECT b.* EXCLUDE ({digs}), {', '.join(extra)} "
-            f"FROM (SELECT i.*, {_digests_sql()} FROM ({inner}) i) b")
+    return (f"SELECT b.* EXCLUDE ({', '.join(f'_{name}' for name in SOURCES)}), {', '.join(extra)} "
+            f"FROM ({inner}) b")
 
 
 # Numeric columns laid out from real driver columns: (name, is_double).
@@ -251,9 +252,9 @@ REAL_NUMERIC = [("Id", False), ("SalePrice", True), ("LotFrontage", True), ("Lot
 
 def numeric_layout() -> list[tuple[str, bool]]:
     """Numeric columns of the stand-in in column order, flagged when double."""
-    return REAL_NUMERIC + [(n, s[0] == "dbl") for n, s in HASHED_NUMERIC.items()]
+    return REAL_NUMERIC + [(n, s[0] == "dbl") for n, s in CODED_NUMERIC.items()]
 
 
 def standin_columns() -> list[str]:
     real = ["Id", "SalePrice", "Neighborhood"] + [c for c, _ in REAL_NUMERIC[2:]]
-    return real + list(HASHED_NUMERIC) + list(DOMAINS)
+    return real + list(CODED_NUMERIC) + list(DOMAINS)
