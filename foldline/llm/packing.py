@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -32,6 +33,8 @@ K1, B = 1.2, 0.75
 #: Words that a worker remembers; beyond it, it starts anew.
 CACHED_WORDS = 1_500_000
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: What the tokenizer takes for its special tokens wherever a text has it.
+_SPECIAL = r"<\|(?:startoftext|endoftext)\|>"
 _PLAIN = regex.compile("[!-~¡-įı-ɏ]*")  # U+0130 has no lower case of one character
 
 
@@ -39,6 +42,7 @@ class WordEncoder:
     """Ids of whole texts by a tokenizer whose words never cross ASCII white space and ignore letter case."""
 
     def __init__(self, path: str):
+        self.whole = Tokenizer.from_file(path)  # as it is, for texts with special tokens
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
@@ -100,6 +104,12 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
             for a, b in tb.blocks(offsets):
                 at = offsets[a:b + 1]
                 ids, counts = encoder.encode(data[at[0]:at[-1]], at - at[0])
+                special = np.flatnonzero(pc.match_substring_regex(batch.column(1).slice(a, b - a), _SPECIAL, ignore_case=True).fill_null(False).to_numpy(zero_copy_only=False))
+                if len(special):
+                    parts = np.split(ids, np.cumsum(counts)[:-1])
+                    for k in special.tolist():
+                        parts[k] = np.array(encoder.whole.encode(batch.column(1)[a + k].as_py(), add_special_tokens=False).ids, encoder.width)
+                    ids, counts = np.concatenate(parts), np.array([len(x) for x in parts])
                 ids = np.insert(ids, np.cumsum(counts), encoder.width(END))
                 ends = np.concatenate([[0], np.cumsum(counts + 1)]) * ids.itemsize
                 raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.tobytes())])

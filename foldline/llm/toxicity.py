@@ -262,8 +262,16 @@ def base_score(lexicon: Lexicon) -> float:
 def drop_toxic(docs: DataFrame, labels: DataFrame, usable: Column, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is below ``threshold``; rows without an id stay.
 
+    A row goes by its id and text together: a clean text that shares a toxic one's id stays.
+
     The lexicon is learned from the usable rows of ``labels``.
     """
-    scores = score_documents(docs, learn(docs, labels, usable))
-    gone = scores.where((F.col("score") >= threshold) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    key = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+    rows = documents(docs).withColumn("text_key", key)
+    scores = score_texts(rows, learn(docs, labels, usable), "text_key string").where((F.col("score") >= threshold) & F.col("doc_id").isNotNull())
+    gone = scores.select(F.col("doc_id").alias("toxic_id"), F.col("text_key").alias("toxic_key")).distinct()
+    names = docs.columns
+    at = docs.toDF(*[f"c{i}" for i in range(len(names))])  # names of the documents' columns may be any
+    own_id, own_text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
+    same = (F.col(own_id).cast("long") == F.col("toxic_id")) & (F.sha2(F.coalesce(F.col(own_text).cast("string"), F.lit("")).cast("binary"), 256) == F.col("toxic_key"))
+    return at.join(gone, same, "left_anti").toDF(*names)
