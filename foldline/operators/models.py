@@ -2,7 +2,8 @@
 it expects (``tree``, ``linear`` or ``native`` categories).
 
 The boosted models run on :mod:`foldline.operators.boosting`, all folds at
-once and with patience; randomised split thresholds have no counterpart and are
+once and with patience; the linear ones on :mod:`foldline.operators.gram`, all
+folds from one pass (their MLlib estimators stay as ``build``); randomised split thresholds have no counterpart and are
 re-aimed at MLlib's random forest (see README).
 """
 
@@ -50,12 +51,13 @@ class FitContext:
 
 @dataclass
 class ModelSpec:
-    """``build`` gives an MLlib estimator for one fold; ``boost`` instead has all folds boosted at once."""
+    """``build`` gives an MLlib estimator for one fold; with ``boost`` or ``gram`` all folds are fitted at once instead."""
     name: str
     prep: str                                   # tree | linear | native
     build: Callable[[FitContext, dict], object] | None = None
     uses_validation: bool = False
     boost: BoostParams | None = None
+    gram: tuple[float, float | None] | None = None   # alpha, l1_ratio (None: ridge)
 
 
 def _forest(ctx: FitContext, params: dict):
@@ -93,8 +95,8 @@ REGISTRY: dict[str, ModelSpec] = {
     "ExtraTrees": ModelSpec("ExtraTrees", "tree", _forest),
     "LightGBM": ModelSpec("LightGBM", "tree", boost=BoostParams(
         rounds=8000, step=0.008, depth=4, leaves=20, subsample=0.7, colsample=0.6, l1=0.2, l2=2.0, min_child=10, patience=100)),
-    "Linear_Ridge": ModelSpec("Linear_Ridge", "linear", _ridge(10.0)),
-    "Linear_Lasso": ModelSpec("Linear_Lasso", "linear", _lasso(0.0005)),
+    "Linear_Ridge": ModelSpec("Linear_Ridge", "linear", _ridge(10.0), gram=(10.0, None)),
+    "Linear_Lasso": ModelSpec("Linear_Lasso", "linear", _lasso(0.0005), gram=(0.0005, 1.0)),
 }
 
 

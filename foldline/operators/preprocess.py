@@ -4,8 +4,8 @@ held-out fold.
 
 All ``k`` fold fits come from single passes over the data:
 
-* medians: training-fold value counts (``total - own fold``) fed to the
-  exact range-partitioned percentile (:mod:`foldline.operators.quantiles`);
+* medians: bracketed by mergeable per-fold sketches, then ranked exactly among
+  the few values inside (:mod:`foldline.operators.quantiles`);
 * modes / one-hot vocabularies: training-fold counts per ``(column, value)``;
 * mean and population std of the *imputed* column: per-fold counts, means
   and ``var_pop`` merged pairwise on the driver, plus the missing rows at
@@ -21,6 +21,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,16 +30,89 @@ from foldline.functions.columns import map_values
 from foldline.operators.encode import FoldCategories, FoldCategoriesModel
 from foldline.operators.impute import stacked_counts
 from foldline.operators.quantiles import complement_counts, mode_from_counts, percentile_from_counts
+from foldline.session import cut_lineage
+
+
+#: Quantiles of a fold's sketch of a column, and the sketch's accuracy (a rank is off by n / accuracy at most).
+GRID, ACCURACY = 200, 10_000
+
+
+def _brackets(sketch: dict, folds: Sequence[int], p: float) -> tuple[float, float, int]:
+    """(low, high, n): the values at the ranks around ``p`` of all rows of ``folds`` lie in low..high.
+
+    ``sketch[g]`` is (row count, quantiles at i / GRID) of one fold. With a rank
+    error of e, fewer than i / GRID * n + e rows lie below quantile i, and at least
+    i / GRID * n - e not above it.
+    """
+    own = [(n, np.array(q), 2.0 * n / ACCURACY + 2) for n, q in (sketch[g] for g in folds) if n]
+    total = sum(n for n, _, _ in own)
+    if not total:
+        return 0.0, 0.0, 0
+    values = np.unique(np.concatenate([q for _, q, _ in own]))
+    below, upto = np.zeros(len(values)), np.zeros(len(values))
+    for n, q, e in own:
+        first = np.searchsorted(q, values, "left")       # the first quantile that isn't smaller
+        last = np.searchsorted(q, values, "right") - 1   # the last one that isn't larger
+        below += np.where(first < len(q), np.minimum(n, first / GRID * n + e), n)
+        upto += np.where(last >= 0, np.maximum(0, last / GRID * n - e), 0)
+    rank = (total - 1) * p
+    low, high = np.flatnonzero(below <= np.floor(rank)), np.flatnonzero(upto >= np.ceil(rank) + 1)
+    return float(values[low[-1]]) if len(low) else -np.inf, float(values[high[0]]) if len(high) else np.inf, total
 
 
 def fold_medians(df: DataFrame, cols: Sequence[str], fold_col: str, k: int) -> dict:
-    """``(fold, column) -> exact median`` over the rows of the other folds."""
+    """``(fold, column) -> exact median`` over the rows of the other folds.
+
+    One aggregation sketches each column by fold, and the merged sketches of the
+    training folds bracket each median. A second one counts the rows below each
+    bracket; only values inside, a few thousandths of the rows, are shuffled, once
+    for each bracket that holds them, and ranked with what lies below and above.
+    """
+    cols = list(cols)
     if not cols:
         return {}
-    counts = stacked_counts(df, cols, [fold_col], value_type="double")
-    train = complement_counts(counts, fold_col, k, "fold")
-    med = percentile_from_counts(train, ["fold", "name"], "value", 0.5, "median")
-    return {(r["fold"], r["name"]): r["median"] for r in med.collect()}
+    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    grid = [i / GRID for i in range(GRID + 1)]
+    aggs = [a for i, c in enumerate(cols) for a in (F.count(value[c]).alias(f"n{i}"), F.percentile_approx(value[c], grid, ACCURACY).alias(f"q{i}"))]
+    rows = df.where(F.col(fold_col).isNotNull())
+    sketches = rows.groupBy(F.col(fold_col).alias("fold")).agg(*aggs).collect()
+    brackets = {}
+    for i, c in enumerate(cols):
+        sketch = {r["fold"]: (r[f"n{i}"], r[f"q{i}"] or []) for r in sketches}
+        for f in range(k):
+            low, high, n = _brackets(sketch, [g for g in sketch if g != f], 0.5)
+            if n:
+                brackets[f, c] = (low, high, n)
+    if not brackets:
+        return {}
+    out = _ranked(rows, value, fold_col, brackets)
+    missed = {key: (-np.inf, np.inf, brackets[key][2]) for key, m in out.items() if m is None}
+    return out | (_ranked(rows, value, fold_col, missed) if missed else {})
+
+
+def _ranked(rows: DataFrame, value: dict, fold_col: str, brackets: dict) -> dict:
+    """The median of every (fold, column) in ``brackets``; None where it turns out to lie outside."""
+    lows: dict = {}
+    for f, c in brackets:
+        lows.setdefault(c, {}).setdefault(brackets[f, c][0], []).append(f)
+    names = {(c, low): f"b{i}" for i, (c, low) in enumerate((c, low) for c in lows for low in lows[c])}
+    below = rows.groupBy(F.col(fold_col).alias("fold")).agg(*[F.count_if(value[c] < F.lit(low)).alias(name) for (c, low), name in names.items()]).collect()
+    found = [F.when((F.col(fold_col) != f) & value[c].between(F.lit(low), F.lit(high)), F.struct(F.lit(f).alias("fold"), F.lit(c).alias("name"), value[c].alias("value")))
+             for (f, c), (low, high, _) in brackets.items()]
+    inside = rows.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    counts = cut_lineage(inside.groupBy("fold", "name", "value").agg(F.count(F.lit(1)).alias("_w")))
+    held = {(r["fold"], r["name"]): r["w"] for r in counts.groupBy("fold", "name").agg(F.sum("_w").alias("w")).collect()}
+    ends, out = [], {}
+    for (f, c), (low, _, n) in brackets.items():
+        under = sum(r[names[c, low]] for r in below if r["fold"] != f)
+        over = n - under - held.get((f, c), 0)
+        out[f, c] = None
+        if under <= (n - 1) // 2 and over <= (n - 1) // 2:  # both ranks of the median lie inside
+            ends += [(f, c, v, w) for v, w in ((float("-inf"), under), (float("inf"), over)) if w]
+            out[f, c] = 0.0
+    whole = counts.unionByName(rows.sparkSession.createDataFrame(ends, "fold int, name string, value double, _w long")) if ends else counts
+    medians = percentile_from_counts(whole, ["fold", "name"], "value", 0.5, "median").collect()
+    return {key: next((r["median"] for r in medians if (r["fold"], r["name"]) == key), None) if ok is not None else None for key, ok in out.items()}
 
 
 def fold_medians_approx(df: DataFrame, cols: Sequence[str], fold_col: str, k: int,

@@ -385,7 +385,8 @@ ORACLE["fold_mean_pred"] = f"{STACK} SELECT o_orderkey, {r6('ridge')} AS pred FR
 ORACLE["submission_frame"] = (
     f"{STACK}, {META} SELECT sp.o_orderkey AS \"Id\", "
     f"(floor({em1('mc.b + mc.w1 * sp.ridge + mc.w2 * sp.te')} * 100.0 + 0.5) / 100.0) AS \"SalePrice\" FROM sp, mc")
-ORACLE["oof_coverage"] = f"{BASE} SELECT o_orderkey, fold, CAST(1 AS BIGINT) AS n_preds FROM oof"
+ORACLE["oof_coverage"] = (
+    f"WITH {MF}, {TR} SELECT o_orderkey, fold, model, CAST(1 AS BIGINT) AS n_preds FROM tr, (SELECT unnest(['Linear_Ridge', 'Linear_Lasso']) AS model)")
 
 _GRID = ("ga AS (SELECT t AS trial, a AS alpha FROM (SELECT unnest(range(" + str(len(TUNE_ALPHAS)) +
          ")) AS t, unnest([" + ", ".join(f"{a!r}::DOUBLE" for a in TUNE_ALPHAS) + "]) AS a))")
@@ -544,3 +545,52 @@ def _ots(c: str) -> str:
 
 
 ORACLE["ordered_target_stats"] = f"WITH {OT} SELECT o_orderkey, {_ots('o_orderpriority')}, {_ots('o_orderstatus')} FROM ot"
+
+
+def enet2(src: str, keys: str, l1: str, l2: str) -> str:
+    """(keys, w1, w2, b): the exact elastic net on two columns from centred sums, by trying all nine sign patterns."""
+    a, c, b, p, q_ = "(s11 / n)", "(s22 / n)", "(s12 / n)", "(s1y / n)", "(s2y / n)"
+    r1, r2 = f"({p} - {l1} * g1)", f"({q_} - {l1} * g2)"
+    det = f"(({a} + {l2}) * ({c} + {l2}) - {b} * {b})"
+    w1 = f"CASE WHEN g1 = 0 THEN 0 WHEN g2 = 0 THEN {r1} / ({a} + {l2}) ELSE (({c} + {l2}) * {r1} - {b} * {r2}) / {det} END"
+    w2 = f"CASE WHEN g2 = 0 THEN 0 WHEN g1 = 0 THEN {r2} / ({c} + {l2}) ELSE (({a} + {l2}) * {r2} - {b} * {r1}) / {det} END"
+    cost = f"0.5 * ({a} * w1 * w1 + 2 * {b} * w1 * w2 + {c} * w2 * w2) - {p} * w1 - {q_} * w2 + {l1} * (abs(w1) + abs(w2)) + {l2} / 2 * (w1 * w1 + w2 * w2)"
+    return (f"SELECT {keys}, w1, w2, my - w1 * m1 - w2 * m2 AS b FROM (SELECT *, {w1} AS w1, {w2} AS w2 FROM {src}, "
+            "(SELECT unnest([-1, 0, 1]) AS g1) t1, (SELECT unnest([-1, 0, 1]) AS g2) t2) "
+            f"WHERE sign(w1) = g1 AND sign(w2) = g2 QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {cost}) = 1")
+
+
+_LT = (f"lt AS (SELECT o_orderkey, ln(1 + o_totalprice) AS label, CAST(n_lines AS DOUBLE) AS u1, disc * 100.0 AS u2, {sql_bucket('o_orderkey', 'holdout', 10)} = 0 AS scoring, "
+       f"{sql_bucket('o_orderkey', str(SEED), K)} AS fold FROM ({ORDER_FRAME_SQL}) z), fi AS (SELECT unnest(range(5)) AS i), "
+       "lm AS (SELECT i, median(u1) AS d1, median(u2) AS d2 FROM fi JOIN lt ON fold <> i AND NOT scoring GROUP BY i), "
+       "lx AS (SELECT i, o_orderkey, fold, scoring, label, coalesce(u1, d1) AS v1, coalesce(u2, d2) AS v2 FROM lt, lm), "
+       "lz AS (SELECT i, avg(v1) AS a1, stddev_pop(v1) AS c1, avg(v2) AS a2, stddev_pop(v2) AS c2 FROM lx WHERE fold <> i AND NOT scoring GROUP BY i), "
+       "ls AS (SELECT lx.*, (v1 - a1) / c1 AS x1, (v2 - a2) / c2 AS x2 FROM lx JOIN lz USING (i)), "
+       f"lg AS (SELECT i, {ridge2_stats('ls', 'x1', 'x2')} FROM ls WHERE fold <> i AND NOT scoring GROUP BY i), "
+       f"lr AS (SELECT i, {ridge2_coefs(str(RIDGE_ALPHA))} FROM lg)")
+ORACLE["linear_ridge_two"] = f"WITH {_LT} SELECT o_orderkey, fold, {r6('b + w1 * x1 + w2 * x2')} AS pred FROM ls JOIN lr USING (i) WHERE fold = i AND NOT scoring"
+ORACLE["lasso_two"] = (f"WITH {_LT}, ll AS ({enet2('lg', 'i', '0.0005', '0.0')}) SELECT o_orderkey, fold, {r6('b + w1 * x1 + w2 * x2')} AS pred "
+                       "FROM ls JOIN ll USING (i) WHERE fold = i AND NOT scoring")
+ORACLE["oof_score_mean"] = f"WITH {_LT} SELECT o_orderkey, {r6('avg(b + w1 * x1 + w2 * x2)')} AS pred FROM ls JOIN lr USING (i) WHERE scoring GROUP BY o_orderkey"
+
+_R4 = "floor({} * 1e4 + 0.5) / 1e4"
+_MS = (f"{STACK}, ms AS (SELECT 0 AS one, {ridge2_stats('st', 'ridge', 'te')} FROM st), rf AS (SELECT {ridge2_coefs(str(META_ALPHA))} FROM ms), "
+       f"ef AS ({enet2('ms', 'one', '0.0005', '0.0005')}), "
+       "pr AS (SELECT label, rf.b + rf.w1 * ridge + rf.w2 * te AS pr, ef.b + ef.w1 * ridge + ef.w2 * te AS pe FROM st, rf, ef), "
+       f"er AS (SELECT avg({ae('label', 'pr')}) AS r, avg({ae('label', 'pe')}) AS e, avg({pe('label', 'pr')}) AS rp, avg({pe('label', 'pe')}) AS ep FROM pr)")
+ORACLE["meta_select"] = (
+    f"{_MS} SELECT CASE WHEN e < r THEN 'ElasticNet' ELSE 'Ridge' END AS meta_name, {_R4.format('least(e, r)')} AS mae, "
+    f"{_R4.format('(CASE WHEN e < r THEN ep ELSE rp END)')} AS mape, {_R4.format('r')} AS ridge_mae, {_R4.format('e')} AS enet_mae, "
+    "round_even(CASE WHEN e < r THEN ef.w1 ELSE rf.w1 END, 4) AS coef_ridge, round_even(CASE WHEN e < r THEN ef.w2 ELSE rf.w2 END, 4) AS coef_te FROM er, rf, ef")
+
+
+def _trials() -> str:
+    from foldline.operators.tune import sample_candidates
+    return "SELECT * FROM (VALUES " + ", ".join(f"({t}, {a!r}::DOUBLE, {r!r}::DOUBLE)" for t, (a, r) in enumerate(sample_candidates(100, SEED))) + ") v(trial, alpha, l1_ratio)"
+
+
+ORACLE["tune_enet"] = (
+    f"{STACK}, tq AS ({_trials()}), ts AS (SELECT i, {ridge2_stats('st', 's.ridge', 's.te', 's.label')} FROM fi JOIN st s ON s.fold <> fi.i GROUP BY i), "
+    f"tx AS (SELECT * FROM tq, ts), tc AS ({enet2('tx', 'trial, alpha, l1_ratio, i', '(alpha * l1_ratio)', '(alpha * (1 - l1_ratio))')}) "
+    f"SELECT CAST(trial AS INTEGER) AS trial, alpha, l1_ratio, {_R4.format('avg(' + ae('s.label', 'tc.b + tc.w1 * s.ridge + tc.w2 * s.te') + ')')} AS mae "
+    "FROM tc JOIN st s ON s.fold = tc.i GROUP BY trial, alpha, l1_ratio")
