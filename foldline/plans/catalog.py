@@ -459,12 +459,22 @@ def q_fold_mean_pred(spark, sf_dir):
     return score_p.select("o_orderkey", r6("ridge").alias("pred"))
 
 
+def _scratch(spark, name):
+    import uuid
+    from foldline.session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/{name}-{uuid.uuid4().hex}"
+
+
 @query
 def q_submission_frame(spark, sf_dir):
+    """The submission file of the better meta model, written and read back (money rounded to cents)."""
+    from foldline.operators.stacking import evaluate_meta
+    from foldline.sources.csv import write_submission
     train_p, score_p = _stack_inputs(spark, sf_dir)
-    fit = _meta_fit(train_p)
-    return score_p.select(F.col("o_orderkey").alias("Id"),
-                          r2(F.expm1(fit.predict(["ridge", "te"]))).alias("SalePrice"))
+    final = evaluate_meta(train_p, ["ridge", "te"], "label", score_p, "o_orderkey").final_pred
+    path = _scratch(spark, "submission")
+    write_submission(final.select("o_orderkey", r2("pred").alias("pred")), path, "o_orderkey", "pred")
+    return spark.read.option("header", True).schema("Id long, SalePrice double").csv(path)
 
 
 LINEAR_NUMERIC = ["n_lines", "x_disc"]
@@ -828,13 +838,39 @@ def q_tune_gbt(spark, sf_dir):
 @query
 def q_read_csv_na(spark, sf_dir):
     """Stand-in rows written as CSV with NA for missing, read back with a schema."""
-    import uuid
-    from foldline.session import ensure_checkpoint_dir
     from foldline.sources.csv import read_csv_na, write_csv_na
     df = standin(spark, sf_dir)
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/csv-{uuid.uuid4().hex}"
+    path = _scratch(spark, "csv")
     write_csv_na(df, path)
-    return read_csv_na(spark, path, df.schema)
+    back = read_csv_na(spark, path, df.schema)
+    return back.select(*_rounded(back, back.columns))
+
+
+@query
+def q_read_csv_typed(spark, sf_dir):
+    """Training and scoring rows as two CSVs with stray tokens in whole-number and decimal columns, read back without a schema."""
+    from foldline.plans.runner import split_standin
+    from foldline.sources.csv import REJECTED, read_csv_typed, write_csv_na
+    cols = ["Id", "LotArea", "LotFrontage", "n_lines", "Neighborhood", "MasVnrType"]
+    paths = []
+    for df in split_standin(spark, sf_dir):
+        stray = df.withColumn("n_lines", F.col("BsmtFinSF2").cast("int")).select(
+            "Id", F.when(F.col("Id") % 997 == 0, F.lit("n. a.")).otherwise(F.col("LotArea").cast("string")).alias("LotArea"),
+            F.when(F.col("Id") % 991 == 0, F.lit("?")).otherwise(F.col("LotFrontage").cast("string")).alias("LotFrontage"), "n_lines", "Neighborhood", "MasVnrType")
+        paths.append(_scratch(spark, "csv"))
+        write_csv_na(stray, paths[-1])
+    train, score = read_csv_typed(spark, *paths)
+    both = train.unionByName(score)
+    return both.select(*_rounded(both, cols), F.size(REJECTED).cast("long").alias("n_rejected"))
+
+
+@query
+def q_step_ablation(spark, sf_dir):
+    """CV MAE of the registry's ridge on the recipe with and without the domain features; the steps before are run once."""
+    from foldline.plans.runner import ablation, split_standin
+    recipe = housing.Recipe()
+    out = ablation(*split_standin(spark, sf_dir, recipe.id_col), recipe, "add_advanced_features")
+    return out.select("model", *[r2(c).alias(c) for c in ("mae_with", "mae_without", "delta")])
 
 
 # ---------------------------------------------------------------- end to end

@@ -382,9 +382,6 @@ _CANDS = (" UNION ALL ".join(
 ORACLE["best_candidate"] = (
     f"{STACK} SELECT candidate, {r6('mae')} AS mae FROM ({_CANDS}) ORDER BY mae, priority LIMIT 1")
 ORACLE["fold_mean_pred"] = f"{STACK} SELECT o_orderkey, {r6('ridge')} AS pred FROM sp"
-ORACLE["submission_frame"] = (
-    f"{STACK}, {META} SELECT sp.o_orderkey AS \"Id\", "
-    f"(floor({em1('mc.b + mc.w1 * sp.ridge + mc.w2 * sp.te')} * 100.0 + 0.5) / 100.0) AS \"SalePrice\" FROM sp, mc")
 ORACLE["oof_coverage"] = (
     f"WITH {MF}, {TR} SELECT o_orderkey, fold, model, CAST(1 AS BIGINT) AS n_preds FROM tr, (SELECT unnest(['Linear_Ridge', 'Linear_Lasso']) AS model)")
 
@@ -594,3 +591,14 @@ ORACLE["tune_enet"] = (
     f"tx AS (SELECT * FROM tq, ts), tc AS ({enet2('tx', 'trial, alpha, l1_ratio, i', '(alpha * l1_ratio)', '(alpha * (1 - l1_ratio))')}) "
     f"SELECT CAST(trial AS INTEGER) AS trial, alpha, l1_ratio, {_R4.format('avg(' + ae('s.label', 'tc.b + tc.w1 * s.ridge + tc.w2 * s.te') + ')')} AS mae "
     "FROM tc JOIN st s ON s.fold = tc.i GROUP BY trial, alpha, l1_ratio")
+
+ORACLE["submission_frame"] = (
+    f"{_MS} SELECT o_orderkey AS \"Id\", floor({em1('CASE WHEN e < r THEN ef.b + ef.w1 * sp.ridge + ef.w2 * sp.te ELSE rf.b + rf.w1 * sp.ridge + rf.w2 * sp.te END')} "
+    "* 100.0 + 0.5) / 100.0 AS \"SalePrice\" FROM sp, er, rf, ef")
+
+# ---------------------------------------------------------------- CSV round trips
+ORACLE["read_csv_na"] = f"WITH {H} SELECT {sel(standin_columns(), _DBL)} FROM h"
+ORACLE["read_csv_typed"] = (
+    f"WITH {H} SELECT \"Id\", CASE WHEN \"Id\" % 997 <> 0 THEN CAST(\"LotArea\" AS BIGINT) END AS \"LotArea\", "
+    f"CASE WHEN \"Id\" % 991 <> 0 THEN {r6(q('LotFrontage'))} END AS \"LotFrontage\", CAST(\"BsmtFinSF2\" AS BIGINT) AS n_lines, \"Neighborhood\", \"MasVnrType\", "
+    "CAST(CASE WHEN \"Id\" % 997 = 0 THEN 1 ELSE 0 END + CASE WHEN \"Id\" % 991 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_rejected FROM h")

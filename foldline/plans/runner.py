@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +25,11 @@ from foldline.operators.models import resolve
 from foldline.operators.preprocess import FoldPreprocessor
 from foldline.operators.skew import SkewCorrector
 from foldline.operators.stacking import evaluate_meta, fit_folds, long_predictions, prediction_table
+from foldline.operators.tune import best_trial, elastic_net_search, sample_candidates
 from foldline.plans.housing import Recipe, outlier_rule
 from foldline.plans.recipe import run_steps
 from foldline.session import cut_lineage
+from foldline.sources.csv import REJECTED, read_csv_typed
 from foldline.sources.standin import housing_standin
 
 log = logging.getLogger(__name__)
@@ -49,18 +51,24 @@ def split_standin(spark: SparkSession, sf_dir: str, id_col: str = "Id"):
     return raw.where(~hold), raw.where(hold).drop("SalePrice")
 
 
-def prepare(train_raw: DataFrame, score_raw: DataFrame, recipe: Recipe,
-            remove_outlier_rows: bool = True) -> Prepared:
-    idc, tgt = recipe.id_col, recipe.target_col
+def begin(train_raw: DataFrame, score_raw: DataFrame, recipe: Recipe, remove_outlier_rows: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The training table without outliers and with its log label, and the scoring table, both read once and written."""
     if remove_outlier_rows:
         train_raw = remove_outliers(train_raw, outlier_rule(train_raw))
     # the recipe fits several statistics on each table: read the source once
     train_raw, score_raw = cut_lineage(train_raw), cut_lineage(score_raw)
-    train = train_raw.withColumn("label", F.log1p(F.col(tgt))).drop(tgt)
-    # each table is cleaned with its own statistics, as the reference does;
-    # the two fits are independent jobs and run side by side
+    return train_raw.withColumn("label", F.log1p(F.col(recipe.target_col))).drop(recipe.target_col), score_raw
+
+
+def through_steps(train: DataFrame, score: DataFrame, steps: list) -> tuple[DataFrame, DataFrame]:
+    """Both tables after the steps. Each is cleaned with its own statistics, as the reference does; the two fits run side by side."""
     with ThreadPoolExecutor(max_workers=2) as pool:
-        x, xt = pool.map(lambda d: run_steps(d, recipe.steps), [train, score_raw])
+        return tuple(pool.map(lambda d: run_steps(d, steps), [train, score]))
+
+
+def finish(x: DataFrame, xt: DataFrame, recipe: Recipe) -> Prepared:
+    """Folds, target encoding, drop list and skew fix after the recipe's steps."""
+    idc = recipe.id_col
     x = hash_fold(x, idc, recipe.n_splits, recipe.random_state)
     x, xt = target_encode(x, xt, recipe.target_encode_cols, "label")
     drop = [c for c in recipe.drop_features if c != idc]
@@ -74,6 +82,13 @@ def prepare(train_raw: DataFrame, score_raw: DataFrame, recipe: Recipe,
     return Prepared(x, xt, numeric, categorical, skew.columns)
 
 
+def prepare(train_raw: DataFrame, score_raw: DataFrame, recipe: Recipe,
+            remove_outlier_rows: bool = True) -> Prepared:
+    """The tables that the models see: ``begin``, the recipe's steps, ``finish``."""
+    train, score = begin(train_raw, score_raw, recipe, remove_outlier_rows)
+    return finish(*through_steps(train, score, recipe.steps), recipe)
+
+
 @dataclass
 class RunResult:
     oof: DataFrame
@@ -81,6 +96,7 @@ class RunResult:
     metrics: DataFrame
     meta: object
     submission: DataFrame
+    wide: DataFrame           # id, fold, label, a column for each model
 
 
 def run(prepared: Prepared, recipe: Recipe, parallelism: int = 5,
@@ -117,7 +133,7 @@ def run(prepared: Prepared, recipe: Recipe, parallelism: int = 5,
          (f"meta_{meta.meta_name}", None, "mape", float(meta.mape))],
         "model string, fold int, metric string, value double")
     submission = meta.final_pred.select(F.col(idc).alias("Id"), F.col("pred").alias("SalePrice"))
-    return RunResult(long, score_long, mt.unionByName(meta_long), meta, submission)
+    return RunResult(long, score_long, mt.unionByName(meta_long), meta, submission, wide)
 
 
 def flagship_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,40 +144,41 @@ def flagship_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(prepared, recipe).metrics
 
 
-def ablation(spark: SparkSession, sf_dir: str, recipe: Recipe, step_name: str,
+def tune_meta(result: RunResult, n_trials: int = 100, seed: int = 42) -> DataFrame:
+    """Every trial of the meta search over the run's models: (trial, alpha, l1_ratio, mae), on the predictions already made."""
+    names = [c for c in result.wide.columns[3:]]
+    return elastic_net_search(result.wide, names, sample_candidates(n_trials, seed))
+
+
+def ablation(train_raw: DataFrame, score_raw: DataFrame, recipe: Recipe, step_name: str,
              models: list | None = None) -> DataFrame:
-    """Run the recipe with and without one step; CV MAE per model and the
-    difference (``without - with``), as one small DataFrame."""
-    from dataclasses import replace
+    """CV MAE per model with and without one step of the recipe, and the difference (``without - with``).
+
+    The steps before it are run once and written; both variants go on from there.
+    """
     models = models or ["Linear_Ridge"]
-    train_raw, score_raw = split_standin(spark, sf_dir, recipe.id_col)
-    out = []
-    for variant, steps in [("with", recipe.steps),
-                           ("without", [s for s in recipe.steps if s.__name__ != step_name])]:
-        r = replace(recipe, steps=steps, active_models=models)
-        res = run(prepare(train_raw, score_raw, r), r)
-        maes = res.metrics.where(F.col("fold").isNull() & (F.col("metric") == "mae")
-                                 & ~F.col("model").startswith("meta_")).collect()
-        out += [(variant, m["model"], float(m["value"])) for m in maes]
-    rows = {(v, m): x for v, m, x in out}
-    table = [(m, rows[("with", m)], rows[("without", m)], rows[("without", m)] - rows[("with", m)])
-             for m in models]
+    names = [s.__name__ for s in recipe.steps]
+    at = names.index(step_name)
+    shared = through_steps(*begin(train_raw, score_raw, recipe), recipe.steps[:at])
+    shared = tuple(cut_lineage(d) for d in shared)
+    spark, maes = train_raw.sparkSession, {}
+    for variant, steps in (("with", recipe.steps[at:]), ("without", recipe.steps[at + 1:])):
+        prepared = finish(*through_steps(*shared, steps), recipe)
+        res = run(prepared, replace(recipe, active_models=models))
+        rows = res.metrics.where(F.col("fold").isNull() & (F.col("metric") == "mae") & ~F.col("model").startswith("meta_")).collect()
+        maes |= {(variant, r["model"]): float(r["value"]) for r in rows}
+    table = [(m, maes["with", m], maes["without", m], maes["without", m] - maes["with", m]) for m in models]
     return spark.createDataFrame(table, "model string, mae_with double, mae_without double, delta double")
 
 
 def read_housing_csv(spark: SparkSession, train_csv: str, test_csv: str):
-    """Training / scoring CSVs with ``NA`` as missing; types inferred by
-    Spark's reader (one extra pass over each file)."""
-    from foldline.sources.csv import NA_TOKENS
-
-    def read(path):
-        df = (spark.read.option("header", True).option("nullValue", "NA")
-              .option("inferSchema", True).csv(path))
-        tokens = [t for t in NA_TOKENS if t != "None"]
-        fixes = {f.name: F.when(~F.col(f.name).isin(tokens), F.col(f.name))
-                 for f in df.schema.fields if f.dataType.typeName() == "string"}
-        return df.withColumns(fixes) if fixes else df
-    return read(train_csv), read(test_csv)
+    """Training and scoring CSV with the types of both together; cells that don't fit are missing and counted in the log."""
+    frames = read_csv_typed(spark, train_csv, test_csv)
+    for path, df in zip((train_csv, test_csv), frames, strict=True):
+        n = df.agg(F.sum(F.size(REJECTED))).first()[0]
+        if n:
+            log.warning("%s: %d cells don't fit their column's type and count as missing", path, n)
+    return tuple(df.drop(REJECTED) for df in frames)
 
 
 def main(argv=None) -> None:
@@ -179,6 +196,8 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="submission folder")
     ap.add_argument("--models", default=",".join(Recipe().active_models))
     ap.add_argument("--single-file", action="store_true")
+    ap.add_argument("--metrics", help="folder for the metric table as CSV")
+    ap.add_argument("--tune", type=int, default=0, metavar="TRIALS", help="search the elastic-net meta model over the models' predictions")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("foldline").getOrCreate()
     ensure_checkpoint_dir(spark)
@@ -191,6 +210,12 @@ def main(argv=None) -> None:
         train_raw, score_raw = split_standin(spark, args.sf_dir, recipe.id_col)
     res = run(prepare(train_raw, score_raw, recipe), recipe)
     write_submission(res.submission, args.out, single_file=args.single_file)
-    res.metrics.orderBy("model", "fold", "metric").show(200, truncate=False)
+    if args.metrics:
+        res.metrics.write.mode("overwrite").option("header", True).csv(args.metrics)
+    for r in res.metrics.orderBy("model", "fold", "metric").toLocalIterator():
+        print(f"{r['model']:<24} fold {'all' if r['fold'] is None else r['fold']:<4} {r['metric']:<5} {r['value']:.4f}")
+    if args.tune:
+        best = best_trial(tune_meta(res, args.tune, recipe.random_state)).first()
+        print(f"tuned meta: alpha={best['alpha']:.6g} l1_ratio={best['l1_ratio']:.4f} cv mae={best['mae']:.4f} ({args.tune} trials)")
     print(f"meta: {res.meta.meta_name} mae={res.meta.mae:.4f} mape={res.meta.mape:.4f} "
           f"coefs={res.meta.coefs}")
