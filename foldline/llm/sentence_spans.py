@@ -4,6 +4,10 @@ Spans of whole sentences find short repeats. A passage of PASSAGE words or more
 is found wherever it begins and ends: of every window of so many words the
 smallest hash of GRAM words is an anchor, so that equal windows have equal
 anchors; the windows of anchors met twice are then compared themselves.
+
+Texts are parsed to arrays of word hashes; the hash of any run of words is one
+subtraction of running sums. Places are words, and a document is its id together
+with its text.
 """
 
 from __future__ import annotations
@@ -13,8 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldline.llm import textbytes as tb
@@ -24,6 +29,11 @@ from foldline.llm.shared import Scratch
 _END = re.compile(r"[.!?]+\s+|\n\s*")
 #: A word and the white space around it that no word before it has.
 _WORD = re.compile(r"^\s*\S+\s*|\S+\s*")
+#: White space beyond that of textbytes, and the bytes that such a character may begin with.
+_WIDE = r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_MAYBE_WIDE = np.isin(np.arange(256), [0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3])
+_STOP = np.isin(np.arange(256), list(b".!?"))
+_SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
 
 
 def sentences(text: str) -> list[str]:
@@ -44,9 +54,11 @@ _SLICE = 1 << 17
 
 
 def spans(text: str, min_sentences: int, min_words: int) -> Iterator[tuple[bytes, int, int]]:
-    """(digest, first sentence, end) of every run: from each sentence the shortest run of both sizes.
+    """(digest, first sentence, end) of every run of one text: from each sentence the shortest run of both sizes.
 
-    A sentence of ``LONG`` words or more is also a run by itself. Sentences compare in lower case and with single spaces.
+    A sentence of ``LONG`` words or more is also a run by itself. Sentences
+    compare in lower case and with single spaces. What the operator does for whole
+    columns, in words that are easy to check.
     """
     words = [s.lower().split() for s in sentences(text)]
     digests = [xxhash.xxh3_128_digest(" ".join(w)) for w in words]
@@ -59,137 +71,199 @@ def spans(text: str, min_sentences: int, min_words: int) -> Iterator[tuple[bytes
     yield from ((digests[i], i, i + 1) for i, w in enumerate(words) if len(w) >= LONG)
 
 
-def anchors(texts: list[str]) -> Iterator[list[np.ndarray]]:
-    """Arrays (hash, text, word, first window, last window, first sentence, end) of the anchors of all windows of PASSAGE words.
+class Words:
+    """The words of some texts, lower-cased: rows, places in them, sentence ends, and hashes of any run."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        start, end, self.row = tb.words(data, offsets)
+        self.n = len(start)
+        self.first = np.searchsorted(self.row, np.arange(len(offsets)))  # of each row, and the number of words
+        self.place = np.arange(self.n) - self.first[self.row]
+        breaks = np.concatenate([[0], np.cumsum(data == 10)])
+        after = np.append(start[1:], len(data)) if self.n else start
+        last = np.append(self.row[1:] != self.row[:-1], True)[:self.n]
+        self.stops = _STOP[data[end - 1]] | (breaks[after] > breaks[end]) | last if self.n else np.zeros(0, bool)
+        hashes = tb.span_hashes(data, start, end)
+        self.sums = []
+        for salt in _SALTS:
+            out = np.zeros(self.n + 1, np.uint64)
+            np.cumsum((tb.mix(hashes ^ salt) | np.uint64(1)) * tb.powers(self.n)[0][:self.n], out=out[1:])
+            self.sums.append(out)
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        """Two 64-bit hashes of every run of words start..end."""
+        return [tb.span_hash(s, start, end).view(np.int64) for s in self.sums]
+
+    def runs(self, min_sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and end of every run, as in ``spans``."""
+        end = np.flatnonzero(self.stops) + 1
+        start = np.concatenate([[0], end[:-1]]) if len(end) else end
+        edge = np.append(start, self.n)
+        stop = np.maximum(np.searchsorted(edge, start + min_words), np.arange(len(start)) + min_sentences)
+        fits = np.flatnonzero(stop <= len(start))
+        fits = fits[self.row[start[fits]] == self.row[end[stop[fits] - 1] - 1]]
+        alone = np.flatnonzero(end - start >= LONG)
+        return np.concatenate([start[fits], start[alone]]), np.concatenate([end[stop[fits] - 1], end[alone]])
+
+    def anchors(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """(hash, word, first window, last window) of the anchors of all windows of PASSAGE words, named by their first word."""
+        more = PASSAGE - 1
+        for a in range(0, self.n - more, _SLICE):
+            b = min(self.n, a + _SLICE + more)
+            at = np.arange(a, b - GRAM + 1)
+            grams = tb.span_hash(self.sums[0], at, at + GRAM)
+            window = np.arange(b - a - more)
+            at = np.lib.stride_tricks.sliding_window_view(grams, PASSAGE - GRAM + 1).argmin(axis=1) + window
+            inside = self.row[window + a] == self.row[window + a + more]
+            window, at, code = window[inside] + a, at[inside] + a, grams[at[inside]]
+            new = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else at
+            last = window[np.append(new[1:], len(at)) - 1] if len(at) else at
+            yield code[new].view(np.int64), at[new], window[new], last
+
+
+def _parsed(column: pa.Array) -> Iterator[tuple[int, int, Words]]:
+    """(first row, end, words) of the texts of a column, a block at a time."""
+    column = pc.utf8_lower(column.cast(pa.large_string()))
+    data, offsets = tb.flat(column)
+    if _MAYBE_WIDE[data].any():
+        data, offsets = tb.flat(pc.replace_substring_regex(column, pattern=_WIDE, replacement=" "))
+    for a, b in tb.blocks(offsets):
+        at = offsets[a:b + 1]
+        yield a, b, Words(data[at[0]:at[-1]], at - at[0])
+
+
+def _batch(columns: dict, types: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns.values(), types, strict=True)], list(columns))
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key(text).alias("text_key"), text.alias("text")).where(
+        F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+
+
+_DOC = ["doc_id", "text_key"]
+_LONG, _INT = pa.int64(), pa.int32()
+
 
-    A window is named by its first word; the sentences are those that the
-    anchor's windows touch.
+def repeated_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 12) -> DataFrame:
+    """(doc_id, text_key, start, end): words of sentence runs that occur before, at a smaller doc_id or earlier in the document.
+
+    The first occurrence of a span is the one with the smallest (doc_id,
+    text_key, word). Rows without an id or text have no spans, nor have texts
+    too short for any; rows that repeat a doc_id and its text are one document,
+    texts that share an id are several.
     """
-    split = [[s.lower().split() for s in sentences(text)] for text in texts]
-    data = np.frombuffer(" ".join(w for text in split for words in text for w in words).encode(), np.uint8)
-    start, end, _ = tb.words(data, np.array([0, len(data)]))
-    size = np.array([sum(map(len, text)) for text in split], np.int64)
-    row = np.repeat(np.arange(len(texts)), size)
-    place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
-    sentence = np.array([i for text in split for i, words in enumerate(text) for _ in words], np.int64)
-    more = PASSAGE - 1
-    for a in range(0, len(row) - more, _SLICE):
-        b = min(len(row), a + _SLICE + more)
-        grams = tb.span_hash(tb.prefix_hash(data[start[a]:end[b - 1]]), start[a:b - GRAM + 1] - start[a], end[a + GRAM - 1:b] - start[a])
-        window = np.arange(b - a - more)
-        at = np.lib.stride_tricks.sliding_window_view(grams, PASSAGE - GRAM + 1).argmin(axis=1) + window
-        inside = row[window + a] == row[window + a + more]
-        window, at, code = window[inside] + a, at[inside] + a, grams[at[inside]]
-        new = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else at
-        last = window[np.append(new[1:], len(at)) - 1] if len(at) else at
-        yield [code[new].view(np.int64), row[at[new]], place[at[new]], place[window[new]], place[last], sentence[window[new]], sentence[last + more] + 1]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = (batch.column(k).to_numpy() for k in range(2))
+            for a, _, words in _parsed(batch.column(2)):
+                start, end = words.runs(min_sentences, min_words)
+                row = words.row[start]
+                h1, h2 = words.hashes(start, end)
+                place = words.place[start]
+                yield _batch({"h1": h1, "h2": h2, "doc_id": ids[row + a], "text_key": keys[row + a], "start": place, "end": place + end - start}, (_LONG,) * 4 + (_INT,) * 2)
+
+    scratch = Scratch(docs.sparkSession, "sentence-spans")
+    every = scratch.write(_rows(docs).mapInArrow(run, "h1 long, h2 long, doc_id long, text_key long, start int, end int"), "spans")
+    place = F.struct(*_DOC, "start")
+    # a span met once, or only at one place by rows that repeat, is no repeat
+    firsts = scratch.write(every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("h1", "h2", "first"), "repeats")
+    return scratch.result(every.join(firsts, ["h1", "h2"]).where(place != F.col("first")).select(*_DOC, "start", "end").distinct(), "repeated-spans")
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted ranges of each document, those that overlap or touch as one."""
+    kind = pa.list_(pa.struct([("start", _INT), ("end", _INT)]))
+    for batch in batches:
+        out: list[list[dict]] = []
+        for own in batch.column(2).to_pylist():
+            out.append([])
+            for r in own:
+                if out[-1] and r["start"] <= out[-1][-1]["end"]:
+                    out[-1][-1]["end"] = max(out[-1][-1]["end"], r["end"])
+                else:
+                    out[-1].append(r)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], [*_DOC, "ranges"])
+
+
+def merged(ranges: DataFrame) -> DataFrame:
+    """(doc_id, text_key, ranges): one row a document, its word ranges sorted and apart."""
+    own = ranges.groupBy(*_DOC).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("ranges"))
+    return own.mapInArrow(_merged, "doc_id long, text_key long, ranges array<struct<start:int,end:int>>")
 
 
 def repeated_passages(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(doc_id, start, end): ranges of PASSAGE words that occur before and that ``ranges`` of sentences leave a word of.
+    """(doc_id, text_key, start, end): ranges of PASSAGE words that occur before and that ``ranges`` (see ``merged``) leave a word of.
 
-    An occurrence that overlaps the first one is none. ``ranges`` has one row a document, (doc_id, ranges) of sorted (start, end).
-    Places, rows and their order are as in ``repeated_spans``.
+    An occurrence that overlaps the first one is none. Rows and their order are as in ``repeated_spans``.
     """
-    names = ["anchor", "doc_id", "word", "first", "last", "start", "end"]
-    types = [pa.int64(), pa.int64(), *[pa.int32()] * 5]
-
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                ids = part.column(0).to_numpy(zero_copy_only=False)
-                for code, row, *rest in anchors(part.column(1).to_pylist()):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([code, ids[row], *rest], types, strict=True)], names)
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list[dict]] = []
-            for own in batch.column(1).to_pylist():
-                out.append([])
-                for r in own:
-                    if out[-1] and r["start"] <= out[-1][-1]["end"]:
-                        out[-1][-1]["end"] = max(out[-1][-1]["end"], r["end"])
-                    else:
-                        out[-1].append(r)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, batch.schema.field(1).type)], batch.schema.names)
+            ids, keys = (batch.column(k).to_numpy() for k in range(2))
+            for a, _, words in _parsed(batch.column(2)):
+                for code, at, first, last in words.anchors():
+                    row = words.row[at] + a
+                    yield _batch({"anchor": code, "doc_id": ids[row], "text_key": keys[row], "word": words.place[at], "first": words.place[first], "last": words.place[last]},
+                                 (_LONG,) * 3 + (_INT,) * 3)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 100):
-                part = batch.slice(a, 100)
-                found = []
-                for doc, text, wanted in zip(*[part.column(k).to_pylist() for k in range(3)], strict=True):
-                    words = [w for s in sentences(text) for w in s.lower().split()]
-                    places = sorted({i for x in wanted for i in range(x["first"], x["last"] + 1) if i + PASSAGE <= len(words)})
-                    found += [(xxhash.xxh3_128_digest(" ".join(words[i:i + PASSAGE])), doc, i) for i in places]
-                columns = list(zip(*found, strict=True)) if found else [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int32()), strict=True)], ["window", "doc_id", "start"])
+            ids, keys = (batch.column(k).to_numpy() for k in range(2))
+            for a, b, words in _parsed(batch.column(2)):
+                wanted = batch.column(3).slice(a, b - a)
+                low, high = (wanted.flatten().field(k).to_numpy().astype(np.int64) for k in range(2))
+                row = np.repeat(np.arange(b - a), wanted.value_lengths().to_numpy())
+                asked = np.unique(tb.ragged(low + words.first[row], high - low + 1))
+                row = words.row[asked]
+                for i in range(0, len(asked), _SLICE):
+                    own, r = asked[i:i + _SLICE], row[i:i + _SLICE]
+                    w1, w2 = words.hashes(own, own + PASSAGE)
+                    yield _batch({"w1": w1, "w2": w2, "doc_id": ids[r + a], "text_key": keys[r + a], "start": words.place[own]}, (_LONG,) * 4 + (_INT,))
 
     rows = _rows(docs)
     scratch = Scratch(docs.sparkSession, "passages")
-    every = scratch.write(rows.mapInArrow(anchored, "anchor long, doc_id long, word int, first int, last int, start int, end int"), "anchors")
-    place = F.struct("doc_id", "word")
+    every = scratch.write(rows.mapInArrow(anchored, "anchor long, doc_id long, text_key long, word int, first int, last int"), "anchors")
+    place = F.struct(*_DOC, "word")
     twice = every.groupBy("anchor").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least != most").select("anchor", "least")
     met = scratch.write(every.join(twice, "anchor"), "met")
     # copies that the spans of sentences take away whole need no windows
-    gone = F.exists("ranges", lambda r: (r["start"] <= F.col("start")) & (F.col("end") <= r["end"]))
-    left = met.where(place != F.col("least")).join(ranges.mapInArrow(merged, ranges.schema), "doc_id", "left").where(F.col("ranges").isNull() | ~gone)
-    wanted = met.join(left.select("anchor").distinct(), "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("wanted"))
-    seen = scratch.write(rows.join(scratch.write(wanted, "wanted"), "doc_id").select("doc_id", "text", "wanted").mapInArrow(windows, "window binary, doc_id long, start int"), "windows")
-    place = F.struct("doc_id", "start")
-    firsts = seen.groupBy("window").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least != most").select("window", "least")
-    apart = (F.col("doc_id") != F.col("least.doc_id")) | (F.col("start") >= F.col("least.start") + PASSAGE)  # the first occurrence itself stays
-    again = seen.join(firsts, "window").where(apart)
-    return scratch.result(again.select("doc_id", "start", (F.col("start") + PASSAGE).alias("end")).distinct(), "repeated-passages")
-
-
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-
-
-def repeated_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 12) -> DataFrame:
-    """(doc_id, start, end): sentence ranges whose text occurs before, at a smaller doc_id or earlier in the document.
-
-    The first occurrence of a span is the one with the smallest (doc_id,
-    sentence). Rows without an id or text have no spans, nor have texts
-    too short for any; rows that repeat a
-    doc_id and its text are one document.
+    gone = F.exists("ranges", lambda r: (r["start"] <= F.col("first")) & (F.col("last") + PASSAGE <= r["end"]))
+    left = met.where(place != F.col("least")).join(ranges, _DOC, "left").where(F.col("ranges").isNull() | ~gone)
+    wanted = met.join(left.select("anchor").distinct(), "anchor", "left_semi").groupBy(*_DOC).agg(F.collect_set(F.struct("first", "last")).alias("wanted"))
+    seen = rows.join(scratch.write(wanted, "wanted"), _DOC).select(*_DOC, "text", "wanted")
+    seen = scratch.write(seen.mapInArrow(windows, "w1 long, w2 long, doc_id long, text_key long, start int"), "windows")
+    place = F.struct(*_DOC, "start")
+    firsts = seen.groupBy("w1", "w2").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least != most").select("w1", "w2", "least")
+    same = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("text_key") == F.col("least.text_key"))
+    apart = ~same | (F.col("start") >= F.col("least.start") + PASSAGE)  # the first occurrence itself stays
+    again = seen.join(firsts, ["w1", "w2"]).where(apart)
+    return scratch.result(again.select(*_DOC, "start", (F.col("start") + PASSAGE).alias("end")).distinct(), "repeated-passages")
+
+
+def without(text: str, ranges: list[dict]) -> tuple[str, int, int]:
+    """The text without the words of sorted ranges, its number of sentences, and of those of which nothing is left.
+
+    A sentence whose words all go takes what stands behind it along.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                found = [(h, doc, i, end) for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
-                         for h, i, end in spans(text, min_sentences, min_words)]
-                columns = list(zip(*found, strict=True)) if found else [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int32(), pa.int32()), strict=True)],
-                                                 ["span", "doc_id", "start", "end"])
-
-    scratch = Scratch(docs.sparkSession, "sentence-spans")
-    every = scratch.write(_rows(docs).mapInArrow(run, "span binary, doc_id long, start int, end int"), "spans")
-    place = F.struct("doc_id", "start")
-    # a span met once, or only at one place by rows that repeat, is no repeat
-    firsts = scratch.write(every.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("span", "first"), "repeats")
-    return scratch.result(every.join(firsts, "span").where(place != F.col("first")).select("doc_id", "start", "end").distinct(), "repeated-spans")
-
-
-def without(text: str, sentence_ranges: list[dict], word_ranges: list[dict]) -> tuple[str, int, int]:
-    """The text without these sentences and words, its number of sentences, and of those of which nothing is left."""
     parts = sentences(text)
-    gone = {i for r in sentence_ranges for i in range(r["start"], r["end"])}
-    words = {i for r in word_ranges for i in range(r["start"], r["end"])}
-    if words:
-        at = 0
-        for i, part in enumerate(parts):
-            own = range(at, at := at + len(part.split()))
-            if i in gone or words.isdisjoint(own):
-                continue
-            if words.issuperset(own):
-                gone.add(i)
-            else:
-                parts[i] = "".join(w for k, w in zip(own, _WORD.findall(part), strict=True) if k not in words)
-    return "".join(s for i, s in enumerate(parts) if i not in gone), len(parts), len(gone)
+    gone, at, k = 0, 0, 0
+    for i, part in enumerate(parts):
+        own = _WORD.findall(part)
+        end = at + len(own)
+        while k < len(ranges) and ranges[k]["end"] <= at:
+            k += 1
+        if k < len(ranges) and ranges[k]["start"] < end and own:
+            cut = {w for r in ranges[k:] if r["start"] < end for w in range(max(at, r["start"]), min(end, r["end"]))} if ranges[k]["end"] < end or ranges[k]["start"] > at else range(at, end)
+            left = [w for w, word in zip(range(at, end), own, strict=True) if w not in cut]
+            gone += not left
+            parts[i] = "".join(own[w - at] for w in left)
+        at = end
+    return "".join(parts), len(parts), gone
 
 
 def drop_repeated_sentences(docs: DataFrame, min_sentences: int = 2, min_words: int = 12) -> DataFrame:
@@ -197,31 +271,41 @@ def drop_repeated_sentences(docs: DataFrame, min_sentences: int = 2, min_words:
 
     Texts without such a span, null and empty ones too, stay as they are. Adds
     struct column ``span_dedup`` (n_sentences, n_removed: those of which
-    nothing is left), which replaces a column of that name.
+    nothing is left), which replaces a column of that name; other columns may have
+    any names.
     """
     docs = docs.select(*[c for c in docs.columns if c != "span_dedup"])
-    spans_ = repeated_spans(docs, min_sentences, min_words)
-
-    def collected(ranges: DataFrame, name: str) -> DataFrame:
-        return ranges.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(name))
-
-    passages = repeated_passages(docs, collected(spans_, "ranges"))
-    ranges = collected(spans_, "ranges").join(collected(passages, "passages"), "doc_id", "full")
-    joined = docs.join(ranges.withColumnRenamed("doc_id", "span_doc_id"), docs["doc_id"].cast("long") == F.col("span_doc_id"), "left")
+    scratch = Scratch(docs.sparkSession, "spans-of-documents")
+    runs = repeated_spans(docs, min_sentences, min_words)
+    passages = repeated_passages(docs, scratch.write(merged(runs), "runs"))
+    found = scratch.result(merged(runs.unionByName(passages)), "ranges").toDF("_doc", "_key", "_ranges")
     names = docs.columns
-    at = names.index("text")
-    schema = docs.select("*", F.struct(F.lit(0).alias("n_sentences"), F.lit(0).alias("n_removed")).alias("span_dedup")).schema
+    own = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    at, id_at = names.index("text"), names.index("doc_id")
+    same = (F.col(f"c{id_at}").cast("long") == F.col("_doc")) & (_text_key(F.col(f"c{at}")) == F.col("_key"))
+    joined = own.join(found, same, "left").select(*own.columns, "_ranges")
+    out_names = [*own.columns, "_counts"]
+    counts = F.struct(F.lit(0).alias("n_sentences"), F.lit(0).alias("n_removed"))
+    schema = own.select("*", counts.alias("_counts")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.struct([("n_sentences", pa.int32()), ("n_removed", pa.int32())])
         for batch in batches:
-            texts, counts = [], []
-            for text, own, words in zip(*[batch.column(k).to_pylist() for k in (at, len(names), len(names) + 1)], strict=True):
-                kept, n, removed = without(text or "", own or [], words or [])
-                counts.append({"n_sentences": n, "n_removed": removed})
-                texts.append(kept if own or words else text)
+            column = batch.column(at)
+            ends = pc.match_substring_regex(column, r"(?:[.!?]\s+|\n\s*)$").fill_null(False).to_numpy(zero_copy_only=False)
+            n = pc.count_substring_regex(column, _END.pattern).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            n = n + (~ends & (pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False) > 0))
+            removed = np.zeros(len(n), np.int64)
+            ranges = batch.column(len(names))
+            hit = np.flatnonzero(ranges.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            if hit:
+                texts = column.to_pylist()
+                for k in hit:
+                    texts[k], n[k], removed[k] = without(texts[k], ranges[k].as_py())
+                column = pa.array(texts, column.type)
             columns = batch.columns[:len(names)]
-            columns[at] = pa.array(texts, batch.schema.field(at).type)
-            counted = pa.array(counts, pa.struct([("n_sentences", pa.int32()), ("n_removed", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([*columns, counted], [*names, "span_dedup"])
+            columns[at] = column
+            counted = pa.StructArray.from_arrays([pa.array(n, pa.int32()), pa.array(removed, pa.int32())], fields=list(kind))
+            yield pa.RecordBatch.from_arrays([*columns, counted], out_names)
 
-    return joined.select(*[docs[c] for c in names], "ranges", "passages").mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).toDF(*names, "span_dedup")
