@@ -12,6 +12,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foldline.llm.shared import written
+
 UNKNOWN = "und"
 
 
@@ -20,17 +22,18 @@ def learn_dictionaries(docs: DataFrame, usable: Column, per_language: int = 400,
 
     Fitted on a bounded sample: of each language the ``per_language`` rows with
     the smallest hash of their id; an equal share of ``dictionary_bytes`` from
-    the middle of each, in lower case, makes the dictionary.
+    the middle of each, in lower case, makes the dictionary. The share is that of
+    the rows chosen, so a language of few rows has long pieces of them.
     Rows with null or empty text teach nothing; without any row there is no
     dictionary. Needs doc_id, text and lang; other columns are ignored.
     """
     rows = docs.select("doc_id", "lang", "text").where(usable & F.col("lang").isNotNull() & (F.length("text") > 0))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
-    share = dictionary_bytes // per_language
-    middle = F.greatest(F.lit(1), F.floor((F.length("text") - share) / 2).cast("int") + 1)
-    texts = (rows.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")  # per_language ids a language
-             .select("lang", "doc_id", F.lower(F.substring("text", middle, F.lit(share))).alias("text")).orderBy("lang", "doc_id").collect())
+    chosen = written(rows.select("doc_id", "lang").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language), "chosen")  # per_language ids a language
+    shares = chosen.groupBy("lang").agg(F.floor(F.lit(dictionary_bytes) / F.count(F.lit(1))).cast("int").alias("share"))
+    middle = F.greatest(F.lit(1), F.floor((F.length("text") - F.col("share")) / 2).cast("int") + 1)
+    texts = (rows.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").join(F.broadcast(shares), "lang")
+             .select("lang", "doc_id", F.lower(F.substring("text", middle, F.col("share"))).alias("text")).orderBy("lang", "doc_id").collect())
     by_language: dict[str, list[bytes]] = {}
     for row in texts:
         by_language.setdefault(row.lang, []).append(row.text.encode())
