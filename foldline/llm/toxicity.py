@@ -1,9 +1,13 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Small transducers tag the words of a clause (insult, threat, target, negation,
-reported speech) and a composed machine reads the tags: a clause counts by what
-is said of whom, not by its words alone. The insult lexicon and its weights are
-learned from labelled rows; words of the other classes are fixed.
+The words of a clause that belong to a class (insult, threat, target, negation,
+reported speech) are the input of a cascade of transducers, each of which rewrites
+the symbols of hits, insults and threats, by what it has read before them: a
+negation turns the next hit, a second one takes that back; reported speech turns
+all hits behind it; a target aims the hits behind it, or the one right before it.
+What comes out has a weight for each hit, so that a clause counts by what is said
+of whom and in which order, not by its words alone. The insult lexicon and its
+weights are learned from labelled rows; words of the other classes are fixed.
 """
 
 from __future__ import annotations
@@ -30,8 +34,9 @@ WORDS = {
     REPORT: "said says say told claims claimed called calls quoted wrote sagte sagt nannte schrieb dit disait appelait écrit dijo dice llamó escribió",
     THREAT: "kill hurt shoot stab strangle töten erschießen tuer frapper matar golpear",
 }
-#: What a tag does to the insult or threat weights of its clause.
+#: What a mark does to the weight of a hit; a threat at nobody counts by half.
 FACTORS = {TARGET: 1.25, NEGATION: 0.6, REPORT: 0.7}
+UNAIMED_THREAT = 0.5
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?;\n"]] = True
 _LETTER = np.zeros(256, bool)
@@ -39,56 +44,69 @@ _LETTER[0x80:] = True
 _LETTER[[ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789'"]] = True
 
 
+#: A symbol is a tag with the marks (tags) that transducers have put on it.
+Symbol = tuple[int, frozenset]
+HITS = (INSULT, THREAT)
+
+
 @dataclass(frozen=True)
-class Machine:
-    """A deterministic weighted machine over tags: ``moves[state, tag]`` is (state, factor); other tags keep the state."""
+class Transducer:
+    """A deterministic machine that rewrites symbols: ``moves[state, tag]`` is (next state, mark or None).
 
+    The mark goes on the symbol that is read. Tags without a move keep the state
+    and pass as they are; reading from the right, a symbol sees what follows it.
+    """
     moves: dict
     start: str = "start"
+    from_right: bool = False
 
+    def run(self, symbols: list[Symbol]) -> list[Symbol]:
+        state, out = self.start, []
+        for tag, marks in reversed(symbols) if self.from_right else symbols:
+            state, mark = self.moves.get((state, tag), (state, None))
+            out.append((tag, marks if mark is None else marks | {mark}))
+        return out[::-1] if self.from_right else out
 
-def mark(tag: int, factor: float, cancelled_by: int | None = None) -> Machine:
-    """Multiplies a clause by ``factor`` once it has met ``tag``; an even number of ``cancelled_by`` tags takes it back."""
-    moves = {("start", tag): ("met", factor)}
-    if cancelled_by == tag:
-        moves["met", tag] = ("start", 1 / factor)
-    return Machine(moves)
 
+def each_hit(state: str, to: str, mark: int | None) -> dict:
+    return {(state, hit): (to, mark) for hit in HITS}
 
-def compose(*machines: Machine) -> Machine:
-    """The machine that runs all of them side by side; factors multiply."""
-    start = tuple(m.start for m in machines)
-    tags = {tag for m in machines for _, tag in m.moves}
-    moves, todo, seen = {}, [start], {start}
-    while todo:
-        state = todo.pop()
-        for tag in tags:
-            steps = [m.moves.get((s, tag), (s, 1.0)) for m, s in zip(machines, state, strict=True)]
-            to = tuple(s for s, _ in steps)
-            moves[state, tag] = (to, float(np.prod([f for _, f in steps])))
-            if to not in seen:
-                seen.add(to)
-                todo.append(to)
-    return Machine(moves, start)
 
+#: The next hit is negated; another negation before it takes that back.
+NEGATED = Transducer({("start", NEGATION): ("negated", None), ("negated", NEGATION): ("start", None)} | each_hit("negated", "start", NEGATION))
+#: What somebody says, says somebody else: all hits behind it.
+REPORTED = Transducer({("start", REPORT): ("quoted", None)} | each_hit("quoted", "quoted", REPORT))
+#: Hits behind a target are at it.
+AIMED = Transducer({("start", TARGET): ("aimed", None)} | each_hit("aimed", "aimed", TARGET))
+#: So is the hit right before one, with no other class between them.
+AIMED_BACK = Transducer({("start", TARGET): ("aimed", None), ("aimed", NEGATION): ("start", None), ("aimed", REPORT): ("start", None)}
+                        | each_hit("aimed", "start", TARGET), from_right=True)
 
-#: Target, negation (a second one cancels the first) and reported speech, composed.
-CLAUSE = compose(mark(TARGET, FACTORS[TARGET]), mark(NEGATION, FACTORS[NEGATION], NEGATION), mark(REPORT, FACTORS[REPORT]))
 
+def compose(*machines: Transducer):
+    """The cascade that feeds each machine with what the one before it wrote."""
+    def run(symbols: list[Symbol]) -> list[Symbol]:
+        for machine in machines:
+            symbols = machine.run(symbols)
+        return symbols
+    return run
 
-def clause_score(tags: list[int], weights: list[float]) -> float:
-    """Score of one clause: the weights of its insults and threats times the factors that the machine met.
 
-    A threat counts in full only against a target, else by half.
-    """
-    state, factor = CLAUSE.start, 1.0
-    aimed = TARGET in tags
-    total = 0.0
-    for tag, weight in zip(tags, weights, strict=True):
-        total += weight if tag == INSULT else weight * (1.0 if aimed else 0.5) if tag == THREAT else 0.0
-        state, step = CLAUSE.moves.get((state, tag), (state, 1.0))
-        factor *= step
-    return total * factor
+CLAUSE = compose(NEGATED, REPORTED, AIMED, AIMED_BACK)
+
+
+def hit_factor(tag: int, marks: frozenset) -> float:
+    """The weight of a hit by its class and marks."""
+    factor = 1.0
+    for mark in marks:
+        factor *= 1.0 if mark == TARGET and tag == THREAT else FACTORS[mark]
+    return factor * (UNAIMED_THREAT if tag == THREAT and TARGET not in marks else 1.0)
+
+
+def clause_score(tags: list[int], weights: list[float]) -> float:
+    """Score of one clause: the weights of its insults and threats, each times what its marks make of it."""
+    out = CLAUSE([(tag, frozenset()) for tag in tags])
+    return sum(w * hit_factor(tag, marks) for (tag, marks), w in zip(out, weights, strict=True) if tag in HITS)
 
 
 @dataclass

@@ -68,3 +68,38 @@ def test_components_of_chains_and_hubs(spark):
             x, y = sorted((root(a), root(b)))
             up[y] = x
     assert got == {x: root(x) for x in up if root(x) != x}
+
+
+def test_texts_that_share_an_id_are_several_documents(spark):
+    from foldline.llm import sentence_spans
+    copy = "one two three four five six seven eight. nine ten eleven twelve thirteen fourteen fifteen."
+    other = "alpha beta gamma delta epsilon zeta eta theta. iota kappa lambda mu nu xi omicron pi rho."
+    rows = [(1, copy, 0, "r", None, 7), (2, copy, 1, "r", None, 7), (2, other, 2, "r", None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ranges int, passages string, span_dedup string, span_doc_id long")
+    got = sentence_spans.drop_repeated_sentences(docs)
+    assert got.columns == ["doc_id", "text", "ranges", "passages", "span_doc_id", "span_dedup"]
+    assert sorted((r.doc_id, r.ranges, r.text, r.span_dedup.n_sentences, r.span_dedup.n_removed) for r in got.collect()) == [
+        (1, 0, copy, 2, 0), (2, 1, "", 2, 2), (2, 2, other, 2, 0)]
+
+
+def test_the_order_of_a_clause_counts():
+    insult, threat, target, no, said = toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT
+
+    def score(*tags):
+        return round(toxicity.clause_score(list(tags), [4.0 if t in (insult, threat) else 0.0 for t in tags]), 6)
+    assert score(insult) == 4.0 and score(threat) == 2.0
+    assert score(target, insult) == 5.0 and score(insult, target) == 5.0        # you moron, moron you
+    assert score(target, no, insult) == 3.0 and score(target, insult, no) == 5.0  # you are not a moron, you are a moron, no
+    assert score(no, insult, target) == 3.0 and score(insult, no, target) == 4.0
+    assert score(said, insult) == 2.8 and score(insult, said) == 4.0            # he said moron, moron, he said
+    assert score(no, no, insult) == 4.0 and score(no, insult, insult) == 6.4
+    assert score(target, threat) == 4.0 and score(threat, target) == 4.0 and score(threat, said, target) == 2.0
+    assert score(said, target, no, threat, insult) == round(4 * 0.7 * 0.6 + 4 * 0.7 * 1.25, 6)
+
+
+def test_a_rare_language_has_long_pieces(spark):
+    from foldline.llm import language_id
+    rows = [(i, "a" * 2000, "common") for i in range(500)] + [(1000 + i, "b" * 2000, "rare") for i in range(10)] + [(2000, None, "none"), (2001, "", "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    size = {k: len(v) for k, v in language_id.learn_dictionaries(docs, F.lit(True), per_language=400, dictionary_bytes=1 << 14).items()}
+    assert set(size) == {"common", "rare"} and 0.9 < size["rare"] / (1 << 14) < 1.1 and 0.9 < size["common"] / (1 << 14) < 1.1
