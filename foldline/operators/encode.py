@@ -278,3 +278,61 @@ class FoldCategories:
         for r in vocab.orderBy("fold", "name", "idx").collect():
             cats.setdefault((r["fold"], r["name"]), []).append(r["value"])
         return FoldCategoriesModel(cats)
+
+
+@dataclass
+class FoldDictionaryModel:
+    """The training categories of every held-out fold as a table (fold, name, value, idx), idx dense from 0 in value order."""
+    table: DataFrame
+    sizes: dict                     # (fold, name) -> number of categories
+    fold_col: str
+
+    def index(self, df: DataFrame, names: Sequence[str], fill: Mapping | None = None, suffix: str = "_index") -> DataFrame:
+        """``df`` with ``{name}_index``: the place of the value among the categories that the row's held-out fold knows; NULL if it knows none such.
+
+        ``fill`` has the value of (fold, name) that stands for NULL. One join a
+        column on (fold, value), broadcast by AQE if the table is small, split by it
+        if a category is hot.
+        """
+        out, columns = df, list(df.columns)
+        for c in present(df, names):
+            value = F.col(c).cast("string")
+            for (f, name), v in (fill or {}).items():
+                if name == c and v is not None:
+                    value = F.when(F.col(c).isNull() & (F.col(self.fold_col) == F.lit(f)), F.lit(str(v))).otherwise(value)
+            known = self.table.where(F.col("name") == F.lit(c)).select(F.col("fold").alias("_f"), F.col("value").alias("_v"), F.col("idx").alias(f"{c}{suffix}"))
+            keyed = out.withColumn("_value", value)
+            out = keyed.join(known, (keyed[self.fold_col] == known["_f"]) & (keyed["_value"] == known["_v"]), "left").select(*columns, f"{c}{suffix}")
+            columns.append(f"{c}{suffix}")
+        return out
+
+    def one_hot(self, df: DataFrame, name: str, fold: int, out_col: str, fill: Mapping | None = None) -> DataFrame:
+        """``df`` with a sparse one-hot vector over the categories of one fold; unseen and NULL give no ones."""
+        from pyspark.ml.feature import OneHotEncoder
+        n = self.sizes.get((fold, name), 0)
+        held = self.index(df.withColumn("_own_fold", F.col(self.fold_col)).withColumn(self.fold_col, F.lit(fold)), [name], fill, "_place")
+        place = F.coalesce(F.col(f"{name}_place"), F.lit(n)).cast("double").alias("_place", metadata={"ml_attr": {"type": "nominal", "name": name, "num_vals": n + 1}})
+        keep = [F.col("_own_fold").alias(c) if c == self.fold_col else F.col(c) for c in df.columns]
+        wide = held.select(*keep, place)
+        encoder = OneHotEncoder(inputCols=["_place"], outputCols=[out_col], dropLast=True, handleInvalid="error")
+        return encoder.fit(wide).transform(wide).drop("_place")
+
+
+class FoldDictionary(FoldCategories):
+    """One-hot categories of any number: nothing is collected but their counts.
+
+    The distinct (fold, column, value) rows are range-partitioned, numbered within
+    their partition, and offset by the counts of the slices before, so no task
+    sees a whole column's values.
+    """
+
+    def fit(self, df: DataFrame) -> FoldDictionaryModel:
+        group = ["fold", "name"]
+        ranged = cut_lineage(self.training_values(df).repartitionByRange(*group, "value").withColumn("_pid", F.spark_partition_id()))
+        local = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_pid", *group).orderBy("value")) - 1)
+        slices = local.groupBy("_pid", *group).agg((F.max("_at") + 1).alias("_n"))
+        before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = slices.select("_pid", *group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        table = cut_lineage(local.join(offsets, ["_pid", *group]).select(*group, "value", (F.col("_at") + F.col("_off")).cast("int").alias("idx")))
+        sizes = {(r["fold"], r["name"]): r["n"] for r in table.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).collect()}
+        return FoldDictionaryModel(table, sizes, self.fold_col)

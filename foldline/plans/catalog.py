@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldline.functions.columns import map_values, numeric_columns
+from foldline.functions.columns import numeric_columns
 from foldline.functions.hashing import bucket
 from foldline.operators import encode, features, folds, impute, quantiles
 from foldline.plans import housing
@@ -675,20 +675,12 @@ def q_preprocess_linear(spark, sf_dir):
 def q_one_hot(spark, sf_dir):
     """One-hot position of each (mode-imputed) category in its training fold's
     sorted vocabulary; unseen -> NULL (an all-zero row)."""
-    from foldline.operators.preprocess import FoldPreprocessor
+    from foldline.operators.preprocess import fold_modes
     df = folded_standin(spark, sf_dir)
-    prep = FoldPreprocessor([], PREP_CATEGORICAL, "tree", "fold", K).fit(df)
-
-    def cols(f):
-        out = {}
-        for c in PREP_CATEGORICAL:
-            cats = prep.vocab.categories.get((f, c), [])
-            v = F.coalesce(F.col(c), F.lit(prep.modes.get((f, c))))
-            out[c] = map_values(v, {x: i for i, x in enumerate(cats)}, None).cast("int")
-        return out
-    wide = _held_out(df, cols)
+    modes = fold_modes(df, PREP_CATEGORICAL, "fold", K)
+    wide = encode.FoldDictionary(PREP_CATEGORICAL, "fold", K).fit(df).index(df.select("Id", "fold", *PREP_CATEGORICAL), PREP_CATEGORICAL, modes)
     return wide.select("Id", "fold", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("hot_index")) for c in PREP_CATEGORICAL])))
+        F.struct(F.lit(c).alias("column"), F.col(f"{c}_index").alias("hot_index")) for c in PREP_CATEGORICAL])))
 
 
 @query
