@@ -71,48 +71,48 @@ def fold_medians(df: DataFrame, cols: Sequence[str], fold_col: str, k: int) -> d
     cols = list(cols)
     if not cols:
         return {}
-    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = df.where(F.col(fold_col).isNotNull()).select(F.col(fold_col).cast("int").alias("fold"), F.inline(pairs)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    sketch: dict = {c: {} for c in cols}
     grid = [i / GRID for i in range(GRID + 1)]
-    aggs = [a for i, c in enumerate(cols) for a in (F.count(value[c]).alias(f"n{i}"), F.percentile_approx(value[c], grid, ACCURACY).alias(f"q{i}"))]
-    rows = df.where(F.col(fold_col).isNotNull())
-    sketches = rows.groupBy(F.col(fold_col).alias("fold")).agg(*aggs).collect()
+    for r in long.groupBy("fold", "name").agg(F.count("value").alias("n"), F.percentile_approx("value", grid, ACCURACY).alias("q")).collect():
+        sketch[r["name"]][r["fold"]] = (r["n"], r["q"])
     brackets = {}
-    for i, c in enumerate(cols):
-        sketch = {r["fold"]: (r[f"n{i}"], r[f"q{i}"] or []) for r in sketches}
+    for c in cols:
         for f in range(k):
-            low, high, n = _brackets(sketch, [g for g in sketch if g != f], 0.5)
+            low, high, n = _brackets(sketch[c], [g for g in sketch[c] if g != f], 0.5)
             if n:
                 brackets[f, c] = (low, high, n)
     if not brackets:
         return {}
-    out = _ranked(rows, value, fold_col, brackets)
+    out = _ranked(long, brackets, k)
     missed = {key: (-np.inf, np.inf, brackets[key][2]) for key, m in out.items() if m is None}
-    return out | (_ranked(rows, value, fold_col, missed) if missed else {})
-
-
-def _ranked(rows: DataFrame, value: dict, fold_col: str, brackets: dict) -> dict:
-    """The median of every (fold, column) in ``brackets``; None where it turns out to lie outside."""
-    lows: dict = {}
-    for f, c in brackets:
-        lows.setdefault(c, {}).setdefault(brackets[f, c][0], []).append(f)
-    names = {(c, low): f"b{i}" for i, (c, low) in enumerate((c, low) for c in lows for low in lows[c])}
-    below = rows.groupBy(F.col(fold_col).alias("fold")).agg(*[F.count_if(value[c] < F.lit(low)).alias(name) for (c, low), name in names.items()]).collect()
-    found = [F.when((F.col(fold_col) != f) & value[c].between(F.lit(low), F.lit(high)), F.struct(F.lit(f).alias("fold"), F.lit(c).alias("name"), value[c].alias("value")))
-             for (f, c), (low, high, _) in brackets.items()]
-    inside = rows.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    return out | (_ranked(long, missed, k) if missed else {})
+
+
+def _ranked(long: DataFrame, brackets: dict, k: int) -> dict:
+    """The median of every (fold, column) in ``brackets`` from rows (fold, name, value); None where it turns out to lie outside."""
+    spark = long.sparkSession
+    names = sorted({c for _, c in brackets})
+    none = (float("inf"), float("-inf"), 0)
+    ends = [(c, *([float(brackets.get((f, c), none)[i]) for f in range(k)] for i in range(2))) for c in names]
+    known = spark.createDataFrame(ends, "name string, lows array<double>, highs array<double>")
+    asked = long.join(F.broadcast(known), "name")  # a row for each column
+    under = {(r["fold"], r["name"]): r for r in asked.groupBy("fold", "name").agg(*[F.count_if(F.col("value") < F.col("lows")[f]).alias(f"b{f}") for f in range(k)]).collect()}
+    folds = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: (f != F.col("fold")) & F.col("value").between(F.get("lows", f), F.get("highs", f)))
+    inside = asked.select("name", "value", F.explode(folds).alias("fold"))
     counts = cut_lineage(inside.groupBy("fold", "name", "value").agg(F.count(F.lit(1)).alias("_w")))
     held = {(r["fold"], r["name"]): r["w"] for r in counts.groupBy("fold", "name").agg(F.sum("_w").alias("w")).collect()}
-    ends, out = [], {}
-    for (f, c), (low, _, n) in brackets.items():
-        under = sum(r[names[c, low]] for r in below if r["fold"] != f)
-        over = n - under - held.get((f, c), 0)
-        out[f, c] = None
-        if under <= (n - 1) // 2 and over <= (n - 1) // 2:  # both ranks of the median lie inside
-            ends += [(f, c, v, w) for v, w in ((float("-inf"), under), (float("inf"), over)) if w]
-            out[f, c] = 0.0
-    whole = counts.unionByName(rows.sparkSession.createDataFrame(ends, "fold int, name string, value double, _w long")) if ends else counts
-    medians = percentile_from_counts(whole, ["fold", "name"], "value", 0.5, "median").collect()
-    return {key: next((r["median"] for r in medians if (r["fold"], r["name"]) == key), None) if ok is not None else None for key, ok in out.items()}
+    outside, found = [], set()
+    for (f, c), (_, _, n) in brackets.items():
+        below = sum(r[f"b{f}"] for (g, name), r in under.items() if name == c and g != f)
+        above = n - below - held.get((f, c), 0)
+        if below <= (n - 1) // 2 and above <= (n - 1) // 2:  # both ranks of the median lie inside
+            outside += [(f, c, v, w) for v, w in ((float("-inf"), below), (float("inf"), above)) if w]
+            found.add((f, c))
+    whole = counts.unionByName(spark.createDataFrame(outside, "fold int, name string, value double, _w long")) if outside else counts
+    medians = {(r["fold"], r["name"]): r["median"] for r in percentile_from_counts(whole, ["fold", "name"], "value", 0.5, "median").collect()}
+    return {key: medians[key] if key in found else None for key in brackets}
 
 
 def fold_medians_approx(df: DataFrame, cols: Sequence[str], fold_col: str, k: int,

@@ -694,10 +694,6 @@ def q_category_prep(spark, sf_dir):
 # ---------------------------------------------------------------- MLlib base models (rows-only checks)
 MODEL_NUMERIC = ["x_qty", "x_disc", "n_lines", "c_acctbal"]
 MODEL_CATEGORICAL = ["prio", "o_orderstatus", "c_mktsegment"]
-# The forest is the one model that queries run smaller than the registry has it (800 trees of depth 20).
-REDUCED_FOREST = {"ExtraTrees": {"numTrees": 20, "maxDepth": 8}}
-
-
 def model_tables(spark, sf_dir):
     """Order-based training / scoring tables for the MLlib base models."""
     from foldline.sources.tables import order_frame
@@ -722,7 +718,7 @@ def _base_model_query(name: str):
         spec = REGISTRY[name]
         prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, spec.prep, "fold", K).fit(train)
         oof, _ = oof_predict(spec, prep, train, score, "o_orderkey", "label", "fold", K,
-                             REDUCED_FOREST.get(name))
+                             housing.REDUCED_PARAMS.get(name))
         return oof.select("o_orderkey", "fold", r6("pred").alias("pred"))
     return run
 
@@ -732,7 +728,7 @@ for _q, _m in [("lasso_oof", "Linear_Lasso"), ("gbt_oof", "XGBoost"), ("gbt_mae_
                ("linear_ridge_oof", "Linear_Ridge")]:
     _f = _base_model_query(_m)
     _f.__name__ = f"q_{_q}"
-    _f.__doc__ = f"OOF predictions of the {_m} base model, {'20 trees of depth 8' if _m in REDUCED_FOREST else 'at the registry settings'} (per-fold preprocessing)."
+    _f.__doc__ = f"OOF predictions of the {_m} base model, {'reduced (longer steps, shorter patience; see REDUCED_PARAMS)' if _m in housing.REDUCED_PARAMS else 'at the registry settings'}, per-fold preprocessing."
     query(_f)
 
 
@@ -775,10 +771,10 @@ def q_ordered_target_stats(spark, sf_dir):
 
 
 def baseline_spec():
-    """Impute + one category against the rest + histogram boosting on the raw target, 100 rounds, no early stopping."""
+    """Impute + one category against the rest + histogram boosting on the raw target, up to 100 rounds, ended by a patience of 10."""
     from foldline.operators.boosting import BoostParams
     from foldline.operators.models import ModelSpec
-    return ModelSpec("Baseline", "tree", boost=BoostParams(rounds=100, step=0.1, depth=6, leaves=31, min_child=20, patience=None, max_bins=255))
+    return ModelSpec("Baseline", "tree", boost=BoostParams(rounds=100, step=0.1, depth=6, leaves=31, min_child=20, patience=10, max_bins=255))
 
 
 @query
@@ -817,12 +813,12 @@ def q_tune_enet(spark, sf_dir):
 
 @query
 def q_tune_gbt(spark, sf_dir):
-    """Boosted-tree search by successive halving: nine draws at 5 rounds, the best third at 15, the best of these at 45; error in money."""
+    """Boosted-tree search by successive halving: six draws at 3 rounds, the best two at 9, the best one at 27; error in money."""
     from foldline.operators.preprocess import FoldPreprocessor
     from foldline.operators.tune import halving_search, sample_gbt
     train, _ = model_tables(spark, sf_dir)
     prep = FoldPreprocessor(MODEL_NUMERIC, MODEL_CATEGORICAL, "native", "fold", K).fit(train)
-    rows = halving_search(train, prep, sample_gbt(9, SEED, depths=(2, 3)), "o_orderkey", rounds=5, seed=SEED, k=K)
+    rows = halving_search(train, prep, sample_gbt(6, SEED, depths=(2, 3)), "o_orderkey", rounds=3, seed=SEED, k=K)
     return spark.createDataFrame([(r["trial"], r["rounds"], r["depth"], r["step"], r["cv_mae"]) for r in rows],
                                  "trial int, rounds int, max_depth int, step_size double, cv_mae double")
 
@@ -869,11 +865,11 @@ def q_step_ablation(spark, sf_dir):
 @query
 def q_stacked_submission(spark, sf_dir):
     """The whole housing run: outliers, recipe, OOF target encoding, drop list,
-    skew fix, the six base models out of fold at the registry's settings (the
-    forest with 20 trees of depth 8), the meta model; returns the ``Id, SalePrice``
-    scoring frame (money rounded to cents)."""
+    skew fix, the six base models out of fold with ``REDUCED_PARAMS`` (boosted
+    models take longer steps to their best round, 20 trees of depth 8), the meta
+    model; returns the ``Id, SalePrice`` scoring frame (money rounded to cents)."""
     from foldline.plans.runner import prepare, run, split_standin
-    recipe = housing.Recipe(model_params=dict(REDUCED_FOREST))
+    recipe = housing.Recipe(model_params=dict(housing.REDUCED_PARAMS))
     train_raw, score_raw = split_standin(spark, sf_dir, recipe.id_col)
     res = run(prepare(train_raw, score_raw, recipe), recipe)
     return res.submission.select("Id", r2("SalePrice").alias("SalePrice"))

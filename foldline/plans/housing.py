@@ -127,5 +127,13 @@ class Recipe:
     model_params: dict = field(default_factory=dict)
 
 
+# Settings of the registered queries and entry(), smaller than the registry's: each boosted
+# model takes longer steps, so that it meets its best round after tens of rounds, with a
+# patience to match; the forest has 20 trees of depth 8.
+_LONG_STEPS = {"maxIter": 500, "stepSize": 0.1, "patience": 10}
+REDUCED_PARAMS = {"XGBoost": _LONG_STEPS, "CatBoost": _LONG_STEPS, "LightGBM": _LONG_STEPS,
+                  "ExtraTrees": {"numTrees": 20, "maxDepth": 8}}
+
+
 OPTIONAL_STEPS = {"add_spatial_clusters": add_spatial_clusters,
                   "add_poly_features": add_poly_features}
