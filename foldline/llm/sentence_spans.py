@@ -3,7 +3,8 @@
 Spans of whole sentences find short repeats. A passage of PASSAGE words or more
 is found wherever it begins and ends: of every window of so many words the
 smallest hash of GRAM words is an anchor, so that equal windows have equal
-anchors; the windows of anchors met twice are then compared themselves.
+anchors. If all the words that an anchor's windows touch are the same wherever it
+is met, those repeat whole; else the windows are compared themselves.
 
 Texts are parsed to arrays of word hashes; the hash of any run of words is one
 subtraction of running sums. Places are words, and a document is its id together
@@ -208,8 +209,9 @@ def repeated_passages(docs: DataFrame, ranges: DataFrame) -> DataFrame:
             for a, _, words in _parsed(batch.column(2)):
                 for code, at, first, last in words.anchors():
                     row = words.row[at] + a
-                    yield _batch({"anchor": code, "doc_id": ids[row], "text_key": keys[row], "word": words.place[at], "first": words.place[first], "last": words.place[last]},
-                                 (_LONG,) * 3 + (_INT,) * 3)
+                    c1, c2 = words.hashes(first, last + PASSAGE)
+                    yield _batch({"anchor": code, "doc_id": ids[row], "text_key": keys[row], "word": words.place[at], "first": words.place[first], "last": words.place[last], "c1": c1, "c2": c2},
+                                 (_LONG,) * 3 + (_INT,) * 3 + (_LONG,) * 2)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,13 +229,17 @@ def repeated_passages(docs: DataFrame, ranges: DataFrame) -> DataFrame:
 
     rows = _rows(docs)
     scratch = Scratch(docs.sparkSession, "passages")
-    every = scratch.write(rows.mapInArrow(anchored, "anchor long, doc_id long, text_key long, word int, first int, last int"), "anchors")
-    place = F.struct(*_DOC, "word")
-    twice = every.groupBy("anchor").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least != most").select("anchor", "least")
-    met = scratch.write(every.join(twice, "anchor"), "met")
+    every = scratch.write(rows.mapInArrow(anchored, "anchor long, doc_id long, text_key long, word int, first int, last int, c1 long, c2 long"), "anchors")
+    place, context = F.struct(*_DOC, "word"), F.struct("c1", "c2")
+    twice = every.groupBy("anchor").agg(F.min(place).alias("least"), F.max(place).alias("most"), (F.min(context) == F.max(context)).alias("alike")).where("least != most")
+    met = scratch.write(every.drop("c1", "c2").join(twice.drop("most"), "anchor"), "met")
+    # where all contexts of an anchor are equal, so are their windows, one for one
+    same = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("text_key") == F.col("least.text_key"))
+    later = ~same | (F.col("word") >= F.col("least.word") + PASSAGE)
+    whole = met.where("alike").where(later).select(*_DOC, F.col("first").alias("start"), (F.col("last") + PASSAGE).alias("end"))
     # copies that the spans of sentences take away whole need no windows
     gone = F.exists("ranges", lambda r: (r["start"] <= F.col("first")) & (F.col("last") + PASSAGE <= r["end"]))
-    left = met.where(place != F.col("least")).join(ranges, _DOC, "left").where(F.col("ranges").isNull() | ~gone)
+    left = met.where(~F.col("alike") & (place != F.col("least"))).join(ranges, _DOC, "left").where(F.col("ranges").isNull() | ~gone)
     wanted = met.join(left.select("anchor").distinct(), "anchor", "left_semi").groupBy(*_DOC).agg(F.collect_set(F.struct("first", "last")).alias("wanted"))
     seen = rows.join(scratch.write(wanted, "wanted"), _DOC).select(*_DOC, "text", "wanted")
     seen = scratch.write(seen.mapInArrow(windows, "w1 long, w2 long, doc_id long, text_key long, start int"), "windows")
@@ -242,7 +248,7 @@ def repeated_passages(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     same = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("text_key") == F.col("least.text_key"))
     apart = ~same | (F.col("start") >= F.col("least.start") + PASSAGE)  # the first occurrence itself stays
     again = seen.join(firsts, ["w1", "w2"]).where(apart)
-    return scratch.result(again.select(*_DOC, "start", (F.col("start") + PASSAGE).alias("end")).distinct(), "repeated-passages")
+    return scratch.result(again.select(*_DOC, "start", (F.col("start") + PASSAGE).alias("end")).unionByName(whole).distinct(), "repeated-passages")
 
 
 def without(text: str, ranges: list[dict]) -> tuple[str, int, int]:
