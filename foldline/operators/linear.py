@@ -165,6 +165,8 @@ def elastic_net_fit(fs: FoldStats, st: Stats, alpha: float, l1_ratio: float,
             delta = max(delta, abs(new - w[j]))
             w[j] = new
         if delta <= tol * max(1.0, np.max(np.abs(w))):
+            exact = _kkt_solution(g, c, w, l1, l2)
+            w = w if exact is None else exact
             break
         if it % 5 == 4:
             exact = _kkt_solution(g, c, w, l1, l2)
