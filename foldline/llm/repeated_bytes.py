@@ -1,29 +1,37 @@
-"""Byte strings that occur more than once, by prefix-free parsing and suffix order.
-
-Triggers of a rolling hash cut every text into phrases: the trigger of a window
-of ``length`` bytes is the position of its smallest gram hash, so equal windows
-have equal triggers wherever they stand. The dictionary of trigger grams tells
-which of them occur twice; all windows of a trigger that occurs once are unique
-and leave the parse at once. At the others, the suffixes that start at the
-trigger and the reversed prefixes that end there are sorted; the two orders
-with their common prefix lengths give the corpus order of all windows of the
-trigger, in which equal windows are neighbours.
+"""Byte strings that occur more than once, by anchored contexts.
+
+Triggers of a rolling hash cut every text: the trigger of a window of ``length``
+bytes is the position of its smallest gram hash, so equal windows have equal
+triggers wherever they stand. Grams that occur once rule their windows out. At the
+others, the bytes that the windows of a trigger span are its context. Equal contexts
+are counted first: a context met twice is repeated whole, and one of its kind goes
+on. The contexts that are left of a gram are sorted by what follows the trigger and,
+reversed, by what precedes it; both orders with their common prefix lengths tell
+which windows are equal. A gram of very many different contexts is first split by
+what its windows share (see ``split_grams``).
+
+This takes the place of the dictionary and parse suffix arrays of prefix-free
+parsing: the order of the whole corpus isn't needed for strings of one length, and
+anchored groups are independent of each other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldline.llm import textbytes as tb
 from foldline.llm.shared import Scratch
 
-#: A trigger gram met more often is worked off window by window, with map-side sums, and not in one task.
+#: Different contexts of one gram that a task takes; a gram of more is split.
 HOT = 4000
+_SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
 _POSITION = np.uint64(0xFFFFFFFF)
 
 
@@ -94,6 +102,70 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
 
 
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every span of bytes."""
+    prefix = tb.prefix_hash(data)
+    one = tb.span_hash(prefix, start, end)
+    back = np.zeros(len(data) + 1, np.uint64)  # the second from running sums of other values
+    np.cumsum((tb.mix(data.astype(np.uint64) + _SALTS[0]) | np.uint64(1)) * tb.powers(len(data))[0][:len(data)], out=back[1:])
+    return one.view(np.int64), tb.mix(tb.span_hash(back, start, end) ^ _SALTS[1]).view(np.int64)
+
+
+def split_grams(contexts: DataFrame, length: int, span: int, scratch: Scratch) -> DataFrame:
+    """(doc_id, text_key, start, end): the repeated windows of different contexts (doc_id, text_key, at, left, right) of any number.
+
+    The places l that a window may start before the trigger are quartered again and
+    again. What all windows of a part share, its core, tells apart contexts that have
+    no window in common there. Contexts that agree on all the windows' bytes, the
+    part's hull, repeat it whole, and one of them goes on; so does what agrees on
+    the core alone, with the quarters of the part. Groups are only ever counted, so no
+    task sees a group, and a context costs a few rows a level. Equality is that of
+    two 64-bit hashes.
+    """
+    place = ["doc_id", "text_key", "at"]
+    size = max(1, (1 << (span - 1).bit_length()) // 4)
+    rows = contexts.select(*place, "left", "right", F.explode(F.array(*[F.lit(k) for k in range(0, span, size)])).alias("a"))
+    found = []
+    while True:
+        def hashed(batches: Iterator[pa.RecordBatch], size: int = size) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                left, right = (batch[c].cast(pa.large_binary()).fill_null(b"") for c in ("left", "right"))
+                n_left, n_right = (pc.binary_length(x).to_numpy().astype(np.int64) for x in (left, right))
+                low = batch["a"].to_numpy().astype(np.int64)
+                high = low + size - 1
+                first, last = length - n_right, n_left  # the places that the context has
+                use = np.flatnonzero((low <= last) & (first <= high))
+                if not len(use):
+                    continue
+                raw = b"".join(x for i in use.tolist() for x in (left[i].as_py(), right[i].as_py()))
+                data = np.frombuffer(raw, np.uint8)
+                total = (n_left + n_right)[use]
+                mid = np.cumsum(total) - total + n_left[use]  # the trigger
+                low, high, first, last = low[use], high[use], first[use], last[use]
+                k1, k2 = _hashes(data, mid - low, mid + length - np.minimum(high, span - 1))
+                whole = (first <= low) & (np.minimum(high, span - 1) <= last)
+                h1, h2 = _hashes(data, mid - np.where(whole, np.minimum(high, span - 1), 0), mid + length - np.where(whole, low, first))
+                # a context that lacks some of the windows is alike to none
+                own = [batch[c].take(pa.array(use)) for c in place]
+                alone = tb.mix(np.stack([c.to_numpy().astype(np.int64) for c in own]).view(np.uint64) * np.array([[1], [3], [5]], np.uint64)).sum(0, dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*own, *(batch[c].take(pa.array(use)) for c in ("left", "right", "a")), pa.array(k1), pa.array(k2), pa.array(np.where(whole, h1, alone)), pa.array(np.where(whole, h2, 0)), pa.array(whole)],
+                    [*place, "left", "right", "a", "k1", "k2", "h1", "h2", "whole"])
+
+        core, hull = ["a", "k1", "k2"], ["a", "k1", "k2", "h1", "h2", "whole"]
+        known = scratch.write(rows.mapInArrow(hashed, "doc_id long, text_key long, at long, left binary, right binary, a int, k1 long, k2 long, h1 long, h2 long, whole boolean"), "parts")
+        alike = known.groupBy(*hull).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*place)).alias("one"))
+        kinds = alike.groupBy(*core).agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("members")).where("members > 1")
+        met = scratch.write(known.join(alike.join(kinds, core), hull).select(*place, "left", "right", "a", "whole", "n", "one", "kinds"), "alike")
+        high = F.least(F.col("a") + size - 1, F.lit(span - 1))
+        found.append(met.where("whole AND n > 1").select("doc_id", "text_key", (F.col("at") - high).alias("start"), (F.col("at") - F.col("a") + length).alias("end")))
+        if size == 1:
+            return reduce(DataFrame.unionByName, found)
+        on = met.where((F.struct(*place) == F.col("one")) & (F.col("kinds") > 1)).select(*place, "left", "right", "a")
+        size, before = max(1, size // 4), size
+        rows = on.select(*place, "left", "right", F.explode(F.array(*[F.col("a") + k for k in range(0, before, size)])).alias("a"))
+
+
 def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 80) -> DataFrame:
     """(doc_id, text_key, spans): the maximal byte ranges covered by strings of ``length`` bytes that start anywhere else too.
 
@@ -144,36 +216,23 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 80) -> DataFr
     schema = "gram long, text_key long, at long, doc_id long, reach int"
     parsed = rows.mapInArrow(parse, schema)
     met = scratch.write(parsed.repartition("gram").sortWithinPartitions("gram", "text_key", "at", "doc_id").mapInArrow(repeats, schema), "repeated-grams")
-    hot = met.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("gram", F.lit(True).alias("hot"))
-    by_text = (met.join(hot, "gram", "left").groupBy("doc_id", "text_key")
-               .agg(F.collect_list(F.struct("gram", "at", "reach", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("places")))
+    by_text = met.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("gram", "at", "reach")).alias("places"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The bytes that the windows of each trigger span; of hot ones, each window's hash."""
+        """The bytes that the windows of each trigger span, and their hashes."""
         for batch in batches:
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i, (text, places) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 raw = text.as_buffer().to_pybytes()
-                gram_, at, reach, hot_ = (places.values.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-                low, high = reach & 0xFFFF, reach >> 16
-                cold = np.flatnonzero(~hot_)
-                left = [raw[a - h:a] for a, h in zip(at[cold].tolist(), high[cold].tolist(), strict=True)]
-                right = [raw[a:a - x + length] for a, x in zip(at[cold].tolist(), low[cold].tolist(), strict=True)]
-                near = pa.RecordBatch.from_arrays([pa.array(gram_[cold]), pa.array(at[cold]), pa.array(left, pa.binary()), pa.array(right, pa.binary()),
-                                                   pa.nulls(len(cold), pa.int64())], ["gram", "at", "left", "right", "window"])
-                out = [near]
-                if hot_.any():
-                    warm = np.flatnonzero(hot_)
-                    prefix = tb.prefix_hash(np.frombuffer(raw, np.uint8))
-                    many = high[warm] - low[warm] + 1
-                    start = tb.ragged((at - high)[warm], many.astype(np.int64))
-                    out.append(pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(gram_[warm], many)), pa.array(start), pa.nulls(len(start), pa.binary()), pa.nulls(len(start), pa.binary()),
-                         pa.array(tb.span_hash(prefix, start, start + length).view(np.int64))], ["gram", "at", "left", "right", "window"]))
-                for part in out:
-                    if part.num_rows:
-                        yield pa.RecordBatch.from_arrays([*part.columns, pa.array([ids[i]] * part.num_rows, pa.int64()), pa.array([keys[i]] * part.num_rows, pa.int64())],
-                                                         ["gram", "at", "left", "right", "window", "doc_id", "text_key"])
+                gram_, at, reach = (places.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                low, high = (reach & 0xFFFF).astype(np.int64), (reach >> 16).astype(np.int64)
+                c1, c2 = _hashes(np.frombuffer(raw, np.uint8), at - high, at - low + length)
+                left = [raw[a - h:a] for a, h in zip(at.tolist(), high.tolist(), strict=True)]
+                right = [raw[a:a - x + length] for a, x in zip(at.tolist(), low.tolist(), strict=True)]
+                n = len(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram_), pa.array(at), pa.array(left, pa.binary()), pa.array(right, pa.binary()), pa.array(c1), pa.array(tb.mix(c2.view(np.uint64) ^ (high << 20 | low).astype(np.uint64)).view(np.int64)),
+                     pa.array([ids[i]] * n, pa.int64()), pa.array([keys[i]] * n, pa.int64())], ["gram", "at", "left", "right", "c1", "c2", "doc_id", "text_key"])
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Start ranges of the repeated windows, from rows sorted by gram; several grams at once, each whole."""
@@ -201,12 +260,19 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 80) -> DataFr
 
     found_schema = "doc_id long, text_key long, start long, end long"
     near = rows.join(by_text, ["doc_id", "text_key"]).select("doc_id", "text_key", F.col("text").cast("binary").alias("text"), "places").mapInArrow(
-        contexts, "gram long, at long, left binary, right binary, window long, doc_id long, text_key long")
+        contexts, "gram long, at long, left binary, right binary, c1 long, c2 long, doc_id long, text_key long")
     near = scratch.write(near, "contexts")
-    cold = near.where("window IS NULL").select("gram", "at", "left", "right", "doc_id", "text_key").repartition("gram").sortWithinPartitions("gram").mapInArrow(order, found_schema)
-    warm = near.where("window IS NOT NULL")
-    several = warm.groupBy("gram", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram", "window")
-    hot_found = warm.join(several, ["gram", "window"]).select("doc_id", "text_key", F.col("at").alias("start"), (F.col("at") + length).alias("end"))
+    place = F.struct("doc_id", "text_key", "at")
+    kinds = scratch.write(near.groupBy("gram", "c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one"), F.first("left").alias("left"), F.first("right").alias("right")), "kinds")
+    several = kinds.where("n > 1").select("gram", "c1", "c2")
+    reach = near.select("gram", "c1", "c2", "doc_id", "text_key", (F.col("at") - F.length("left")).alias("start"), (F.col("at") + F.length("right")).alias("end"))
+    equal = reach.join(several, ["gram", "c1", "c2"]).select("doc_id", "text_key", "start", "end")
+    sizes_ = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    left = scratch.write(kinds.join(sizes_, "gram").select("gram", "one.at", "left", "right", "one.doc_id", "one.text_key", "m"), "different")
+    cold = left.where(F.col("m") <= HOT).drop("m").repartition("gram").sortWithinPartitions("gram").mapInArrow(order, found_schema)
+    hot = left.where(F.col("m") > HOT)
+    if not hot.isEmpty():
+        cold = cold.unionByName(split_grams(hot, length, span, scratch))
     whole = sizes.join(copies, ["text_key", "n"]).select("doc_id", "text_key", F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("end")).distinct()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +286,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = 80) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                                              ["doc_id", "text_key", "spans"])
 
-    ranges = cold.unionByName(hot_found).unionByName(whole).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ranges"))
+    ranges = cold.unionByName(equal).unionByName(whole).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ranges"))
     return scratch.result(ranges.mapInArrow(merge, "doc_id long, text_key long, spans array<struct<start:long,end:long>>"), "spans")
 
 
