@@ -1,9 +1,11 @@
 """Lexical retrieval packing: training sequences filled with the neighbours of a seed document.
 
-Documents are tokenised once. Each task reads a run of them as shards; a shard
-has a BM25 inverted index over token ids, with document frequencies and the
-average length of the whole corpus. A seed opens a sequence; the unused
-documents of the shard that score best for it fill the rest.
+Documents are tokenised once. Runs of ids that documents share tell which of
+them are neighbours anywhere in the corpus (``neighbour_paths``); the table is
+sorted so that neighbours follow each other, and dealt into shards in that
+order. A shard has a BM25 inverted index over token ids, with document
+frequencies and the average length of the whole corpus. A seed opens a sequence;
+the unused documents of the shard that score best for it fill the rest.
 """
 
 from __future__ import annotations
@@ -30,6 +32,13 @@ END = 2
 #: A shard ends with the document that takes it past one of these.
 SHARD_TOKENS, SHARD_DOCUMENTS = 2_000_000, 1000
 K1, B = 1.2, 0.75
+#: Of every ``SPREAD`` runs of ``RUN`` ids that follow each other, the one with the least hash is kept:
+#: two documents that share ``RUN + SPREAD - 1`` ids in a row share a kept run.
+RUN, SPREAD = 8, 64
+#: Times that the way from a document to its neighbour is doubled; 3 give up to 8 steps.
+DOUBLINGS = 3
+#: Partitions hold this many shards, or more beyond ``PARTITIONS``.
+SHARDS_EACH, PARTITIONS = 4, 20_000
 #: Words that a worker remembers; beyond it, it starts anew.
 CACHED_WORDS = 1_500_000
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -91,11 +100,45 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def least_runs(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """Distinct hashes of the runs that each document keeps; those under ``RUN`` ids have none.
+
+    ``ends`` are the documents' bounds in ``ids``, from 0.
+    """
+    size = np.diff(ends)
+    run = tb.mix(ids.astype(np.uint64) + np.uint64(1))
+    step = 1
+    while step < RUN:  # hashes of runs of 2, 4, ... ids
+        run = run[:max(0, len(run) - step)] * np.uint64(0x9E3779B97F4A7C15 + 2 * step) + run[step:]
+        step *= 2
+    run = tb.mix(run)
+    least, step = run, 1
+    while step < SPREAD:
+        least = np.minimum(least[:max(0, len(least) - step)], least[step:])
+        step *= 2
+    begin = np.flatnonzero(size >= RUN + SPREAD - 1)
+    windows = size[begin] - (RUN + SPREAD - 2)
+    found = least[tb.ragged(ends[begin], windows)]
+    row = np.repeat(begin, windows)
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1])
+    short = np.flatnonzero((size >= RUN) & (size < RUN + SPREAD - 1))
+    value = np.concatenate([found[new], np.array([run[ends[k]:ends[k + 1] - RUN + 1].min() for k in short.tolist()], np.uint64)])
+    row = np.concatenate([row[new], short])
+    order = np.lexsort((value, row))
+    value, row = value[order], row[order]
+    once = np.ones(len(value), bool)
+    once[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
+    offsets = np.searchsorted(row[once], np.arange(len(ends))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(value[once].view(np.int64)))
+
+
 def tokenize(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids): ids of every whole text, without special tokens, then END, as little-endian unsigned integers.
+    """(doc_id, ids, runs): ids of every whole text, without special tokens, then END, as little-endian unsigned integers.
 
     They have 16 bits if the vocabulary of the tokenizer file ``path`` has room
-    in that, else 32. Null and empty texts have END alone.
+    in that, else 32. Null and empty texts have END alone. ``runs`` are the
+    hashes of ``least_runs``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
@@ -113,9 +156,42 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
                 ids = np.insert(ids, np.cumsum(counts), encoder.width(END))
                 ends = np.concatenate([[0], np.cumsum(counts + 1)]) * ids.itemsize
                 raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), raw.cast(pa.binary())], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), raw.cast(pa.binary()), least_runs(ids, ends // ids.itemsize)],
+                                                 ["doc_id", "ids", "runs"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, ids binary")
+    return documents(docs).mapInArrow(run, "doc_id long, ids binary, runs array<long>")
+
+
+def neighbour_paths(tokens: DataFrame, documents_: int) -> DataFrame:
+    """(key, path): the way to each document that shares a run with another one, from its neighbours' neighbours.
+
+    A run that several documents keep votes, with its inverse document
+    frequency, for the one with the least key; the most voted for is a
+    document's parent. The path holds up to ``2 ** DOUBLINGS`` ancestors, then the
+    key, so that paths in order put a document's descendants behind it. A run
+    that very many documents share is one row for each of them, counted map-side
+    and joined to a single row, which AQE splits.
+    """
+    runs = tokens.select("key", F.explode("runs").alias("run"))
+    shared = runs.groupBy("run").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
+    weight = F.round(1024 * F.log2(F.lit(documents_ + 1.0) / F.col("n"))).cast("long")
+    votes = runs.join(shared, "run").groupBy("key", "first").agg(F.sum(weight).alias("votes"))
+    parent = votes.groupBy("key").agg(F.max_by("first", F.struct("votes", "first")).alias("parent"))
+    paths = written(parent.select("key", F.when(F.col("parent") == F.col("key"), F.array("key")).otherwise(F.array("parent", "key")).alias("path")), "paths")
+    for _ in range(DOUBLINGS):
+        above = paths.select(F.col("key").alias("head"), F.col("path").alias("above"))
+        longer = paths.withColumn("head", F.col("path")[0]).join(above, "head")
+        paths = written(longer.select("key", F.concat("above", F.slice("path", 2, 1 << 20)).alias("path")), "paths")
+    return paths
+
+
+def in_neighbourhoods(tokens: DataFrame, documents_: int, total: int) -> DataFrame:
+    """(doc_id, ids) in partitions of a few shards, neighbours behind each other; documents without one come by their keys."""
+    shards = max(total / SHARD_TOKENS, documents_ / SHARD_DOCUMENTS)
+    placed = tokens.select("doc_id", "ids", "key").join(neighbour_paths(tokens, documents_), "key", "left")
+    placed = placed.withColumn("path", F.coalesce("path", F.array("key")))
+    by = F.col("path"), F.col("doc_id")
+    return placed.repartitionByRange(min(PARTITIONS, int(shards / SHARDS_EACH) + 1), *by).sortWithinPartitions(*by).select("doc_id", "ids")
 
 
 def corpus_statistics(tokens: DataFrame, width: type, vocabulary: int) -> tuple[np.ndarray, int, int]:
@@ -208,40 +284,43 @@ def pack_shard(texts: list[np.ndarray], index: Bm25Shard, window: int) -> list[l
 
 
 def pack(docs: DataFrame, path: str, window: int = 4096) -> DataFrame:
-    """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
+    """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit), shard.
 
     Every id of every document, END after each, lies in exactly one piece;
     pieces follow each other in a sequence from offset 0 without gaps. Null
     and empty texts are END alone; rows that repeat are packed each; an empty
-    table has no pieces. Of equal BM25 scores the first document read wins.
-    Sequence ids are the task's number and a counter.
+    table has no pieces. Of equal BM25 scores the first document of the shard wins.
+    Sequence and shard ids are the task's number and a counter. A document has one
+    place in the order, so of two groups of neighbours that share nothing else
+    the one with more runs in common is near.
     """
     encoder = Tokenizer.from_file(path)
     vocabulary = encoder.get_vocab_size()
     width = np.uint16 if vocabulary <= 1 << 16 else np.uint32
-    tokens = written(tokenize(docs, path), "tokens")
+    tokens = written(tokenize(docs, path).withColumn("key", F.xxhash64("doc_id", "ids")), "tokens")
     often, documents_, total = corpus_statistics(tokens, width, vocabulary)
     idf = np.log1p((documents_ - often + 0.5) / (often + 0.5))
     average = total / max(1, documents_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, made = TaskContext.get().partitionId() << 32, 0
+        base, made, shard = TaskContext.get().partitionId() << 32, 0, 0
         names: list[int] = []
         texts: list[np.ndarray] = []
 
         def done() -> Iterator[pa.RecordBatch]:
-            nonlocal made
+            nonlocal made, shard
             rows: list[tuple] = []
             for sequence in pack_shard(texts, Bm25Shard(texts, idf, average), window) if texts else []:
                 offset = 0
                 for doc, start, length in sequence:
-                    rows.append((names[doc], start, length, len(texts[doc]), base + made, offset, texts[doc][start:start + length].astype("<u4").tobytes()))
+                    rows.append((names[doc], start, length, len(texts[doc]), base + made, offset, texts[doc][start:start + length].astype("<u4").tobytes(), base + shard))
                     offset += length
                 made += 1
-            types = [pa.int64()] * 6 + [pa.binary()]
+            shard += 1
+            types = [pa.int64()] * 6 + [pa.binary(), pa.int64()]
             for a in range(0, len(rows), 500):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a:a + 500], strict=True), types, strict=True)],
-                                                 ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+                                                 ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids", "shard"])
             names.clear(), texts.clear()
 
         held = 0
@@ -255,7 +334,8 @@ def pack(docs: DataFrame, path: str, window: int = 4096) -> DataFrame:
                     held = 0
         yield from done()
 
-    return tokens.mapInArrow(run, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    ordered = in_neighbourhoods(tokens, documents_, total)
+    return ordered.mapInArrow(run, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary, shard long")
 
 
 def digests(pieces: DataFrame) -> DataFrame:
