@@ -186,7 +186,7 @@ def neighbour_paths(tokens: DataFrame, documents_: int) -> DataFrame:
 
 
 def in_neighbourhoods(tokens: DataFrame, documents_: int, total: int) -> DataFrame:
-    """(doc_id, ids) in partitions of a few shards, neighbours behind each other; documents without one come by their keys."""
+    """(doc_id, ids) in partitions of a few shards, neighbours behind each other; documents without one as they were read."""
     shards = max(total / SHARD_TOKENS, documents_ / SHARD_DOCUMENTS)
     placed = tokens.select("doc_id", "ids", "key").join(neighbour_paths(tokens, documents_), "key", "left")
     placed = placed.withColumn("path", F.coalesce("path", F.array("key")))
@@ -297,7 +297,7 @@ def pack(docs: DataFrame, path: str, window: int = 4096) -> DataFrame:
     encoder = Tokenizer.from_file(path)
     vocabulary = encoder.get_vocab_size()
     width = np.uint16 if vocabulary <= 1 << 16 else np.uint32
-    tokens = written(tokenize(docs, path).withColumn("key", F.xxhash64("doc_id", "ids")), "tokens")
+    tokens = written(tokenize(docs, path).withColumn("key", F.monotonically_increasing_id()), "tokens", compression="zstd")
     often, documents_, total = corpus_statistics(tokens, width, vocabulary)
     idf = np.log1p((documents_ - often + 0.5) / (often + 0.5))
     average = total / max(1, documents_)
