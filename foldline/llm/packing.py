@@ -41,6 +41,8 @@ DOUBLINGS = 3
 SHARDS_EACH, PARTITIONS = 4, 20_000
 #: Words that a worker remembers; beyond it, it starts anew.
 CACHED_WORDS = 1_500_000
+#: Short pieces of words, such as a comma, whose ids a worker remembers.
+MARKS = 1 << 14
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: What the tokenizer takes for its special tokens wherever a text has it.
 _SPECIAL = r"<\|(?:startoftext|endoftext)\|>"
@@ -56,7 +58,9 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {chr(c): byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x250)}
+        self.letters = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x250)}  # those of ASCII are themselves
+        self.model = self.tokenizer.model
+        self.marks: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -66,9 +70,19 @@ class WordEncoder:
     def word(self, word: str) -> list[int]:
         if not _PLAIN.fullmatch(word):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
+        if word.isascii():
+            word = word.lower()
+            pieces = [word] if word.isalpha() else _PIECES.findall(word)
+        else:
+            pieces = [x.translate(self.letters) for x in _PIECES.findall(unicodedata.normalize("NFC", word).lower())]
         out: list[int] = []
-        for piece in _PIECES.findall(unicodedata.normalize("NFC", word).lower()):
-            out += [t.id for t in self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, piece)))]
+        for piece in pieces:
+            ids = self.marks.get(piece)
+            if ids is None:
+                ids = [t.id for t in self.model.tokenize(piece)]
+                if len(piece) < 3 and len(self.marks) < MARKS:
+                    self.marks[piece] = ids
+            out += ids
         return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,13 +94,17 @@ class WordEncoder:
         at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
         new = np.flatnonzero(self.known[at] != hashes) if len(self.known) else np.arange(len(hashes))
         if len(new):
-            made = [self.word(w.decode()) for w in tb.pieces(data, start[first[new]], end[first[new]])]
-            length = np.array([len(x) for x in made], np.int64)
+            made: list[int] = []
+            ends = [0]
+            for w in tb.pieces(data, start[first[new]], end[first[new]]):
+                made += self.word(w.decode())
+                ends.append(len(made))
+            length = np.diff(np.array(ends, np.int64))
             known = np.concatenate([self.known, hashes[new]])
             begin = np.concatenate([self.start, len(self.ids) + np.cumsum(length) - length])
             length = np.concatenate([self.length, length])
-            self.ids = np.concatenate([self.ids, np.array([i for x in made for i in x], self.width)])
-            order = np.argsort(known)
+            self.ids = np.concatenate([self.ids, np.array(made, self.width)])
+            order = np.argsort(known, kind="stable")  # merges the two sorted runs
             self.known, self.start, self.length = known[order], begin[order], length[order]
         at = np.searchsorted(self.known, hashes)[code] if len(code) else np.zeros(0, np.int64)
         size = self.length[at]
@@ -197,11 +215,13 @@ def in_neighbourhoods(tokens: DataFrame, documents_: int, total: int) -> DataFra
 def corpus_statistics(tokens: DataFrame, width: type, vocabulary: int) -> tuple[np.ndarray, int, int]:
     """Document frequency of every token id, the number of documents and of ids, over all documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(vocabulary + 2, np.int64)
+        count, last = np.zeros(vocabulary + 2, np.int64), np.zeros(vocabulary, np.int64)
         for batch in batches:
             for x in batch.column(0):
                 ids = np.frombuffer(x.as_buffer(), width)
-                count[np.unique(ids)] += 1
+                place = np.arange(len(ids))
+                last[ids] = place
+                count[ids[last[ids] == place]] += 1  # each distinct id where it stands last
                 count[-2:] += 1, len(ids)
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], ["id", "n"])
