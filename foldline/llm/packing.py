@@ -204,9 +204,13 @@ def neighbour_paths(tokens: DataFrame, documents_: int) -> DataFrame:
 
 
 def in_neighbourhoods(tokens: DataFrame, documents_: int, total: int) -> DataFrame:
-    """(doc_id, ids) in partitions of a few shards, neighbours behind each other; documents without one as they were read."""
+    """(doc_id, ids) in partitions of a few shards, neighbours behind each other; documents without one as they were read.
+
+    Keys are row numbers, so a task's share of the paths is a small part of its share of the ids: it is
+    hashed, and the ids aren't sorted by key first.
+    """
     shards = max(total / SHARD_TOKENS, documents_ / SHARD_DOCUMENTS)
-    placed = tokens.select("doc_id", "ids", "key").join(neighbour_paths(tokens, documents_), "key", "left")
+    placed = tokens.select("doc_id", "ids", "key").join(neighbour_paths(tokens, documents_).hint("shuffle_hash"), "key", "left")
     placed = placed.withColumn("path", F.coalesce("path", F.array("key")))
     by = F.col("path"), F.col("doc_id")
     return placed.repartitionByRange(min(PARTITIONS, int(shards / SHARDS_EACH) + 1), *by).sortWithinPartitions(*by).select("doc_id", "ids")
