@@ -177,19 +177,26 @@ def repeated_spans(docs: DataFrame, min_sentences: int = 2, min_words: int = 12)
     return scratch.result(every.join(firsts, ["h1", "h2"]).where(place != F.col("first")).select(*_DOC, "start", "end").distinct(), "repeated-spans")
 
 
+def _joined(column: pa.ListArray) -> pa.ListArray:
+    """Sorted ranges of each row, those that overlap or touch as one; no row is null."""
+    own = column.flatten()
+    start, end = (own.field(k).to_numpy().astype(np.int64) for k in range(2))
+    length = column.value_lengths().to_numpy()
+    # rows lie apart on one line, so that one running maximum serves all of them
+    far = np.repeat(np.arange(len(column)), length) * (int(end.max(initial=0)) + 2)
+    reach = np.maximum.accumulate(end + far)
+    new = np.append(True, (start + far)[1:] > reach[:-1])[:len(start)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start))[:len(first)] - 1
+    ranges = pa.StructArray.from_arrays([pa.array(start[first], _INT), pa.array((reach - far)[last], _INT)], ["start", "end"])
+    places = np.concatenate([[0], np.cumsum(length)])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(first, places), _INT), ranges)
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted ranges of each document, those that overlap or touch as one."""
-    kind = pa.list_(pa.struct([("start", _INT), ("end", _INT)]))
+    """Documents with their ranges ``_joined``."""
     for batch in batches:
-        out: list[list[dict]] = []
-        for own in batch.column(2).to_pylist():
-            out.append([])
-            for r in own:
-                if out[-1] and r["start"] <= out[-1][-1]["end"]:
-                    out[-1][-1]["end"] = max(out[-1][-1]["end"], r["end"])
-                else:
-                    out[-1].append(r)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], [*_DOC, "ranges"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _joined(batch.column(2))], [*_DOC, "ranges"])
 
 
 def merged(ranges: DataFrame) -> DataFrame:
