@@ -39,7 +39,7 @@ RUN, SPREAD = 8, 64
 DOUBLINGS = 3
 #: Partitions hold this many shards, or more beyond ``PARTITIONS``.
 SHARDS_EACH, PARTITIONS = 4, 20_000
-#: Words that a worker remembers; beyond it, it starts anew.
+#: Chunks of words that a worker remembers; beyond it, it starts anew.
 CACHED_WORDS = 1_500_000
 #: Short pieces of words, such as a comma, whose ids a worker remembers.
 MARKS = 1 << 14
@@ -47,6 +47,35 @@ _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 #: What the tokenizer takes for its special tokens wherever a text has it.
 _SPECIAL = r"<\|(?:startoftext|endoftext)\|>"
 _PLAIN = regex.compile("[!-~¡-įı-ɏ]*")  # U+0130 has no lower case of one character
+#: Kinds of bytes: white space, letters and digits, marks but the apostrophe (it may open a piece such as 's), others.
+_WHITE, _ALNUM, _MARK, _OTHER = 8, 1, 2, 16
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[0x21:0x7F] = _MARK
+_KIND[[c for c in range(0x80) if chr(c).isalnum()]] = _ALNUM
+_KIND[ord("'")] = _OTHER
+_KIND[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _WHITE
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all texts, cut between a letter or digit and a mark.
+
+    The tokenizer's pieces never cross such a bound, so a chunk's ids don't
+    depend on its neighbours. Letters are those of ASCII and U+00C0 to U+00FF;
+    words of others are cut less.
+    """
+    kind = _KIND[data]
+    latin = np.flatnonzero(data[:-1] == 0xC3)
+    latin = latin[(data[latin + 1] != 0x97) & (data[latin + 1] != 0xB7)]  # × and ÷ are no letters
+    kind[latin] = kind[latin + 1] = _ALNUM
+    cut = np.zeros(len(data) + 1, bool)
+    np.equal(kind[1:] + kind[:-1], _ALNUM + _MARK, out=cut[1:-1])
+    cut[offsets] = True
+    solid = kind != _WHITE
+    begin = solid.copy()
+    begin[1:] &= ~solid[:-1] | cut[1:-1]
+    stop = solid.copy()
+    stop[:-1] &= ~solid[1:] | cut[1:-1]
+    return np.flatnonzero(begin), np.flatnonzero(stop) + 1
 
 
 class WordEncoder:
@@ -64,17 +93,21 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.start = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, self.width)
+        """No chunk is known: ``slot`` of a hash in ``known`` (sorted) tells its bounds in ``ids``."""
+        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.bounds, self.ids = np.zeros(1, np.int64), np.zeros(0, self.width)
 
     def word(self, word: str) -> list[int]:
+        plain = word.isascii()
+        if plain and word.isalpha():
+            return [t.id for t in self.model.tokenize(word.lower())]
         if not _PLAIN.fullmatch(word):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
-        if word.isascii():
-            word = word.lower()
-            pieces = [word] if word.isalpha() else _PIECES.findall(word)
+        if plain:
+            pieces = _PIECES.findall(word.lower())
         else:
-            pieces = [x.translate(self.letters) for x in _PIECES.findall(unicodedata.normalize("NFC", word).lower())]
+            word = unicodedata.normalize("NFC", word).lower()
+            pieces = [x.translate(self.letters) for x in ([word] if word.isalpha() else _PIECES.findall(word))]
         out: list[int] = []
         for piece in pieces:
             ids = self.marks.get(piece)
@@ -87,29 +120,36 @@ class WordEncoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (in lower case) one after another, and each text's number of ids."""
-        start, end, row = tb.words(data, offsets)
-        hashes, first, code = np.unique(tb.span_hashes(data, start, end), return_index=True, return_inverse=True)
+        start, end = chunks(data, offsets)
+        coded = pa.array(tb.span_hashes(data, start, end)).dictionary_encode()  # hashed, not sorted
+        hashes, code = coded.dictionary.to_numpy(), coded.indices.to_numpy()
         if len(self.known) + len(hashes) > CACHED_WORDS:
             self.forget()
-        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
-        new = np.flatnonzero(self.known[at] != hashes) if len(self.known) else np.arange(len(hashes))
-        if len(new):
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        at = np.searchsorted(self.known, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != hashes[inside]
+        slot = np.empty(len(hashes), np.int64)  # in the order of ``code``
+        slot[order[~new]] = self.slot[at[~new]]
+        if new.any():
+            slot[order[new]] = added = len(self.known) + np.arange(new.sum())
+            first = np.empty(len(hashes), np.int64)
+            first[code[::-1]] = np.arange(len(code))[::-1]
+            first = first[order[new]]
             made: list[int] = []
-            ends = [0]
-            for w in tb.pieces(data, start[first[new]], end[first[new]]):
+            ends: list[int] = []
+            for w in tb.pieces(data, start[first], end[first]):
                 made += self.word(w.decode())
                 ends.append(len(made))
-            length = np.diff(np.array(ends, np.int64))
-            known = np.concatenate([self.known, hashes[new]])
-            begin = np.concatenate([self.start, len(self.ids) + np.cumsum(length) - length])
-            length = np.concatenate([self.length, length])
+            self.bounds = np.concatenate([self.bounds, len(self.ids) + np.array(ends, np.int64)])
             self.ids = np.concatenate([self.ids, np.array(made, self.width)])
-            order = np.argsort(known, kind="stable")  # merges the two sorted runs
-            self.known, self.start, self.length = known[order], begin[order], length[order]
-        at = np.searchsorted(self.known, hashes)[code] if len(code) else np.zeros(0, np.int64)
-        size = self.length[at]
+            self.known, self.slot = np.insert(self.known, at[new], hashes[new]), np.insert(self.slot, at[new], added)
+        begin = self.bounds[slot]
+        size = (self.bounds[slot + 1] - begin)[code]
         total = np.concatenate([[0], np.cumsum(size)])
-        return self.ids[tb.ragged(self.start[at], size)], np.diff(total[np.searchsorted(row, np.arange(len(offsets)))])
+        return self.ids[tb.ragged(begin[code], size)], np.diff(total[np.searchsorted(start, offsets)])
 
 
 @functools.lru_cache(maxsize=1)
