@@ -41,3 +41,19 @@ def test_values_inside_are_few(spark):
     sketch = {r.fold: (r.n, r.q) for r in df.groupBy("fold").agg(F.count("a").alias("n"), F.percentile_approx("a", [i / 200 for i in range(201)], 10_000).alias("q")).collect()}
     low, high, n = preprocess._brackets(sketch, [1, 2, 3, 4], 0.5)
     assert n == 160_000 and df.where(F.col("fold") != 0).where(F.col("a").between(low, high)).count() < 0.02 * n
+
+
+def test_a_pass_over_columns_sends_equal_values_together_and_counts_what_lies_below(monkeypatch):
+    """A row of the result for each value, not for each row and column of the table."""
+    import pyarrow as pa
+    monkeypatch.setattr(preprocess, "HELD_VALUES", 3)
+    rng = np.random.default_rng(8)
+    fold, v = rng.integers(0, 3, 900).astype(np.int32), np.round(rng.normal(size=900), 1)
+    batches = [pa.RecordBatch.from_arrays([pa.array(fold[a:a + 300]), pa.array(v[a:a + 300], mask=np.arange(300) % 7 == 0)], ["fold", "_0"]) for a in (0, 300, 600)]
+    got: dict = {}
+    for b in preprocess._inside(["a"], {(1, "a"): (-0.2, 0.3, 0)})(iter(batches)):
+        for r in b.to_pylist():
+            got[r["value"]] = got.get(r["value"], 0) + r["_w"]
+    own = v[(fold != 1) & (np.arange(900) % 300 % 7 > 0)]
+    assert got.pop(None) == (own < -0.2).sum()
+    assert got == {x: (own == x).sum() for x in np.unique(own[(own >= -0.2) & (own <= 0.3)])}
