@@ -3,7 +3,7 @@
 import pytest
 
 
-@pytest.mark.parametrize("name, model", [("gbt_mae_oof", "CatBoost"), ("gbt_small_leaf_oof", "LightGBM")])
+@pytest.mark.parametrize("name, model", [("gbt_mae_oof", "CatBoost"), ("gbt_small_leaf_oof", "LightGBM"), ("forest_oof", "ExtraTrees")])
 def test_a_query_passes_no_smaller_settings(spark, sf_dir, monkeypatch, name, model):
     from foldline.operators import stacking
     from foldline.operators.models import REGISTRY
